@@ -34,8 +34,8 @@ MIXTURE = (
     (0.30, (0.10, 0.05), (0.020, 0.002, 0.010)),
     (0.25, (0.20, 0.30), (0.030, 0.005, 0.040)),
     (0.20, (0.30, 0.60), (0.025, -0.004, 0.030)),
-    (0.15, (0.55, 0.20), (0.050, 0.006, 0.045)),
-    (0.10, (0.60, 0.75), (0.060, -0.003, 0.050)),
+    (0.15, (0.55, 0.05), (0.050, 0.006, 0.010)),
+    (0.10, (0.50, 0.40), (0.040, -0.003, 0.050)),
 )
 
 
