@@ -69,14 +69,14 @@ def percent(part: Column, whole: Column) -> Column:
     return ratio(part, whole) * F.lit(100.0)
 
 
-def unit_hash(key: Column, seed: int) -> Column:
-    """Number in [0, 1) drawn from ``md5('<seed>:<key>')``.
+def unit_hash(key: Column, salt: str) -> Column:
+    """Number in [0, 1) drawn from ``md5('<salt>:<key>')``.
 
     Depends on the row only, so a sample or split does not change with the
     number of partitions, a task retry or a lost executor.  Thirteen hex digits
     are 52 bits: exact in a double, and fine enough to draw thousands of rows
     out of trillions.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), key.cast("string")).cast("binary"))
     bits = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("double")
     return bits / F.lit(float(16**HASH_DIGITS))

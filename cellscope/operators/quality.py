@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,22 +124,54 @@ def clean_towers(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
     return drop_columns(df.filter(keep), rules.unused)
 
 
-def quality_funnel(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
-    """Rows left after each step: (step_no, step, rows), from a single scan.
+def _first_failure(steps: list[tuple[str, Column]]) -> Column:
+    """Number of the first step a row fails; steps + 1 when it passes all.
 
-    Each row is given the number of the first step it fails; later predicates
-    are not evaluated for it.  An unknown (null) predicate is a failure.
+    Later predicates are not evaluated for the row.  An unknown (null) predicate
+    is a failure.
     """
-    steps = quality_steps(df, rules)
-    last = len(steps) + 1
-    failed_at = F.lit(last)
+    failed_at = F.lit(len(steps) + 1)
     for number, (_, test) in reversed(list(enumerate(steps, start=1))):
         failed_at = F.when(F.coalesce(test, F.lit(False)), failed_at).otherwise(F.lit(number))
+    return failed_at
+
+
+def _funnel_counts(names: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col("failed_at") > number).alias(name) for number, name in enumerate(names)]
+
+
+def quality_funnel(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
+    """Rows left after each step: (step_no, step, rows), from a single scan."""
+    steps = quality_steps(df, rules)
     names = ["raw", *[name for name, _ in steps]]
-    counts = [F.count_if(F.col("failed_at") > number).alias(name) for number, name in enumerate(names)]
     cells = ", ".join(f"{number}, '{name}', `{name}`" for number, name in enumerate(names))
     return (
-        df.select(failed_at.alias("failed_at"))
-        .agg(*counts)
+        df.select(_first_failure(steps).alias("failed_at"))
+        .agg(*_funnel_counts(names))
         .selectExpr(f"stack({len(names)}, {cells}) AS (step_no, step, rows)")
     )
+
+
+def clean_and_count(
+    df: DataFrame, rules: CleanRules = DEFAULT_RULES
+) -> tuple[DataFrame, Observation]:
+    """The cleaned rows, and the funnel that fills in while they are written.
+
+    For a source that is costly to read twice.  Once an action on the rows has
+    finished, give the observation to :func:`observed_funnel`.
+    """
+    steps = quality_steps(df, rules)
+    names = ["raw", *[name for name, _ in steps]]
+    funnel = Observation()
+    rows = (
+        df.withColumn("failed_at", _first_failure(steps))
+        .observe(funnel, *_funnel_counts(names))
+        .filter(F.col("failed_at") > len(steps))
+    )
+    return drop_columns(rows, ["failed_at", *rules.unused]), funnel
+
+
+def observed_funnel(spark: SparkSession, funnel: Observation) -> DataFrame:
+    """The funnel of :func:`clean_and_count` as (step_no, step, rows)."""
+    rows = [(number, name, count) for number, (name, count) in enumerate(funnel.get.items())]
+    return spark.createDataFrame(rows, "step_no int, step string, rows long")

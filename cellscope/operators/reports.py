@@ -91,37 +91,33 @@ def yearly_growth(df: DataFrame, weight: str | None = None) -> DataFrame:
     return count_by(df, ["created_year"], weight=weight).orderBy("created_year")
 
 
-def _most_frequent(counts: DataFrame, group: str, value: str) -> DataFrame:
+def dominant_value(df: DataFrame, group: str, value: str, weight: str | None = None) -> DataFrame:
+    """The most frequent value of each group; equal values are all kept."""
     order = Window.partitionBy(group).orderBy(F.desc("cnt"))
     return (
-        counts.withColumn("place", F.rank().over(order))
+        count_by(df, [group, value], "cnt", weight)
+        .withColumn("place", F.rank().over(order))
         .filter(F.col("place") == 1)
-        .select(group, value, "cnt")
+        .drop("place")
     )
 
 
-def dominant_value(df: DataFrame, group: str, value: str, weight: str | None = None) -> DataFrame:
-    """The most frequent value of each group; equal values are all kept."""
-    return _most_frequent(count_by(df, [group, value], "cnt", weight), group, value)
-
-
 def top_operators(df: DataFrame, n: int = 10, weight: str | None = None) -> DataFrame:
     """The ``n`` largest operators with the country in which each is strongest.
 
     An operator that is equally strong in several countries takes a place for
-    each.  Every operator takes at least one, so the places go to the ``n``
-    largest operators; only these are joined, a side of at most ``n`` rows.
+    each.  Total and strongest country are both known once the counts of an
+    operator are together, so neither the towers nor the counts are read twice;
+    such a group has one row per country.
     """
-    counts = count_by(df.filter(F.col("Network").isNotNull()), ["Network", "Country"], "cnt", weight)
-    largest = (
-        counts.groupBy("Network")
-        .agg(F.sum("cnt").alias("total_menara_asean"))
-        .orderBy(F.desc("total_menara_asean"), "Network")
-        .limit(n)
-    )
-    home = counts.join(largest.select("Network"), "Network", "left_semi")
+    operator = Window.partitionBy("Network")
     return (
-        largest.join(_most_frequent(home, "Network", "Country"), "Network")
+        count_by(df.filter(F.col("Network").isNotNull()), ["Network", "Country"], "cnt", weight)
+        .withColumns({
+            "total_menara_asean": F.sum("cnt").over(operator),
+            "strongest": F.max("cnt").over(operator),
+        })
+        .filter(F.col("cnt") == F.col("strongest"))
         .select("Network", "total_menara_asean", F.col("Country").alias("Negara_Dominan"))
         .orderBy(F.desc("total_menara_asean"), "Network", "Negara_Dominan")
         .limit(n)

@@ -21,14 +21,18 @@ def row_key(df: DataFrame, key: str = "index") -> Column:
     return F.coalesce(F.col(key).cast("string"), other)
 
 
-def row_draw(df: DataFrame, seed: int = SEED, key: str = "index") -> Column:
-    """The row's number in [0, 1)."""
-    return unit_hash(row_key(df, key), seed)
+def row_draw(df: DataFrame, purpose: str, seed: int = SEED, key: str = "index") -> Column:
+    """The row's number in [0, 1).
+
+    ``purpose`` keeps draws independent: folds of a training part must not
+    follow from the draw that made the part.
+    """
+    return unit_hash(row_key(df, key), f"{purpose}-{seed}")
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = SEED, key: str = "index") -> DataFrame:
     """Each row is kept with probability ``fraction``, without replacement."""
-    return df.filter(row_draw(df, seed, key) < F.lit(float(fraction)))
+    return df.filter(row_draw(df, "sample", seed, key) < F.lit(float(fraction)))
 
 
 def sample_n(
@@ -39,7 +43,7 @@ def sample_n(
     The row count is a scalar subquery of the same plan.
     """
     total = df.agg(F.count(F.lit(1))).scalar().cast("double")
-    return df.filter(row_draw(df, seed, key) < F.try_divide(F.lit(float(n)), total))
+    return df.filter(row_draw(df, "sample", seed, key) < F.try_divide(F.lit(float(n)), total))
 
 
 def split(
@@ -48,7 +52,7 @@ def split(
     """Disjoint parts that together hold every row."""
     total = sum(weights)
     edges = [sum(weights[:i]) / total for i in range(len(weights))] + [1.0]
-    draw = row_draw(df, seed, key)
+    draw = row_draw(df, "split", seed, key)
     return [
         df.filter((draw >= F.lit(low)) & (draw < F.lit(high)))
         for low, high in zip(edges[:-1], edges[1:], strict=True)
@@ -59,4 +63,4 @@ def with_fold(
     df: DataFrame, folds: int, seed: int = SEED, key: str = "index", output: str = "fold"
 ) -> DataFrame:
     """Add a fold number 0 .. folds-1."""
-    return df.withColumn(output, F.floor(row_draw(df, seed, key) * F.lit(folds)).cast("int"))
+    return df.withColumn(output, F.floor(row_draw(df, "fold", seed, key) * F.lit(folds)).cast("int"))

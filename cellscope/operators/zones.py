@@ -72,7 +72,7 @@ def kmeans_sweep(
 
     Metrics: (k, silhouette_score, wssse, is_best).  The first k wins a tie.
     """
-    marked = df.withColumn("in_sample", row_draw(df, seed) < F.lit(float(fraction)))
+    marked = df.withColumn("in_sample", row_draw(df, "sample", seed) < F.lit(float(fraction)))
     columns = [*(["index"] if partitions else []), features, "in_sample"]
     with training_rows(marked, columns, partitions) as rows:
 

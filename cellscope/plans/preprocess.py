@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import DEFAULT_RULES, CleanRules
 from ..operators.encoding import encode_towers, fit_tower_encoding
 from ..operators.features import enrich
-from ..operators.quality import clean_towers, quality_funnel
+from ..operators.quality import clean_and_count, clean_towers, observed_funnel
 from ..sources import CLEAN_COLUMNS, new_workspace, read_clean, read_towers_csv, write_report, write_table
 
 
@@ -28,14 +28,15 @@ def preprocess_csv(
 ) -> None:
     """CSV files to the clean Parquet table, and the quality funnel if asked.
 
-    The cleaned rows are staged as Parquet in the shared folder, so the text is
-    parsed once: fitting then reads nine columns of the staged table.
+    The text is parsed once: the cleaned rows are staged as Parquet in the
+    shared folder, the funnel is counted while they are written, and fitting
+    reads nine columns of the staged table.
     """
-    raw = read_towers_csv(spark, source)
-    if funnel:
-        write_report(quality_funnel(raw, rules), funnel)
+    rows, counted = clean_and_count(read_towers_csv(spark, source), rules)
     staged = new_workspace(spark, "clean")
-    write_table(enrich(clean_towers(raw, rules), rules), staged)
+    write_table(enrich(rows, rules), staged)
+    if funnel:
+        write_report(observed_funnel(spark, counted), funnel)
     rows = read_clean(spark, staged)
     encoded = encode_towers(rows, fit_tower_encoding(rows))
     write_table(encoded.select(*CLEAN_COLUMNS), table, partition_by)

@@ -176,8 +176,8 @@ indexed AS (
 )"""
 
 
-def draw(seed: int = 42) -> str:
-    digest = f"substr(md5('{seed}:' || CAST(index AS VARCHAR)), 1, 13)"
+def draw(purpose: str) -> str:
+    digest = f"substr(md5('{purpose}-42:' || CAST(index AS VARCHAR)), 1, 13)"
     return f"(CAST(CAST('0x' || {digest} AS BIGINT) AS DOUBLE) / 4503599627370496)"
 
 
@@ -301,6 +301,7 @@ for number, step in enumerate(STEPS, start=1):
     passed = " AND ".join(f"({test})" for test in list(STEPS.values())[:number])
     FUNNEL.append(f"SELECT {number}, '{step}', count(*) FROM towers WHERE {passed}")
 sql("f10_quality_funnel", RAW, "\nUNION ALL ".join(FUNNEL))
+ORACLES["f10_counted_while_writing"] = ORACLES["f10_quality_funnel"]
 sql("f11_clean_towers", CLEAN, f"SELECT {BASE} FROM clean")
 sql("f12_project", CLEAN, """SELECT index AS tower_id, radio AS technology,
   CAST(RANGE AS DOUBLE) AS radius_m, CAST(SAM AS BIGINT) AS samples FROM clean""")
@@ -406,9 +407,9 @@ sql("k10_cluster_generations", ZONED,
     "SELECT prediction, generasi, count(*) AS count FROM zoned GROUP BY prediction, generasi")
 sql("k11_cluster_coverage", ZONED,
     "SELECT prediction, jangkauan, count(*) AS count FROM zoned GROUP BY prediction, jangkauan")
-sql("k12_sample_rows", CLEAN, f"SELECT index, Country FROM clean WHERE {draw()} < 0.1::DOUBLE")
+sql("k12_sample_rows", CLEAN, f"SELECT index, Country FROM clean WHERE {draw('sample')} < 0.1::DOUBLE")
 sql("k13_sample_n", ZONED, f"""SELECT {degrees('LAT')}, {degrees('LON')}, prediction, Country, Network FROM zoned
-  WHERE {draw()} < 1000::DOUBLE / (SELECT count(*) FROM zoned)""")
+  WHERE {draw('sample')} < 1000::DOUBLE / (SELECT count(*) FROM zoned)""")
 
 # --- reliability ----------------------------------------------------------------
 
@@ -438,7 +439,7 @@ sql("r2_rf_features", f"{LABELLED},{indexed('labelled')}", """SELECT index, CAST
   jangkauan_index AS f5, CAST(gmm_cluster AS DOUBLE) AS f6, CAST(prediction AS DOUBLE) AS target_label
   FROM indexed""")
 sql("r3_split", CLEAN,
-    f"SELECT index, CASE WHEN {draw()} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM clean")
+    f"SELECT index, CASE WHEN {draw('split')} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM clean")
 sql("r7_classification_metrics", f"{PAIRS},{scores()}", METRICS)
 sql("r7_label_metrics", f"""
 classes AS (
@@ -456,7 +457,7 @@ EXPORT = f"""SELECT index, {degrees('LAT')}, {degrees('LON')}, Country, Network,
   prediction_rf AS rf_predicted_cluster FROM classified"""
 sql("r9_prediction_report", CLASSIFIED, EXPORT)
 sql("r10_model_reload", CLEAN,
-    f"SELECT count(*) AS towers, CAST(0 AS BIGINT) AS differing FROM clean WHERE {draw()} >= 0.8::DOUBLE")
+    f"SELECT count(*) AS towers, CAST(0 AS BIGINT) AS differing FROM clean WHERE {draw('split')} >= 0.8::DOUBLE")
 
 # --- run metrics ----------------------------------------------------------------
 

@@ -266,6 +266,14 @@ def f10_quality_funnel(spark, sf):
     return quality.quality_funnel(towers_raw(spark, sf))
 
 
+@query
+def f10_counted_while_writing(spark, sf):
+    """The same funnel, observed during the write of the cleaned rows."""
+    rows, funnel = quality.clean_and_count(towers_raw(spark, sf))
+    write_table(rows, new_workspace(spark, "clean"))
+    return quality.observed_funnel(spark, funnel)
+
+
 @query
 def f11_clean_towers(spark, sf):
     return rounded(clean(spark, sf))
