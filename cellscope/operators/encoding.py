@@ -82,13 +82,12 @@ def index_labels(df: DataFrame, encoding: Encoding, outputs: Mapping[str, str])
     The result columns carry nominal metadata, which tells tree learners that
     they are categories.
     """
-    model = StringIndexerModel.from_arrays_of_labels(
-        [encoding.labels[name] for name in outputs],
-        inputCols=list(outputs),
-        outputCols=list(outputs.values()),
-        handleInvalid="skip",
-    )
-    return model.transform(df)
+    # one model per column: a joint one pads the shorter label lists with nulls
+    for name, output in outputs.items():
+        df = StringIndexerModel.from_labels(
+            encoding.labels[name], inputCol=name, outputCol=output, handleInvalid="skip"
+        ).transform(df)
+    return df
 
 
 def frequency_index(df: DataFrame, column: str, output: str) -> DataFrame:

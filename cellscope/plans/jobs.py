@@ -26,19 +26,19 @@ from ..config import (
 from ..operators import classify, reliability, reports, rollups, runs, zones
 from ..operators.measures import CELL_WEIGHT
 from ..operators.sampling import sample_n, split
-from ..sources import new_workspace, read_clean, read_report, write_report, write_rows_csv, write_table
-
-
-def _stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back."""
-    path = new_workspace(df.sparkSession, label)
-    write_table(df, path)
-    return read_clean(df.sparkSession, path)
+from ..sources import (
+    read_clean,
+    read_report,
+    stage_table,
+    write_report,
+    write_rows_csv,
+    write_table,
+)
 
 
 def run_reports(spark: SparkSession, clean: str, root: str) -> None:
     """The six descriptive reports, from one scan of the clean table."""
-    cells = _stage(reports.report_cells(read_clean(spark, clean)), "report-cells")
+    cells = stage_table(reports.report_cells(read_clean(spark, clean)), "report-cells")
     for name, report in {
         "overall_radio_percentage": reports.category_share(cells, "generasi", weight=CELL_WEIGHT),
         "top3_operator_per_negara": reports.top_k_per_group(cells, "Country", "Network", 3, CELL_WEIGHT),
@@ -52,7 +52,7 @@ def run_reports(spark: SparkSession, clean: str, root: str) -> None:
 
 def zone_profiles(labelled: DataFrame, root: str) -> None:
     """The four cluster profiles, from one scan, and the map sample."""
-    cells = _stage(zones.profile_cells(labelled), "zone-cells")
+    cells = stage_table(zones.profile_cells(labelled), "zone-cells")
     for name, report in {
         "stats_utama": zones.cluster_stats(cells, CELL_WEIGHT),
         "Hierarki-Cluster-Lengkap": zones.cluster_hierarchy(cells, CELL_WEIGHT),
@@ -108,7 +108,7 @@ def run_classifier(
     folds: int = FOREST_FOLDS, parallelism: int = 2,
 ) -> RandomForestClassificationModel:
     """Cross profile, cross-validated forest, test metrics and prediction export."""
-    joined = _stage(
+    joined = stage_table(
         reports.join_models(read_clean(spark, zone_table), read_clean(spark, reliability_table)),
         "joined",
     )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_RULES, CleanRules
-from ..operators.encoding import encode_towers, fit_tower_encoding
+from ..operators.encoding import encode_towers
 from ..operators.features import enrich
-from ..operators.quality import clean_and_count, clean_towers, observed_funnel
-from ..sources import CLEAN_COLUMNS, new_workspace, read_clean, read_towers_csv, write_report, write_table
+from ..operators.quality import clean_towers, quality_funnel
+from ..sources import CLEAN_COLUMNS, read_towers_csv, stage_table, write_report, write_table
 
 
 def preprocess(raw: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
@@ -28,15 +28,15 @@ def preprocess_csv(
 ) -> None:
     """CSV files to the clean Parquet table, and the quality funnel if asked.
 
-    The text is parsed once: the cleaned rows are staged as Parquet in the
-    shared folder, the funnel is counted while they are written, and fitting
-    reads nine columns of the staged table.
+    The text is parsed once.  Without a funnel the cleaned rows are staged as
+    Parquet in the shared folder; with one the raw rows are, because the funnel
+    counts rows that cleaning removes.  Fitting and writing then read Parquet.
     """
-    rows, counted = clean_and_count(read_towers_csv(spark, source), rules)
-    staged = new_workspace(spark, "clean")
-    write_table(enrich(rows, rules), staged)
+    raw = read_towers_csv(spark, source)
     if funnel:
-        write_report(observed_funnel(spark, counted), funnel)
-    rows = read_clean(spark, staged)
-    encoded = encode_towers(rows, fit_tower_encoding(rows))
-    write_table(encoded.select(*CLEAN_COLUMNS), table, partition_by)
+        raw = stage_table(raw, "raw")
+        write_report(quality_funnel(raw, rules), funnel)
+    rows = enrich(clean_towers(raw, rules), rules)
+    if not funnel:
+        rows = stage_table(rows, "clean")
+    write_table(encode_towers(rows).select(*CLEAN_COLUMNS), table, partition_by)

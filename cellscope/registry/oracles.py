@@ -301,7 +301,7 @@ for number, step in enumerate(STEPS, start=1):
     passed = " AND ".join(f"({test})" for test in list(STEPS.values())[:number])
     FUNNEL.append(f"SELECT {number}, '{step}', count(*) FROM towers WHERE {passed}")
 sql("f10_quality_funnel", RAW, "\nUNION ALL ".join(FUNNEL))
-ORACLES["f10_counted_while_writing"] = ORACLES["f10_quality_funnel"]
+ORACLES["f10_funnel_of_staged_rows"] = ORACLES["f10_quality_funnel"]
 sql("f11_clean_towers", CLEAN, f"SELECT {BASE} FROM clean")
 sql("f12_project", CLEAN, """SELECT index AS tower_id, radio AS technology,
   CAST(RANGE AS DOUBLE) AS radius_m, CAST(SAM AS BIGINT) AS samples FROM clean""")

@@ -38,6 +38,7 @@ from ..sources import (
     read_report,
     read_towers_csv,
     row_counts,
+    stage_table,
     write_report,
     write_rows_csv,
     write_table,
@@ -267,11 +268,8 @@ def f10_quality_funnel(spark, sf):
 
 
 @query
-def f10_counted_while_writing(spark, sf):
-    """The same funnel, observed during the write of the cleaned rows."""
-    rows, funnel = quality.clean_and_count(towers_raw(spark, sf))
-    write_table(rows, new_workspace(spark, "clean"))
-    return quality.observed_funnel(spark, funnel)
+def f10_funnel_of_staged_rows(spark, sf):
+    return quality.quality_funnel(stage_table(towers_raw(spark, sf), "raw"))
 
 
 @query

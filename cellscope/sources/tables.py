@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .workspace import new_workspace
+
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """Scan a Parquet table; the schema comes from the files."""
@@ -27,3 +29,14 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage: what follows survives the loss of any executor without
+    going back to the source, and reads only the columns it needs.
+    """
+    path = new_workspace(df.sparkSession, label)
+    write_table(df, path)
+    return read_clean(df.sparkSession, path)
