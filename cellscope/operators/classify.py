@@ -84,7 +84,7 @@ class CrossValidated:
 
 def cross_validate(
     train: DataFrame, trees: Sequence[int] = (FOREST_TREES,), depths: Sequence[int] = (FOREST_DEPTH,),
-    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 2, partitions: int | None = None,
+    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 1, partitions: int | None = None,
 ) -> CrossValidated:
     """Choose tree count and depth by mean F1 over hashed folds.
 

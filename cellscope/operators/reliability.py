@@ -83,7 +83,7 @@ SELECT_BY = ("log_likelihood", "bic", "bic_full")
 def gmm_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, select_by: str = "log_likelihood",
     features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int | None = None, parallelism: int = 4,
+    partitions: int | None = None, parallelism: int = 1,
 ) -> Sweep:
     """Fit every k and keep the largest log-likelihood, or the least criterion.
 

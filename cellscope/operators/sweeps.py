@@ -30,6 +30,8 @@ def training_rows(
 
     An iterative fit reads its input dozens of times; only the named columns are
     kept, spilling to disk.  A lost block is computed again from the source.
+    One job fills them before the block starts: fits that run side by side must
+    not fill the same cache at once.
     MLlib's random starts follow the partitioning: with ``partitions`` the rows
     are put in one order by key, which costs a shuffle and makes fits repeatable
     on differently split inputs.
@@ -39,6 +41,7 @@ def training_rows(
         rows = rows.repartition(partitions, key).sortWithinPartitions(key)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rows.count()
         yield rows
     finally:
         rows.unpersist()
@@ -47,7 +50,11 @@ def training_rows(
 def run_all(
     df: DataFrame, work: Callable[[int], Any], items: Sequence[int], parallelism: int
 ) -> list[Any]:
-    """Run independent fits side by side: the jobs of one fill the gaps of another."""
+    """Run independent fits, ``parallelism`` of them side by side.
+
+    One after the other is right for large inputs, where each fit keeps the
+    cluster busy; several at once help when the jobs are tiny.
+    """
     if parallelism <= 1 or len(items) <= 1:
         return [work(item) for item in items]
     with ThreadPool(min(parallelism, len(items))) as pool:

@@ -66,7 +66,7 @@ def silhouette(df: DataFrame, features: str = ZONE_FEATURES, prediction: str = "
 
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, features: str = ZONE_FEATURES, seed: int = SEED,
-    fraction: float = SILHOUETTE_SAMPLE, partitions: int | None = None, parallelism: int = 4,
+    fraction: float = SILHOUETTE_SAMPLE, partitions: int | None = None, parallelism: int = 1,
 ) -> Sweep:
     """Fit every k and keep the best silhouette, measured on a sample of the rows.
 

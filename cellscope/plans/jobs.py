@@ -105,7 +105,7 @@ def run_classifier(
     spark: SparkSession, zone_table: str, reliability_table: str, root: str,
     model: str | None = None, metrics: str | None = None,
     trees: Sequence[int] = (FOREST_TREES,), depths: Sequence[int] = (FOREST_DEPTH,),
-    folds: int = FOREST_FOLDS, parallelism: int = 2,
+    folds: int = FOREST_FOLDS, parallelism: int = 1,
 ) -> RandomForestClassificationModel:
     """Cross profile, cross-validated forest, test metrics and prediction export."""
     joined = stage_table(

@@ -85,6 +85,11 @@ def rich(spark: SparkSession, sf: str) -> DataFrame:
     return features.enrich(clean(spark, sf))
 
 
+def staged(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched towers as a written table, for operators that read them more than once."""
+    return stage_table(rich(spark, sf), "towers")
+
+
 def unit_space(df: DataFrame) -> DataFrame:
     """Enriched towers with their place in the two min-max spaces, as number columns."""
     columns = [*config.SPATIAL_COLUMNS, *config.RELIABILITY_COLUMNS]
@@ -97,7 +102,7 @@ def unit_space(df: DataFrame) -> DataFrame:
 
 def in_zones(spark: SparkSession, sf: str) -> DataFrame:
     """Towers with the zone of the nearest fixed centre as ``prediction``."""
-    return zones.assign_nearest(unit_space(rich(spark, sf)), POSITION, CENTERS)
+    return zones.assign_nearest(unit_space(staged(spark, sf)), POSITION, CENTERS)
 
 
 def in_clusters(df: DataFrame) -> DataFrame:
@@ -122,7 +127,7 @@ def classified(spark: SparkSession, sf: str) -> DataFrame:
 
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
     """The feature vectors and label indexes of the clean towers."""
-    return encoding.encode_towers(rich(spark, sf))
+    return encoding.encode_towers(staged(spark, sf))
 
 
 def forest_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,7 +339,7 @@ def e7_enrich(spark, sf):
 
 @query
 def x1_frequency_index(spark, sf):
-    rows = rich(spark, sf)
+    rows = staged(spark, sf)
     fitted = encoding.fit_encoding(rows, list(config.INDEXED_COLUMNS))
     return encoding.index_labels(rows, fitted, config.INDEXED_COLUMNS).select(
         "index", *config.INDEXED_COLUMNS.values()
@@ -355,13 +360,13 @@ def x3_assemble_skip(spark, sf):
 
 @query
 def x4_minmax(spark, sf):
-    rows = encoding.minmax(clean(spark, sf), ["MCC", "RANGE", "CID"], "v")
+    rows = encoding.minmax(staged(spark, sf), ["MCC", "RANGE", "CID"], "v")
     return rounded(rows.select("index", *elements(rows, "v", "v", 3)))
 
 
 @query
 def x5_feature_vectors(spark, sf):
-    rows = encoding.reliability_features(encoding.spatial_features(rich(spark, sf)))
+    rows = encoding.reliability_features(encoding.spatial_features(staged(spark, sf)))
     return rounded(rows.select(
         "index", *elements(rows, "prediction_features", "s", 3), *elements(rows, "reliability_metrics", "r", 2)
     ))
@@ -369,13 +374,13 @@ def x5_feature_vectors(spark, sf):
 
 @query
 def x5_identity_features(spark, sf):
-    rows = encoding.identity_features(clean(spark, sf))
+    rows = encoding.identity_features(staged(spark, sf))
     return rounded(rows.select("index", *elements(rows, "mcc_mnc_scaled", "i", 3)))
 
 
 @query
 def x6_preprocess(spark, sf):
-    rows = preprocess(towers_raw(spark, sf))
+    rows = preprocess(stage_table(towers_raw(spark, sf), "raw"))
     vectors = [
         *elements(rows, "features_spatial", "spatial_", 3),
         *elements(rows, "prediction_features", "predict_", 3),
@@ -435,11 +440,10 @@ def a9_distinct_values(spark, sf):
 
 @query
 def a10_join_models(spark, sf):
+    towers = unit_space(staged(spark, sf))
     kept = ["index", "Country", "SAM", "prediction"]
-    joined = reports.join_models(
-        in_zones(spark, sf).select(*kept), in_clusters(unit_space(rich(spark, sf)))
-    )
-    return joined.select(*kept, "gmm_cluster")
+    zone_table = zones.assign_nearest(towers, POSITION, CENTERS).select(*kept)
+    return reports.join_models(zone_table, in_clusters(towers)).select(*kept, "gmm_cluster")
 
 
 @query
@@ -493,20 +497,20 @@ def k3_silhouette_embeddings(spark, sf):
 
 @query
 def k4_wssse(spark, sf):
-    return rounded(zones.wssse(unit_space(rich(spark, sf)), POSITION, CENTERS))
+    return rounded(zones.wssse(unit_space(staged(spark, sf)), POSITION, CENTERS))
 
 
 @query
 def k5_assign_nearest(spark, sf):
     rows = zones.assign_nearest(
-        unit_space(rich(spark, sf)), POSITION, CENTERS, distance="squared_distance"
+        unit_space(staged(spark, sf)), POSITION, CENTERS, distance="squared_distance"
     )
     return rounded(rows.select("index", "prediction", "squared_distance"))
 
 
 @query
 def k6_lloyd_step(spark, sf):
-    return rounded(zones.lloyd_step(unit_space(rich(spark, sf)), POSITION, CENTERS))
+    return rounded(zones.lloyd_step(unit_space(staged(spark, sf)), POSITION, CENTERS))
 
 
 @query
@@ -550,7 +554,7 @@ def k13_sample_n(spark, sf):
 
 def _fixed_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Log-likelihood of the first 2..5 fixed Gaussians, in one scan: (k, log_likelihood, n)."""
-    rows = unit_space(rich(spark, sf))
+    rows = unit_space(staged(spark, sf))
     fits = []
     for k in config.SWEEP_KS:
         total = sum(part.weight for part in PARTS[:k])
@@ -589,7 +593,7 @@ def g2_gmm_sweep(spark, sf):
 
 @query
 def g3_log_likelihood(spark, sf):
-    rows = unit_space(rich(spark, sf))
+    rows = unit_space(staged(spark, sf))
     return rounded(reliability.log_likelihood(rows, RELIABILITY, PARTS), 4)
 
 
@@ -600,7 +604,7 @@ def g4_bic(spark, sf):
 
 @query
 def g5_responsibilities(spark, sf):
-    rows = reliability.gmm_responsibilities(unit_space(rich(spark, sf)), RELIABILITY, PARTS)
+    rows = reliability.gmm_responsibilities(unit_space(staged(spark, sf)), RELIABILITY, PARTS)
     return rounded(rows.select("index", "p0", "p1", "p2", "p3", "p4", "gmm_cluster"))
 
 

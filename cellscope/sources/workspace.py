@@ -30,5 +30,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_workspace(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, removed when the application ends."""
+    name = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return name
