@@ -32,19 +32,27 @@ def training_rows(
     kept, spilling to disk.  A lost block is computed again from the source.
     One job fills them before the block starts: fits that run side by side must
     not fill the same cache at once.
+
     MLlib's random starts follow the partitioning: with ``partitions`` the rows
     are put in one order by key, which costs a shuffle and makes fits repeatable
-    on differently split inputs.
+    on differently split inputs.  Without it the partitions stay as they are,
+    unless there are fewer than cores: such rows are few and are spread out.
     """
     rows = df.select(*columns)
     if partitions:
         rows = rows.repartition(partitions, key).sortWithinPartitions(key)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [rows.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         rows.count()
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if not partitions and rows.rdd.getNumPartitions() < cores:
+            rows = rows.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(rows)
+            rows.count()
         yield rows
     finally:
-        rows.unpersist()
+        for table in kept:
+            table.unpersist()
 
 
 def run_all(

@@ -87,3 +87,11 @@ def test_views(spark, done):
         "classification_metrics", "classification_report", "confusion", "class_distribution",
     ):
         assert read_report(spark, f"{done['views']}/{name}").count() > 0, name
+
+
+def test_command_line(spark, done, tmp_path):
+    from cellscope.__main__ import main
+
+    main(["reports", "--clean", done["clean"], "--root", str(tmp_path / "again")])
+    again = read_report(spark, f"{tmp_path}/again/top10_operator_asean")
+    assert again.exceptAll(read_report(spark, f"{done['reports']}/top10_operator_asean")).count() == 0
