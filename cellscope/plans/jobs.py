@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import GaussianMixtureModel, KMeansModel
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.clustering import GaussianMixtureModel, KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -34,6 +34,7 @@ from ..sources import (
     write_rows_csv,
     write_table,
 )
+from ..sources.schemas import PREDICTION_SCHEMA
 
 
 def run_reports(spark: SparkSession, clean: str, root: str) -> None:
@@ -152,10 +153,11 @@ def run_views(
     operators = read_report(spark, f"{reliability_root}/distribusi_keandalan_operator")
     profile = read_report(spark, f"{reliability_root}/stats_utama_gmm")
     cross = read_report(spark, f"{classifier_root}/cross_profiling_output")
-    scored = read_report(spark, f"{classifier_root}/rf_prediction_output")
+    # row-level: with a schema it is not read twice
+    scored = read_report(spark, f"{classifier_root}/rf_prediction_output", PREDICTION_SCHEMA)
     target, predicted = "kmeans_target_cluster", "rf_predicted_cluster"
     # zones are whole numbers, forest predictions are doubles: compare as the latter
-    typed = scored.select(F.col(target).cast("double"), F.col(predicted).cast("double"))
+    pairs = scored.withColumn(target, F.col(target).cast("double"))
     named = rollups.label_map(hierarchy, "prediction", ZONE_LABELS, "Cluster_Name")
     for name, view in {
         "operator_tree": rollups.rollup_tree(ownership, ["region", "Country", "Network"], "tower_count"),
@@ -168,9 +170,9 @@ def run_views(
         "cross_heatmap": rollups.heatmap(
             cross, ("prediction", "Cluster "), ("gmm_cluster", "GMM "), "tower_count"
         ),
-        "classification_metrics": classify.classification_metrics(typed, target, predicted),
-        "classification_report": classify.classification_report(typed, target, predicted),
-        "confusion": classify.crosstab_long(typed, target, predicted),
-        "class_distribution": classify.class_distribution(typed, target, predicted),
+        "classification_metrics": classify.classification_metrics(pairs, target, predicted),
+        "classification_report": classify.classification_report(pairs, target, predicted),
+        "confusion": classify.crosstab_long(pairs, target, predicted),
+        "class_distribution": classify.class_distribution(pairs, target, predicted),
     }.items():
         write_report(view, f"{out}/{name}")

@@ -46,3 +46,17 @@ PREDICTION_RENAMES = {
     "prediction": "kmeans_target_cluster",
     "prediction_rf": "rf_predicted_cluster",
 }
+
+# The prediction export as it is read back.
+PREDICTION_SCHEMA = T.StructType([
+    T.StructField(PREDICTION_RENAMES.get(name, name), kind, True)
+    for name, kind in zip(
+        PREDICTION_COLUMNS,
+        (
+            T.LongType(), T.FloatType(), T.FloatType(), T.StringType(), T.StringType(), T.StringType(),
+            T.StringType(), T.StringType(), T.IntegerType(), T.IntegerType(), T.DoubleType(),
+            T.IntegerType(), T.DoubleType(), T.DoubleType(),
+        ),
+        strict=True,
+    )
+])
