@@ -34,7 +34,7 @@ from ..sources import (
     write_rows_csv,
     write_table,
 )
-from ..sources.schemas import PREDICTION_SCHEMA
+from ..sources.schemas import PREDICTION_COLUMNS, PREDICTION_SCHEMA
 
 
 def run_reports(spark: SparkSession, clean: str, root: str) -> None:
@@ -109,9 +109,12 @@ def run_classifier(
     folds: int = FOREST_FOLDS, parallelism: int = 1,
 ) -> RandomForestClassificationModel:
     """Cross profile, cross-validated forest, test metrics and prediction export."""
+    # only what the features and the export need goes through the join, no vectors
+    needed = {"index", *FOREST_FEATURES, *PREDICTION_COLUMNS}
+    zone_rows = read_clean(spark, zone_table)
+    zone_rows = zone_rows.select(*[name for name in zone_rows.columns if name in needed])
     joined = stage_table(
-        reports.join_models(read_clean(spark, zone_table), read_clean(spark, reliability_table)),
-        "joined",
+        reports.join_models(zone_rows, read_clean(spark, reliability_table)), "joined"
     )
     write_report(classify.cross_profile(joined), f"{root}/cross_profiling_output")
     train, test = split(classify.rf_features(joined), TRAIN_TEST_WEIGHTS)
