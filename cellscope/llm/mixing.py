@@ -106,13 +106,14 @@ def plan_mix(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
         .withColumn("_order", seeded_order(plan.seed, "doc_id"))
         .withColumn("_bucket", F.substring("_order", 1, 3))
         .withColumn("size", plan.size)
+        .withColumn("_tie", F.xxhash64("text"))
     )
     sums = rows.groupBy("_g", "_bucket").agg(F.sum("size").alias("total"))
     sizes = sums.groupBy("_g").agg(F.sum("total").alias("source_size"))
     targets = source_targets(sizes, plan)
     rows = running_before(
         rows, sums.join(targets, "_g"), "_g", "_bucket", F.col("size"),
-        [F.col("_order"), F.col("size"), F.xxhash64(text_of())], "_start",
+        [F.col("_order"), F.col("size"), F.col("_tie")], "_start",
     )
     middle = F.col("_start") + F.col("size") / 2
     passes = F.ceil((F.col("target") - middle) / F.col("source_size"))
@@ -134,7 +135,7 @@ def plan_mix(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
         rows.withColumn("taken", F.col("copies") * F.col("size"))
         .withColumn("position", F.col("_at0"))
         .withColumn("positions", F.filter(F.array(*names), lambda x: x.isNotNull()))
-        .drop("_g", "_order", "_bucket", "_start", "_turn", "_d", *names)
+        .drop("_g", "_order", "_bucket", "_tie", "_start", "_turn", "_d", *names)
     )
 
 

@@ -14,27 +14,32 @@ are placed one by one, no rows give no rows.  Columns of the input with the name
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import group_key, running_before, seeded_order, text_of
+from .common import group_key, running_before, seeded_order
 
 
 def interleave(
-    docs: DataFrame, shards: int = 40, seed: int = 42, ranges: int = 4096, stratum: str = "source"
+    docs: DataFrame, shards: int = 40, seed: int = 42, ranges: int = 4096, stratum: str = "source",
+    tie: Column | None = None,
 ) -> DataFrame:
-    """Add ``shard`` (0 to shards - 1, row counts at most one apart) and ``slot`` (from 0)."""
+    """Add ``shard`` (0 to shards - 1, row counts at most one apart) and ``slot`` (from 0).
+
+    ``tie`` orders rows with one id; it is the text's hash unless ``docs`` has no text.
+    """
     rows = (
         docs.drop("shard", "slot")
         .withColumn("_g", group_key(stratum))
         .withColumn("_order", seeded_order(seed, "doc_id"))
         .withColumn("_bucket", F.substring("_order", 1, 3))
+        .withColumn("_tie", F.xxhash64("text") if tie is None else tie)
     )
     totals = rows.groupBy("_g", "_bucket").agg(F.count("*").alias("total"))
     sizes = totals.groupBy("_g").agg(F.sum("total").alias("_n"))
     ranked = running_before(
         rows, totals.join(sizes, "_g"), "_g", "_bucket", F.lit(1),
-        [F.col("_order"), F.xxhash64(text_of())], "_rank",
+        [F.col("_order"), F.col("_tie")], "_rank",
     )
     # rows of a source before the start of range b: those with (2r + 1) / 2n < b / ranges
     before = F.expr(f"(2 * _b * _n + {ranges} - 1) div {2 * ranges}")
@@ -51,5 +56,5 @@ def interleave(
         .withColumn("_p", F.col("_first") + F.row_number().over(place) - 1)
         .withColumn("shard", F.expr(f"(_p * {shards}) div _all").cast("int"))
         .withColumn("slot", F.expr(f"_p - (shard * _all + {shards} - 1) div {shards}").cast("long"))
-        .drop("_g", "_order", "_bucket", "_n", "_rank", "_b", "_part", "_first", "_all", "_p")
+        .drop("_g", "_order", "_bucket", "_n", "_tie", "_rank", "_b", "_part", "_first", "_all", "_p")
     )
