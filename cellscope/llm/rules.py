@@ -183,8 +183,9 @@ def judge(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None,
         "base_failed"), "rules-measures")
     cutoffs = stage_table(certified_cutoffs(narrow, labels, config), "rules-cutoffs")
     worse = F.exists(F.zip_with("_bins", "cutoffs", lambda b, c: b >= c), lambda x: F.coalesce(x, F.lit(False)))
-    # one sum, so that no part of a filter on it is pushed below the measures and repeats them
-    against = F.col("base_failed").cast("int") + F.coalesce(worse, F.lit(False)).cast("int")
+    # a sum of values that are never null, so that no part of a filter on it, and no null check,
+    # is pushed below the measures and repeats them
+    against = F.coalesce("base_failed", F.lit(True)).cast("int") + F.coalesce(worse, F.lit(False)).cast("int")
     return (
         (measured if keep_text else narrow).join(cutoffs, "_g", "left")
         .withColumn("kept", against == 0)
