@@ -27,6 +27,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def whole_rows(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """The rows as one column ``_row`` beside what an operator needs, so that no names can clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *more)
+
+
+def unpacked(df: DataFrame, docs: DataFrame, *more: Column | str) -> DataFrame:
+    """The columns of ``docs`` out of ``_row``, then ``more``, which replace columns of their names."""
+    added = {c for c in df.select(*more).columns} if more else set()
+    return df.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns if c not in added), *more)
+
+
 def word_list(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 

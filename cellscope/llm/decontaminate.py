@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cellscope.sources import stage_table
 
-from .common import left_on, python_rows, typed_id
+from .common import left_on, python_rows, typed_id, unpacked, whole_rows
 
 WINDOW = 10
 K = 5
@@ -222,7 +222,7 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any word of a benchmark window, with their own columns."""
     hit = stage_table(
         overlaps(docs, items).filter("contaminated").select("doc_id", "_th").distinct(), "contaminated")
-    keyed = docs.withColumn("_th", F.xxhash64("text")).withColumn("_id", F.col("doc_id"))
-    marks = hit.withColumnRenamed("doc_id", "_mark")
-    same = keyed["_id"].eqNullSafe(marks["_mark"]) & (keyed["_th"] == marks["_th"])
-    return keyed.join(marks, same, "left_anti").select(*docs.columns)
+    keyed = whole_rows(docs, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    marks = hit.select(F.col("doc_id").alias("_mark"), F.col("_th").alias("_mark_th"))
+    same = keyed["_id"].eqNullSafe(marks["_mark"]) & (keyed["_th"] == marks["_mark_th"])
+    return unpacked(keyed.join(marks, same, "left_anti"), docs)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cellscope.sources import stage_table
 
-from .common import HAS_WORD, left_on
+from .common import HAS_WORD, left_on, unpacked, whole_rows
 
 BASE = 1_000_003
 MODULUS = 2_147_483_647
@@ -63,8 +63,8 @@ def remove_repeated_chunks(docs: DataFrame, window: int = 3, spread: int = 4) ->
     the comparison.  A chunk found in a third of the documents is reduced in every task before
     it is shuffled, and the join that marks its repeats can be split by adaptive execution.
     """
-    docs = docs.drop("n_lines", "n_chunks", "n_removed_lines", "n_removed_chunks")
-    keyed = chunked(docs.withColumn("_id", F.col("doc_id")).withColumn("_th", F.xxhash64("text")), window, spread)
+    keyed = chunked(
+        whole_rows(docs, "text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th")), window, spread)
     parts = stage_table(
         keyed.select("_id", "_th", F.explode_outer("_chunks").alias("_c"))  # plain explode would add filters that repeat its input
         .filter((F.col("_c.lines") > 1) & F.col("_c.body").rlike(HAS_WORD))
@@ -84,7 +84,7 @@ def remove_repeated_chunks(docs: DataFrame, window: int = 3, spread: int = 4) ->
     )
     stays = F.filter("_chunks", lambda c: ~F.array_contains("_none", c["place"]))
     total = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda s, c: s + c["lines"])
-    return (
+    cleaned = (
         left_on(keyed, gone, ["_id", "_th"])
         .withColumn("_none", F.coalesce("_gone", F.array().cast("array<int>")))
         .withColumn("_stays", stays)
@@ -94,5 +94,5 @@ def remove_repeated_chunks(docs: DataFrame, window: int = 3, spread: int = 4) ->
         .withColumn("n_removed_chunks", F.size("_none").cast("long"))
         .withColumn("text", F.when(F.size("_none") == 0, F.col("text")).otherwise(
             F.array_join(F.transform("_stays", lambda c: c["body"]), "\n")))
-        .select(*docs.columns, "n_lines", "n_chunks", "n_removed_lines", "n_removed_chunks")
     )
+    return unpacked(cleaned, docs, "text", "n_lines", "n_chunks", "n_removed_lines", "n_removed_chunks")

@@ -9,8 +9,8 @@ range sort of all copies by position.
 
 Defined cases: a null text has size 0, a null source is a source of its own, sources without
 words take none.  Rows that tie in the shuffle (equal ids) follow by size and text hash; equal
-rows are interchangeable.  Other columns are passed on; the names added are the parameters of
-``NAMES``, a clashing column of the input is replaced.
+rows are interchangeable.  Other columns are passed on; those of ``NAMES`` and ``positions`` are
+replaced in a plan and kept in a stream.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import group_key, running_before, seeded_order, text_of, word_count
+from .common import group_key, running_before, seeded_order, text_of, unpacked, whole_rows, word_count
 
 NAMES = ("size", "source_size", "target", "copies", "taken", "position")
 
@@ -40,6 +40,7 @@ class MixPlan:
     max_repeats: int = 2
     seed: int = 42
     size: Column = field(default_factory=lambda: word_count(text_of()))
+    tie: Column = field(default_factory=lambda: F.xxhash64("text"))
 
 
 def source_targets(sizes: DataFrame, plan: MixPlan) -> DataFrame:
@@ -92,22 +93,11 @@ def time_of(demand: Column, knots: Sequence[float]) -> Column:
     return result
 
 
-def plan_mix(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
-    """Every document with its size, its source's target, how often it is taken and when first.
-
-    ``position`` is the training time (0..1) of the first copy, null for documents left out;
-    a further copy comes at ``positions[1]``.  A document is taken once more for every pass in
-    which the middle of its words lies before the source's target.
-    """
-    plan = plan or MixPlan()
-    rows = (
-        docs.drop(*(n for n in NAMES if n in docs.columns))
-        .withColumn("_g", group_key("source"))
-        .withColumn("_order", seeded_order(plan.seed, "doc_id"))
-        .withColumn("_bucket", F.substring("_order", 1, 3))
-        .withColumn("size", plan.size)
-        .withColumn("_tie", F.xxhash64("text"))
-    )
+def _planned(docs: DataFrame, plan: MixPlan) -> DataFrame:
+    rows = whole_rows(
+        docs, group_key("source").alias("_g"), seeded_order(plan.seed, "doc_id").alias("_order"),
+        plan.size.alias("size"), plan.tie.alias("_tie"),
+    ).withColumn("_bucket", F.substring("_order", 1, 3))
     sums = rows.groupBy("_g", "_bucket").agg(F.sum("size").alias("total"))
     sizes = sums.groupBy("_g").agg(F.sum("total").alias("source_size"))
     targets = source_targets(sizes, plan)
@@ -135,16 +125,20 @@ def plan_mix(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
         rows.withColumn("taken", F.col("copies") * F.col("size"))
         .withColumn("position", F.col("_at0"))
         .withColumn("positions", F.filter(F.array(*names), lambda x: x.isNotNull()))
-        .drop("_g", "_order", "_bucket", "_tie", "_start", "_turn", "_d", *names)
     )
 
 
+def plan_mix(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
+    """Every document with its size, its source's target, how often it is taken and when first.
+
+    ``position`` is the training time (0..1) of the first copy, null for documents left out;
+    a further copy comes at ``positions[1]``.  A document is taken once more for every pass in
+    which the middle of its words lies before the source's target.
+    """
+    return unpacked(_planned(docs, plan or MixPlan()), docs, *NAMES, "positions")
+
+
 def training_stream(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
     """All copies of the mix in training order, with the columns of ``docs`` only."""
-    mixed = plan_mix(docs, plan)
-    return (
-        mixed.filter("copies > 0")
-        .select(*(F.col(c) for c in docs.columns), F.explode("positions").alias("_at"))
-        .orderBy("_at", "doc_id")
-        .select(*docs.columns)
-    )
+    copies = _planned(docs, plan or MixPlan()).select("_row", F.explode("positions").alias("_at"))
+    return unpacked(copies.orderBy("_at", "_row.doc_id"), docs)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import brown, classifier, decontaminate, linechunks, mixing, rules, sharding, simhash, tokens, wrappers
-from .common import read_documents, text_of
+from .common import read_documents, text_of, word_count
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,9 +17,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder).select("doc_id", "text", "source")
+    docs = read_documents(spark, folder).select(
+        "doc_id", "source", word_count(text_of()).alias("n_words"), F.xxhash64("text").alias("tie"))
     return (
-        mixing.plan_mix(docs)
+        mixing.plan_mix(docs, mixing.MixPlan(size=F.col("n_words"), tie=F.col("tie")))
         .select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
         .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )

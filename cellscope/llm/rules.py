@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cellscope.sources import stage_table
 
-from .common import HAS_WORD, SPACE, group_key, text_of, word_list
+from .common import HAS_WORD, SPACE, group_key, text_of, unpacked, whole_rows, word_list
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -173,11 +173,12 @@ def judge(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None,
     """The base counts, ``base_failed`` and ``kept`` of every document.
 
     The narrow measures are written once; the cutoffs are a small table whose size Spark knows
-    when it plans the join.  With ``keep_text`` all columns of the input are passed on, and the
+    when it plans the join.  With ``keep_text`` the whole rows are passed on in ``_row``, and the
     measures are taken again during the second scan, which costs less than moving the texts.
     """
     config = config or RuleConfig()
-    measured = base_measures(docs, config).withColumn("_g", group_key("source")).withColumn("_bins", bins())
+    rows = whole_rows(docs, "doc_id", "text", group_key("source").alias("_g"))
+    measured = base_measures(rows, config).withColumn("_bins", bins())
     narrow = stage_table(measured.select(
         "doc_id", "_g", "_bins", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed"), "rules-measures")
@@ -195,4 +196,4 @@ def judge(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None,
 
 def keep_good(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
-    return judge(docs, labels, config, keep_text=True).filter("kept").select(*docs.columns)
+    return unpacked(judge(docs, labels, config, keep_text=True).filter("kept"), docs)

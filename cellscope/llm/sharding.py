@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import group_key, running_before, seeded_order
+from .common import group_key, running_before, seeded_order, unpacked, whole_rows
 
 
 def interleave(
@@ -28,13 +28,10 @@ def interleave(
 
     ``tie`` orders rows with one id; it is the text's hash unless ``docs`` has no text.
     """
-    rows = (
-        docs.drop("shard", "slot")
-        .withColumn("_g", group_key(stratum))
-        .withColumn("_order", seeded_order(seed, "doc_id"))
-        .withColumn("_bucket", F.substring("_order", 1, 3))
-        .withColumn("_tie", F.xxhash64("text") if tie is None else tie)
-    )
+    rows = whole_rows(
+        docs, group_key(stratum).alias("_g"), seeded_order(seed, "doc_id").alias("_order"),
+        (F.xxhash64("text") if tie is None else tie).alias("_tie"),
+    ).withColumn("_bucket", F.substring("_order", 1, 3))
     totals = rows.groupBy("_g", "_bucket").agg(F.count("*").alias("total"))
     sizes = totals.groupBy("_g").agg(F.sum("total").alias("_n"))
     ranked = running_before(
@@ -48,7 +45,7 @@ def interleave(
         .groupBy("_b").agg(F.sum(before).alias("_first"), F.sum("_n").alias("_all"))
     )
     place = Window.partitionBy("_b").orderBy("_part", "_g")
-    return (
+    placed = (
         ranked
         .withColumn("_b", F.expr(f"((2 * _rank + 1) * {ranges}) div (2 * _n)"))
         .withColumn("_part", (2 * F.col("_rank") + 1) / (2 * F.col("_n")))
@@ -56,5 +53,5 @@ def interleave(
         .withColumn("_p", F.col("_first") + F.row_number().over(place) - 1)
         .withColumn("shard", F.expr(f"(_p * {shards}) div _all").cast("int"))
         .withColumn("slot", F.expr(f"_p - (shard * _all + {shards} - 1) div {shards}").cast("long"))
-        .drop("_g", "_order", "_bucket", "_n", "_tie", "_rank", "_b", "_part", "_first", "_all", "_p")
     )
+    return unpacked(placed, docs, "shard", "slot")

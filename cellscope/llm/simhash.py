@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cellscope.sources import stage_table
 
-from .common import group_key, id_type, python_rows, typed_id
+from .common import group_key, id_type, python_rows, typed_id, unpacked, whole_rows
 from .graph import components
 
 SHINGLE = 4
@@ -250,7 +250,5 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
         .select("best.doc_id", "best._th").select(key.alias("_key"))
     )
     chosen = stage_table(chosen.distinct(), "chosen-documents")
-    return (
-        docs.withColumn("_th", F.xxhash64("text")).withColumn("_key", key)
-        .join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
-    )
+    keyed = whole_rows(docs, "doc_id", F.xxhash64("text").alias("_th")).select("_row", key.alias("_key"))
+    return unpacked(keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]), docs)
