@@ -110,6 +110,31 @@ def located(html: str | None) -> Iterator[tuple[str, tuple[str, ...], str]]:
 # An expression is a list of items: a label or SLOT, ["+", items] repeated, ["?", items] optional.
 
 
+def whole(items: list) -> bool:
+    """Whether every element that begins in a sequence ends in it, or ends by itself where it begins again."""
+    path: list[str] = []
+
+    def walk(part: list) -> bool:
+        for item in part:
+            if isinstance(item, list):
+                if not walk(item[1]):
+                    return False
+            elif item.startswith("/"):
+                while path and path[-1] != item[1:] and path[-1] in CLOSED_BY:
+                    path.pop()
+                if not path or path.pop() != item[1:]:
+                    return False
+            elif item != SLOT:
+                tag = item.split(" ", 1)[0]
+                while path and tag in CLOSED_BY.get(path[-1], ()):
+                    path.pop()
+                if tag not in VOID:
+                    path.append(tag)
+        return True
+
+    return walk(items) and all(tag in CLOSED_BY for tag in path)
+
+
 def fold(items: list) -> list:
     """Fold repetitions that stand next to each other, the shortest first, until none is left."""
     changed = True
@@ -122,7 +147,7 @@ def fold(items: list) -> list:
                 times = 1
                 while len(body) == size and items[i + times * size : i + (times + 1) * size] == body:
                     times += 1
-                if times > 1 and body != [SLOT]:
+                if times > 1 and body != [SLOT] and whole(body):
                     single = size == 1 and isinstance(body[0], list) and body[0][0] == "+"
                     out.append(body[0] if single else ["+", body])
                     i, changed = i + times * size, True
@@ -311,7 +336,7 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
     schema = "host string, wrapper string, facts array<struct<path:string,chars:long,linked:long,text:string>>"
     described = stage_table(pages.select("host", "html").mapInPandas(describe, schema), "page-expressions")
 
-    def merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         wrapper = None
         for text in sorted(frame["wrapper"], key=lambda w: (-len(w), w)):
             other = json.loads(text)
