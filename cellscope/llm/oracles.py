@@ -97,4 +97,58 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLES = {"op1_curriculum_mix": MIX, "op3_line_chunks": LINES, "op7_winnowing": WINNOWING}
+RULES = r"""
+WITH d AS (
+    SELECT doc_id, coalesce('=' || source, '') AS g, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+v AS (
+    SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS span
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
+o AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, span) AS n FROM v) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 8)) AS q FROM o) GROUP BY doc_id),
+m AS (
+    SELECT doc_id, g, len(w)::BIGINT AS n_words, length(array_to_string(w, '')) AS word_chars,
+           length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+           length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+    FROM d LEFT JOIN r USING (doc_id)),
+s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+b AS (
+    SELECT doc_id, g, base_failed, unnest([0, 1, 2, 3, 4, 5]) AS rule,
+           unnest([n_symbols, n_dup_lines, n_repeat_words, n_upper, greatest(10 * n_words - word_chars, 0), word_chars]) AS part,
+           unnest([word_chars, n_lines, n_words, word_chars, 10 * n_words, 40 * n_words]) AS whole
+    FROM s),
+k AS (
+    SELECT doc_id, g, base_failed, rule,
+           CASE WHEN whole > 0 THEN least(floor(part * 40 / whole::DOUBLE), 40)::INT ELSE 0 END AS bin
+    FROM b),
+l AS (
+    SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
+    GROUP BY doc_id HAVING min(quality) = max(quality)),
+h AS (
+    SELECT g, rule, bin, sum((good = 1)::INT) AS good, sum((good <> 1)::INT) AS bad
+    FROM k JOIN l USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
+n AS (SELECT g, sum(good)::BIGINT AS n, count(*) OVER () AS strata FROM h WHERE rule = 0 GROUP BY g),
+i AS (SELECT *, unnest(range(0, floor(n * (0.05 / 6))::BIGINT + 1)) AS i FROM n),
+a AS (
+    SELECT g, strata, i, sum(exp(lgamma(n + 1) - lgamma(greatest(i, 1) + (i > 0)::INT) - lgamma(n - i + 1) + i * ln(0.05 / 6) + (n - i) * ln(1 - 0.05 / 6)))
+           OVER (PARTITION BY g ORDER BY i ROWS UNBOUNDED PRECEDING) AS tail
+    FROM i WHERE n > 0 UNION ALL SELECT g, strata, 0, 1 FROM n WHERE n = 0),
+z AS (SELECT g, max(CASE WHEN tail <= 0.05 / (6 * strata) THEN i ELSE -1 END) AS allowed FROM a GROUP BY g),
+t AS (
+    SELECT g, rule, bin, sum(good) OVER tail AS lost, sum(bad) OVER tail AS caught,
+           sum(good) OVER (PARTITION BY g, rule) AS goods, sum(bad) OVER (PARTITION BY g, rule) AS bads
+    FROM h WINDOW tail AS (PARTITION BY g, rule ORDER BY bin DESC ROWS UNBOUNDED PRECEDING)),
+c AS (
+    SELECT g, rule, arg_max(bin, (caught * goods - lost * bads) * 100 + bin) AS cutoff
+    FROM t JOIN z USING (g)
+    WHERE lost <= allowed AND caught * goods > 0 AND caught * goods >= 10 * lost * bads GROUP BY g, rule),
+x AS (SELECT doc_id, bool_or(bin >= cutoff) AS worse FROM k JOIN c USING (g, rule) GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(worse, false) AS kept
+FROM s LEFT JOIN x USING (doc_id)
+"""
+
+ORACLES = {"op1_curriculum_mix": MIX, "op3_line_chunks": LINES, "op6_quality_rules": RULES, "op7_winnowing": WINNOWING}

@@ -6,9 +6,11 @@ certified while the exact binomial tail says that at most ``max_loss / rules`` o
 documents are lost, at the level ``risk / (rules x strata)``.  Trying in a fixed order and
 stopping at the first failure needs no further correction for the number of cutoffs, and the
 division covers rules and strata, so with probability ``1 - risk`` no stratum loses more than
-``max_loss`` of the good documents that pass the base rules.  Among the certified cutoffs the
-one that best separates bad from good labels is used; a rule that does not separate, or a
-stratum with too few labels to certify anything, rejects nothing beyond the base rules.
+``max_loss`` of the good documents that pass the base rules.  Among the certified cutoffs that
+catch at least ``min_ratio`` times as large a share of the bad documents as of the good ones,
+the one with the largest difference of the shares is used, the milder of equals; a rule that
+has none, or a stratum with too few labels to certify anything, rejects nothing beyond the
+base rules.
 
 Defined cases: a null text has no words and fails the base; a null source is a stratum of its
 own; labels that are null or contradict each other for an id are not used; repeated rows are
@@ -39,6 +41,7 @@ class RuleConfig:
     risk: float = 0.05
     min_words: int = 20
     max_repeat_percent: int = 30
+    min_ratio: int = 10
 
 
 def _repeats(df: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -153,15 +156,17 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, config: RuleConfig
         .withColumn("_allowed", allowed_losses(F.col("n_good"), config.max_loss / rules, level))
         .select("_g", "_allowed")
     )
-    good_share = F.col("_lost") / F.greatest(F.sum("good").over(whole), F.lit(1))
-    bad_share = F.col("_caught") / F.greatest(F.sum("bad").over(whole), F.lit(1))
+    # both shares over the product of the class sizes, in whole numbers
+    good_share = F.col("_lost") * F.sum("bad").over(whole)
+    bad_share = F.col("_caught") * F.sum("good").over(whole)
     chosen = (
         per_bin
         .withColumn("_lost", F.sum("good").over(stricter))
         .withColumn("_caught", F.sum("bad").over(stricter))
         .withColumn("_gain", bad_share - good_share)
+        .withColumn("_apart", (bad_share > 0) & (bad_share >= config.min_ratio * good_share))
         .join(limits, "_g")
-        .filter("_lost <= _allowed and _gain > 0")
+        .filter("_lost <= _allowed and _apart")
         .groupBy("_g", "rule").agg(F.max_by("bin", F.struct("_gain", "bin")).alias("cutoff"))
         .groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_found"))
     )

@@ -107,55 +107,38 @@ def located(html: str | None) -> Iterator[tuple[str, tuple[str, ...], str]]:
             yield "edge", tuple(path), "/" + tag
 
 
-# An expression is a list of items: a label or SLOT, ["+", items] repeated, ["?", items] optional.
+# An expression is a list of items: SLOT, an element ["e", label, items], ["+", items] repeated
+# or ["?", items] optional.  The tokens between an element's begin and its end are its items,
+# so groups hold whole elements only.
 
 
-def whole(items: list) -> bool:
-    """Whether every element that begins in a sequence ends in it, or ends by itself where it begins again."""
-    path: list[str] = []
-
-    def walk(part: list) -> bool:
-        for item in part:
-            if isinstance(item, list):
-                if not walk(item[1]):
-                    return False
-            elif item.startswith("/"):
-                while path and path[-1] != item[1:] and path[-1] in CLOSED_BY:
-                    path.pop()
-                if not path or path.pop() != item[1:]:
-                    return False
-            elif item != SLOT:
-                tag = item.split(" ", 1)[0]
-                while path and tag in CLOSED_BY.get(path[-1], ()):
-                    path.pop()
-                if tag not in VOID:
-                    path.append(tag)
-        return True
-
-    return walk(items) and all(tag in CLOSED_BY for tag in path)
+def _name(item) -> tuple:
+    """What has to agree for two items to be one: the outer labels, whether repeated or not."""
+    if item == SLOT:
+        return (SLOT,)
+    return (item[1],) if item[0] == "e" else tuple(n for part in item[1] for n in _name(part))
 
 
 def fold(items: list) -> list:
     """Fold repetitions that stand next to each other, the shortest first, until none is left."""
+    items = [item if item == SLOT else ["e", item[1], fold(item[2])] if item[0] == "e" else item for item in items]
     changed = True
     while changed:
         changed = False
         for size in range(1, min(LONGEST, len(items) // 2) + 1):
             out, i = [], 0
             while i < len(items):
-                body = items[i : i + size]
-                times = 1
+                body, times = items[i : i + size], 1
                 while len(body) == size and items[i + times * size : i + (times + 1) * size] == body:
                     times += 1
-                if times > 1 and body != [SLOT] and whole(body):
-                    single = size == 1 and isinstance(body[0], list) and body[0][0] == "+"
-                    out.append(body[0] if single else ["+", body])
+                last = out[-1] if out else SLOT
+                if times > 1:
+                    # a group beside itself is one group, two slots are one slot
+                    out += body if size == 1 and (body[0] == SLOT or body[0][0] == "+") else [["+", body]]
                     i, changed = i + times * size, True
+                elif last[0] == "+" and items[i : i + len(last[1])] == last[1]:
+                    i, changed = i + len(last[1]), True  # one more copy of the group before it
                 else:
-                    # a copy of a group beside the group itself belongs to it
-                    if out and isinstance(out[-1], list) and out[-1][0] == "+" and items[i : i + len(out[-1][1])] == out[-1][1]:
-                        i, changed = i + len(out[-1][1]), True
-                        continue
                     out.append(items[i])
                     i += 1
             items = out
@@ -164,83 +147,70 @@ def fold(items: list) -> list:
 
 def expression(html: str | None) -> list:
     """The folded expression of one page: block elements and slots, in page order."""
-    items: list = []
-    for kind, _, value in located(html):
+    open_items: list[list] = [[]]
+    for kind, path, value in located(html):
+        del open_items[len(path) + 1 :]
         if kind == "edge":
-            items.append(value)
-        elif value.strip() and (not items or items[-1] != SLOT):
-            items.append(SLOT)
-    return fold(items)
-
-
-def _body(item) -> list:
-    return item[1] if isinstance(item, list) else [item]
+            if not value.startswith("/"):
+                element = ["e", value, []]
+                open_items[-1].append(element)
+                if _tag(value) not in VOID:
+                    open_items.append(element[2])
+        elif value.strip() and open_items[-1][-1:] != [SLOT]:
+            open_items[-1].append(SLOT)
+    return fold(open_items[0])
+
+
+def _merged(x, y):
+    if x == y:
+        return x
+    if x[0] == y[0] == "e":
+        return ["e", x[1], align(x[2], y[2])]
+    bodies = [item[1] if item[0] in "+?" else [item] for item in (x, y)]
+    kinds = {item[0] for item in (x, y)} & {"+", "?"}
+    body = align(*bodies)
+    return ["?", [["+", body]]] if len(kinds) == 2 else [kinds.pop(), body]
 
 
 def align(a: list, b: list) -> list:
-    """The expression that describes what either describes: the longest common subsequence, the rest optional."""
-    def alike(x, y) -> bool:
-        return x == y or (_body(x) == _body(y) and not (isinstance(x, str) and isinstance(y, str)))
-
-    low = 0
-    while low < min(len(a), len(b)) and a[low] == b[low]:
-        low += 1
-    high = 0
-    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
-        high += 1
-    head, tail = a[:low], a[len(a) - high :]
-    x, y = a[low : len(a) - high], b[low : len(b) - high]
+    """The expression that describes what either describes: the longest common sequence, the rest optional."""
+    x, y = [_name(item) for item in a], [_name(item) for item in b]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if alike(x[i], y[j]) else max(best[i + 1][j], best[i][j + 1])
+            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
 
-    def optional(part: list) -> None:
-        if part:
-            out.append(part[0] if len(part) == 1 and isinstance(part[0], list) and part[0][0] == "?" else ["?", part])
-
-    since_i, since_j = 0, 0
-    while i < len(x) and j < len(y):
-        if alike(x[i], y[j]):
-            optional(x[since_i:i])
-            optional(y[since_j:j])
-            kinds = {item[0] for item in (x[i], y[j]) if isinstance(item, list)}
-            out.append(x[i] if x[i] == y[j] else ["?" if "?" in kinds else "+", _body(x[i])])
+    def optional(item) -> None:
+        out.append(item if item != SLOT and item[0] == "?" else ["?", [item]])
+
+    while i < len(x) or j < len(y):
+        if i < len(x) and j < len(y) and x[i] == y[j]:
+            out.append(_merged(a[i], b[j]))
             i, j = i + 1, j + 1
-            since_i, since_j = i, j
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
+            optional(a[i])
             i += 1
         else:
+            optional(b[j])
             j += 1
-    optional(x[since_i:])
-    optional(y[since_j:])
-    return fold(head + out + tail)
+    return fold(out)
 
 
 def slot_paths(wrapper: list) -> list[tuple[str, ...]]:
     """The paths of the block elements around each slot of a wrapper, in order, each once."""
     found: dict[tuple[str, ...], None] = {}
-    path: list[str] = []
 
-    def walk(items: list) -> None:
+    def walk(items: list, path: tuple[str, ...]) -> None:
         for item in items:
-            if isinstance(item, list):
-                walk(item[1])
-            elif item == SLOT:
-                found.setdefault(tuple(path))
-            elif item.startswith("/"):
-                depth = next((i for i in range(len(path) - 1, -1, -1) if path[i].split(" ", 1)[0] == item[1:]), None)
-                if depth is not None:
-                    del path[depth:]
+            if item == SLOT:
+                found.setdefault(path)
+            elif item[0] == "e":
+                walk(item[2], (*path, item[1]))
             else:
-                tag = item.split(" ", 1)[0]
-                while path and tag in CLOSED_BY.get(path[-1].split(" ", 1)[0], ()):
-                    path.pop()
-                if tag not in VOID:
-                    path.append(item)
+                walk(item[1], path)
 
-    walk(wrapper)
+    walk(wrapper, ())
     return list(found)
 
 
