@@ -63,53 +63,9 @@ FOREST_FEATURES = (
 
 REGION_NAME = "Asia Tenggara"
 
-ZONE_LABELS = {
-    0: "Cluster 0 (Filipina / Urban Padat)",
-    1: "Cluster 1 (Indonesia / Heterogen)",
-    2: "Cluster 2 (Malaysia-Singapura / Modern)",
-    3: "Cluster 3 (Mainland ASEAN / Rural-Suburban)",
-    4: "Cluster 4 (Kawasan Perbatasan / Khusus)",
-}
-RELIABILITY_LABELS = {
-    0: "Klaster 0 — Keandalan Sangat Tinggi (Outlier Aktif)",
-    1: "Klaster 1 — Data Andal & Sangat Segar",
-    2: "Klaster 2 — Data Menengah / Segar tapi SAM Rendah",
-    3: "Klaster 3 — Data Rendah / Jarang Diperbarui",
-    4: "Klaster 4 — Data Sangat Rendah / Tidak Terverifikasi",
-}
-RELIABILITY_SHORT_LABELS = {
-    0: "K0 — Outlier Aktif",
-    1: "K1 — Andal & Segar",
-    2: "K2 — Menengah",
-    3: "K3 — Jarang Diperbarui",
-    4: "K4 — Sangat Rendah",
-}
-
-# Display headings of the dashboard tables.
-PROFILE_HEADINGS = {
-    "gmm_cluster": "Klaster",
-    "gmm_cluster_name": "Label Klaster",
-    "avg_sam": "Avg SAM",
-    "avg_days_old": "Avg Usia Data (Hari)",
-    "tower_count": "Jumlah Menara",
-}
-VENDOR_HEADINGS = {
-    "Country": "Negara",
-    "Network": "Operator",
-    "gmm_cluster": "Klaster",
-    "gmm_cluster_name": "Label Klaster",
-    "tower_count": "Jumlah Menara",
-}
-CROSS_HEADINGS = {
-    "prediction": "Cluster K-Means",
-    "gmm_cluster": "Cluster GMM",
-    "tower_count": "Total Tower",
-    "avg_sam": "Avg SAM",
-    "avg_days_old": "Avg Usia Data (Hari)",
-    "avg_range_radius": "Avg Radius (m)",
-}
-
 SEED = 42
+# Starts of MLlib follow the partitions: a fixed number gives one model on any cluster.
+TRAINING_PARTITIONS = 32
 SWEEP_KS = (2, 3, 4, 5)
 SILHOUETTE_SAMPLE = 0.1
 MAP_SAMPLE_ROWS = 10_000

@@ -15,16 +15,25 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FOREST_DEPTH, FOREST_FEATURES, FOREST_FOLDS, FOREST_TREES, SEED
+from ..config import (
+    FOREST_DEPTH,
+    FOREST_FEATURES,
+    FOREST_FOLDS,
+    FOREST_TREES,
+    SEED,
+    TRAINING_PARTITIONS,
+)
 from ..functions import ratio
 from ..sources.schemas import PREDICTION_COLUMNS, PREDICTION_RENAMES
 from .encoding import assemble
+from .measures import count_by, tower_count
 from .sampling import with_fold
 from .sweeps import training_rows
 
 LABEL = "target_label"
 PREDICTED = "prediction_rf"
 FEATURES = "rf_features"
+PAIR_WEIGHT = "pairs"
 
 
 # --- features and training ------------------------------------------------------
@@ -68,9 +77,9 @@ def forest_estimator(
 
 def fit_forest(
     train: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> RandomForestClassificationModel:
-    with training_rows(train, ["index", FEATURES, LABEL], partitions) as rows:
+    with training_rows(train, [FEATURES, LABEL], partitions) as rows:
         return forest_estimator(trees, depth, seed).fit(rows)
 
 
@@ -84,7 +93,7 @@ class CrossValidated:
 
 def cross_validate(
     train: DataFrame, trees: Sequence[int] = (FOREST_TREES,), depths: Sequence[int] = (FOREST_DEPTH,),
-    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 1, partitions: int | None = None,
+    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 2, partitions: int = TRAINING_PARTITIONS,
 ) -> CrossValidated:
     """Choose tree count and depth by mean F1 over hashed folds.
 
@@ -93,7 +102,7 @@ def cross_validate(
     forest = forest_estimator(seed=seed)
     grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths)).build()
     folded = with_fold(train, folds, seed)
-    with training_rows(folded, ["index", FEATURES, LABEL, "fold"], partitions) as rows:
+    with training_rows(folded, [FEATURES, LABEL, "fold"], partitions) as rows:
         fitted = CrossValidator(
             estimator=forest, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
             evaluator=MulticlassClassificationEvaluator(
@@ -142,25 +151,34 @@ def load_model(kind: type, path: str) -> Model:
 # the only aggregate over rows.
 
 
-def crosstab_long(df: DataFrame, y: str = LABEL, p: str = PREDICTED) -> DataFrame:
+def pair_counts(df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None) -> DataFrame:
+    """(true, predicted, ``PAIR_WEIGHT``): all that the evaluation needs of the rows.
+
+    The evaluation operators take such a table with ``weight=PAIR_WEIGHT``.
+    """
+    return count_by(df, [y, p], PAIR_WEIGHT, weight)
+
+
+def crosstab_long(df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None) -> DataFrame:
     """(true, predicted, count) for the pairs that occur."""
-    return df.groupBy(y, p).agg(F.count(F.lit(1)).alias("count")).orderBy(y, p)
+    return count_by(df, [y, p], "count", weight).orderBy(y, p)
 
 
 def confusion_matrix(
-    df: DataFrame, y: str = LABEL, p: str = PREDICTED, values: Sequence | None = None
+    df: DataFrame, y: str = LABEL, p: str = PREDICTED, values: Sequence | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per true class, one column per predicted class, 0 where none.
 
     Give ``values`` to fix the columns; otherwise they are looked up first.
     """
     counts = df.groupBy(y).pivot(p, list(values)) if values is not None else df.groupBy(y).pivot(p)
-    return counts.agg(F.count(F.lit(1))).na.fill(0).orderBy(y)
+    return counts.agg(tower_count(weight)).na.fill(0).orderBy(y)
 
 
-def _class_tally(df: DataFrame, y: str, p: str) -> DataFrame:
+def _class_tally(df: DataFrame, y: str, p: str, weight: str | None) -> DataFrame:
     """Per class: rows of it, rows predicted as it, and hits."""
-    pairs = df.groupBy(y, p).agg(F.count(F.lit(1)).alias("n"))
+    pairs = count_by(df, [y, p], "n", weight)
     none = F.lit(0).cast("long")
     hit = F.when(F.col(y) == F.col(p), F.col("n")).otherwise(none)
     sides = F.array(
@@ -174,12 +192,12 @@ def _class_tally(df: DataFrame, y: str, p: str) -> DataFrame:
     )
 
 
-def _class_scores(df: DataFrame, y: str, p: str) -> DataFrame:
+def _class_scores(df: DataFrame, y: str, p: str, weight: str | None) -> DataFrame:
     zero = F.lit(0.0)
     precision = F.coalesce(ratio(F.col("hits"), F.col("predicted")), zero)
     recall = F.coalesce(ratio(F.col("hits"), F.col("support")), zero)
     return (
-        _class_tally(df, y, p)
+        _class_tally(df, y, p, weight)
         .withColumns({"precision": precision, "recall": recall})
         .withColumn(
             "f1_score",
@@ -207,22 +225,26 @@ def _averages(scores: DataFrame) -> DataFrame:
     )
 
 
-def classification_metrics(df: DataFrame, y: str = LABEL, p: str = PREDICTED) -> DataFrame:
+def classification_metrics(
+    df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None
+) -> DataFrame:
     """One row: accuracy, and precision, recall and F1 weighted by class size."""
-    return _averages(_class_scores(df, y, p)).select(
+    return _averages(_class_scores(df, y, p, weight)).select(
         "accuracy",
         F.col("weighted_precision"), F.col("weighted_recall"),
         F.col("weighted_f1_score").alias("f1"),
     )
 
 
-def classification_report(df: DataFrame, y: str = LABEL, p: str = PREDICTED) -> DataFrame:
+def classification_report(
+    df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None
+) -> DataFrame:
     """Per class precision, recall, F1 and support, then accuracy and averages.
 
     A measure whose denominator is zero is 0.  In the accuracy row all three
     measures equal the accuracy.
     """
-    scores = _class_scores(df, y, p)
+    scores = _class_scores(df, y, p, weight)
     classes = scores.select(F.col("class").cast("string").alias("label"), *SCORES, "support")
     summary = _averages(scores).select(
         F.inline(F.array(*[
@@ -241,9 +263,11 @@ def classification_report(df: DataFrame, y: str = LABEL, p: str = PREDICTED) ->
     return classes.unionByName(summary)
 
 
-def class_distribution(df: DataFrame, y: str = LABEL, p: str = PREDICTED) -> DataFrame:
+def class_distribution(
+    df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None
+) -> DataFrame:
     """(source, class, count) of the true and the predicted classes."""
-    pairs = df.groupBy(y, p).agg(F.count(F.lit(1)).alias("n"))
+    pairs = count_by(df, [y, p], "n", weight)
     sides = F.array(*[
         F.struct(F.lit(source).alias("source"), F.col(name).alias("class"), F.col("n"))
         for source, name in (("target", y), ("predicted", p))

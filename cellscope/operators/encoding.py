@@ -1,18 +1,17 @@
 """Category indexes and min-max scaling.
 
 Both need whole-table statistics: how often each label occurs, and the least
-and greatest value of each number.  :func:`fit_encoding` gets all of them from
-one aggregate over the category columns, so the towers are scanned once however
-many columns are encoded.
+and greatest value of each number.  :func:`fit_encoding` counts the labels of
+each column by itself, all columns in one pass, and takes all bounds from one
+aggregate of a single row.  Any number of labels can be indexed.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +23,6 @@ from ..config import (
     SPATIAL_COLUMNS,
 )
 
-MAX_LABEL_GROUPS = 10_000
-
-
 @dataclass(frozen=True)
 class Encoding:
     """Fitted statistics: labels by falling frequency, and (least, greatest)."""
@@ -43,36 +39,24 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def fit_encoding(df: DataFrame, categories: Sequence[str], numbers: Sequence[str] = ()) -> Encoding:
-    """Statistics for all columns from one scan and one small shuffle.
-
-    The rows are grouped by all categories together; what comes back is one row
-    per combination that occurs (165 at most for the tower categories).  More
-    than ``MAX_LABEL_GROUPS`` combinations is an error, not a truncation: such
-    columns are not categories.
-    """
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for position, name in enumerate(numbers):
-        value = _number(df, name)
-        measures += [F.min(value).alias(f"min_{position}"), F.max(value).alias(f"max_{position}")]
-    groups = df.groupBy(*categories).agg(*measures).limit(MAX_LABEL_GROUPS + 1).collect()
-    if len(groups) > MAX_LABEL_GROUPS:
-        raise ValueError(f"{list(categories)} have over {MAX_LABEL_GROUPS} label combinations")
-
+    """Labels of every category by falling frequency, ties by label, and bounds of every number."""
     labels = {}
-    for name in categories:
-        tally = Counter()
-        for group in groups:
-            if group[name] is not None:
-                tally[group[name]] += group["rows"]
-        # code points order like the UTF-8 bytes that Spark compares
-        labels[name] = sorted(tally, key=lambda label: (-tally[label], label))
-
+    if categories:
+        outputs = [f"__{name}" for name in categories]
+        fitted = StringIndexer(
+            inputCols=list(categories), outputCols=outputs, stringOrderType="frequencyDesc", handleInvalid="skip"
+        ).fit(df.select(*categories))
+        labels = {name: list(found) for name, found in zip(categories, fitted.labelsArray, strict=True)}
     bounds = {}
-    for position, name in enumerate(numbers):
-        lows = [g[f"min_{position}"] for g in groups if g[f"min_{position}"] is not None]
-        highs = [g[f"max_{position}"] for g in groups if g[f"max_{position}"] is not None]
-        if lows:
-            bounds[name] = (min(lows), max(highs))
+    if numbers:
+        measures = []
+        for position, name in enumerate(numbers):
+            value = _number(df, name)
+            measures += [F.min(value).alias(f"min_{position}"), F.max(value).alias(f"max_{position}")]
+        row = df.agg(*measures).first()
+        for position, name in enumerate(numbers):
+            if row[f"min_{position}"] is not None:
+                bounds[name] = (row[f"min_{position}"], row[f"max_{position}"])
     return Encoding(labels, bounds)
 
 
@@ -151,7 +135,7 @@ def reliability_features(df: DataFrame, encoding: Encoding | None = None) -> Dat
 
 
 def fit_tower_encoding(df: DataFrame) -> Encoding:
-    """Everything that :func:`encode_towers` needs, from one scan."""
+    """Everything that :func:`encode_towers` needs."""
     return fit_encoding(df, list(INDEXED_COLUMNS), [*SPATIAL_COLUMNS, *RELIABILITY_COLUMNS])
 
 

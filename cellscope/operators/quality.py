@@ -124,21 +124,41 @@ def clean_towers(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
     return drop_columns(df.filter(keep), rules.unused)
 
 
-def quality_funnel(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
-    """Rows left after each step: (step_no, step, rows), from a single scan.
+def failed_step(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> Column:
+    """Number of the first step that a row fails, or the number of steps plus one.
 
-    Each row is given the number of the first step it fails; later predicates
-    are not evaluated for it.  An unknown (null) predicate is a failure.
+    Later predicates are not evaluated for a failed row; an unknown (null)
+    predicate is a failure.
     """
     steps = quality_steps(df, rules)
     failed_at = F.lit(len(steps) + 1)
     for number, (_, test) in reversed(list(enumerate(steps, start=1))):
         failed_at = F.when(F.coalesce(test, F.lit(False)), failed_at).otherwise(F.lit(number))
-    names = ["raw", *[name for name, _ in steps]]
-    counts = [F.count_if(F.col("failed_at") > number).alias(name) for number, name in enumerate(names)]
+    return failed_at
+
+
+def funnel_of(failed: DataFrame, names: Sequence[str], column: str = "failed_at") -> DataFrame:
+    """The funnel (step_no, step, rows) from a column made by :func:`failed_step`."""
+    names = ["raw", *names]
+    counts = [F.count_if(F.col(column) > number).alias(name) for number, name in enumerate(names)]
     cells = ", ".join(f"{number}, '{name}', `{name}`" for number, name in enumerate(names))
-    return (
-        df.select(failed_at.alias("failed_at"))
-        .agg(*counts)
-        .selectExpr(f"stack({len(names)}, {cells}) AS (step_no, step, rows)")
-    )
+    return failed.agg(*counts).selectExpr(f"stack({len(names)}, {cells}) AS (step_no, step, rows)")
+
+
+def quality_funnel(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
+    """Rows left after each step: (step_no, step, rows), from a single scan."""
+    names = [name for name, _ in quality_steps(df, rules)]
+    return funnel_of(df.select(failed_step(df, rules).alias("failed_at")), names)
+
+
+def cleaned_with_steps(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
+    """``failed_at`` of every row; the other columns only of rows that pass all steps.
+
+    Rows that fail keep nothing but their step, so a written copy is little
+    larger than the cleaned rows, and serves the funnel and the cleaning alike.
+    """
+    kept = drop_columns(df, rules.unused)
+    last = len(quality_steps(df, rules)) + 1
+    marked = kept.withColumn("failed_at", failed_step(df, rules))
+    passed = F.col("failed_at") == last
+    return marked.select("failed_at", *[F.when(passed, F.col(name)).alias(name) for name in kept.columns])

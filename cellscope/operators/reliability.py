@@ -12,8 +12,8 @@ from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SEED, SWEEP_KS
-from .measures import count_by
+from ..config import SEED, SWEEP_KS, TRAINING_PARTITIONS
+from .measures import count_by, tower_cells, tower_count, tower_mean
 from .sweeps import Sweep, first_largest, run_all, training_rows
 
 RELIABILITY_FEATURES = "reliability_metrics"
@@ -40,16 +40,15 @@ def reliability_estimator(k: int, features: str = RELIABILITY_FEATURES, seed: in
 
 def fit_reliability(
     df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> GaussianMixtureModel:
-    columns = ["index", features] if partitions else [features]
-    with training_rows(df, columns, partitions) as rows:
+    with training_rows(df, [features], partitions) as rows:
         return reliability_estimator(k, features, seed).fit(rows)
 
 
 def gmm_reliability(
     df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """Fit on ``df`` and add ``probability`` (vector) and ``gmm_cluster`` (int)."""
     return fit_reliability(df, k, features, seed, partitions).transform(df)
@@ -67,23 +66,13 @@ def model_components(model: GaussianMixtureModel) -> list[Component]:
     ]
 
 
-def bic(log_likelihood: float, k: int, d: int, n: int) -> float:
-    """Criterion that counts the means and weights, but not the covariances."""
-    return (k * d + k - 1) * math.log(n) - 2 * log_likelihood
-
-
-def bic_full(log_likelihood: float, k: int, d: int, n: int) -> float:
-    """Criterion that counts every free parameter."""
-    return (k * d + k * d * (d + 1) // 2 + k - 1) * math.log(n) - 2 * log_likelihood
-
-
 SELECT_BY = ("log_likelihood", "bic", "bic_full")
 
 
 def gmm_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, select_by: str = "log_likelihood",
     features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int | None = None, parallelism: int = 1,
+    partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
 ) -> Sweep:
     """Fit every k and keep the largest log-likelihood, or the least criterion.
 
@@ -91,8 +80,7 @@ def gmm_sweep(
     """
     if select_by not in SELECT_BY:
         raise ValueError(f"select_by must be one of {SELECT_BY}")
-    columns = ["index", features] if partitions else [features]
-    with training_rows(df, columns, partitions) as rows:
+    with training_rows(df, [features], partitions) as rows:
         n = rows.count()
 
         def fit(k: int):
@@ -100,14 +88,17 @@ def gmm_sweep(
             return model, float(model.summary.logLikelihood)
 
         fits = run_all(df, fit, list(ks), parallelism)
-    table = []
-    for k, (model, fitness) in zip(ks, fits, strict=True):
-        d = len(model.gaussians[0].mean)
-        table.append((k, fitness, bic(fitness, k, d, n), bic_full(fitness, k, d, n)))
-    at = 1 + SELECT_BY.index(select_by)
-    best = first_largest([row[at] if at == 1 else -row[at] for row in table])
-    metrics = df.sparkSession.createDataFrame(
-        [(*row, place == best) for place, row in enumerate(table)],
+    spark, d = df.sparkSession, len(fits[0][0].gaussians[0].mean)
+    fitness = spark.createDataFrame(
+        [(k, value, n) for k, (_, value) in zip(ks, fits, strict=True)], "k int, log_likelihood double, n long")
+    scored = {row["k"]: row for row in with_criteria(fitness, d).collect()}  # one row per k
+    scores = [scored[k][select_by] if select_by == "log_likelihood" else -scored[k][select_by] for k in ks]
+    best = first_largest(scores)
+    metrics = spark.createDataFrame(
+        [
+            (k, scored[k]["log_likelihood"], scored[k]["bic"], scored[k]["bic_full"], place == best)
+            for place, k in enumerate(ks)
+        ],
         "k int, log_likelihood double, bic double, bic_full double, is_best boolean",
     )
     return Sweep(metrics, ks[best], fits[best][0])
@@ -165,7 +156,11 @@ def log_likelihood(df: DataFrame, columns: Sequence[str], parts: Sequence[Compon
 
 
 def with_criteria(metrics: DataFrame, d: int, rows: str = "n") -> DataFrame:
-    """Add ``bic`` and ``bic_full`` to a table of (k, log_likelihood, n)."""
+    """Add ``bic`` and ``bic_full`` to a table of (k, log_likelihood, n).
+
+    ``bic`` counts the means and weights but not the covariances, ``bic_full``
+    every free parameter.
+    """
     k, fitness, size = F.col("k"), F.col("log_likelihood"), F.log(F.col(rows).cast("double"))
     return metrics.withColumns({
         "bic": (k * d + k - 1) * size - 2 * fitness,
@@ -184,20 +179,25 @@ def sweep_summary(metrics: DataFrame, score: str = "log_likelihood") -> DataFram
 # --- profiles -------------------------------------------------------------------
 
 
-def reliability_profile(df: DataFrame) -> DataFrame:
+def reliability_cells(df: DataFrame) -> DataFrame:
+    """The towers per country, operator and cluster, for both profiles below."""
+    return tower_cells(df, ["Country", "Network", "gmm_cluster"], ["SAM", "data_age_days"])
+
+
+def reliability_profile(df: DataFrame, weight: str | None = None) -> DataFrame:
     """Mean samples, mean age and size per cluster, most samples first."""
     return (
         df.groupBy("gmm_cluster")
         .agg(
-            F.avg("SAM").alias("avg_sam"),
-            F.avg("data_age_days").alias("avg_days_old"),
-            F.count(F.lit(1)).alias("tower_count"),
+            tower_mean("SAM", weight).alias("avg_sam"),
+            tower_mean("data_age_days", weight).alias("avg_days_old"),
+            tower_count(weight).alias("tower_count"),
         )
         .orderBy(F.desc("avg_sam"), "gmm_cluster")
     )
 
 
-def operator_reliability(df: DataFrame) -> DataFrame:
+def operator_reliability(df: DataFrame, weight: str | None = None) -> DataFrame:
     """Country x operator x cluster counts."""
     keys = ["Country", "Network", "gmm_cluster"]
-    return count_by(df, keys, "tower_count").orderBy(*keys)
+    return count_by(df, keys, "tower_count", weight).orderBy(*keys)

@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import RELIABILITY_SHORT_LABELS
 from ..functions import lookup
 
 
@@ -33,11 +32,24 @@ def label_map(df: DataFrame, column: str, mapping: Mapping, output: str) -> Data
     return df.withColumn(output, lookup(F.col(column), mapping))
 
 
-def country_reliability(df: DataFrame, labels: Mapping = RELIABILITY_SHORT_LABELS) -> DataFrame:
-    """Country x reliability cluster totals from the operator report."""
+def named(df: DataFrame, column: str, labels: Mapping | None, output: str) -> DataFrame:
+    """Add the label of each code, or ``Cluster <code>`` where no labels are given.
+
+    Cluster numbers are arbitrary: labels belong to one trained model.
+    """
+    if labels:
+        return label_map(df, column, labels, output)
+    return df.withColumn(output, F.concat(F.lit("Cluster "), F.col(column).cast("int").cast("string")))
+
+
+def country_reliability(df: DataFrame, labels: Mapping | None = None) -> DataFrame:
+    """Country x reliability cluster totals from the operator report.
+
+    Without ``labels`` clusters are named by their number.
+    """
     totals = df.groupBy("Country", "gmm_cluster").agg(F.sum("tower_count").alias("tower_count"))
     return (
-        label_map(totals, "gmm_cluster", labels, "gmm_cluster_short")
+        named(totals, "gmm_cluster", labels, "gmm_cluster_short")
         .select("Country", "gmm_cluster", "gmm_cluster_short", "tower_count")
         .orderBy("Country", "gmm_cluster")
     )

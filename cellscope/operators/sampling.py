@@ -15,10 +15,17 @@ CELL_IDENTITY = ("radio", "MCC", "MNC", "TAC", "CID", "created")
 
 
 def row_key(df: DataFrame, key: str = "index") -> Column:
-    """Text that identifies a row: its key, or the cell identity where that is null."""
-    spare = [name for name in CELL_IDENTITY if name in df.columns]
-    other = F.xxhash64(*spare).cast("string") if spare else F.lit("")
-    return F.coalesce(F.col(key).cast("string"), other)
+    """Text that identifies a row: its key, or the cell identity where that is null.
+
+    A row without a key needs all columns of the identity, else the query fails:
+    its draw must not depend on which columns happen to be selected.
+    """
+    missing = [name for name in CELL_IDENTITY if name not in df.columns]
+    spare = (
+        F.raise_error(F.lit(f"{key} is null, and the cell identity lacks {missing}")).cast("string")
+        if missing else F.xxhash64(*CELL_IDENTITY).cast("string")
+    )
+    return F.coalesce(F.col(key).cast("string"), spare)
 
 
 def row_draw(df: DataFrame, purpose: str, seed: int = SEED, key: str = "index") -> Column:

@@ -12,6 +12,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
+from ..config import TRAINING_PARTITIONS
+from .sampling import row_key
+
 
 @dataclass(frozen=True)
 class Sweep:
@@ -24,7 +27,7 @@ class Sweep:
 
 @contextmanager
 def training_rows(
-    df: DataFrame, columns: Sequence[str], partitions: int | None = None, key: str = "index"
+    df: DataFrame, columns: Sequence[str], partitions: int = TRAINING_PARTITIONS, key: str = "index"
 ) -> Iterator[DataFrame]:
     """The columns that training reads, kept while the block runs.
 
@@ -33,26 +36,22 @@ def training_rows(
     One job fills them before the block starts: fits that run side by side must
     not fill the same cache at once.
 
-    MLlib's random starts follow the partitioning: with ``partitions`` the rows
-    are put in one order by key, which costs a shuffle and makes fits repeatable
-    on differently split inputs.  Without it the partitions stay as they are,
-    unless there are fewer than cores: such rows are few and are spread out.
+    MLlib's random starts follow the partitioning, so the rows are dealt to a
+    given number of partitions by their identity and ordered by it: the model
+    depends neither on the cores nor on how the input is split.  Rows without
+    an index spread like all others.
     """
-    rows = df.select(*columns)
-    if partitions:
-        rows = rows.repartition(partitions, key).sortWithinPartitions(key)
-    kept = [rows.persist(StorageLevel.MEMORY_AND_DISK)]
+    rows = (
+        df.withColumn("__key", row_key(df, key))
+        .select(*columns, "__key")
+        .repartition(partitions, "__key").sortWithinPartitions("__key")
+        .drop("__key").persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
         rows.count()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if not partitions and rows.rdd.getNumPartitions() < cores:
-            rows = rows.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(rows)
-            rows.count()
         yield rows
     finally:
-        for table in kept:
-            table.unpersist()
+        rows.unpersist()
 
 
 def run_all(

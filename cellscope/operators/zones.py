@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SEED, SILHOUETTE_SAMPLE, SWEEP_KS
+from ..config import SEED, SILHOUETTE_SAMPLE, SWEEP_KS, TRAINING_PARTITIONS
 from .measures import count_by, tower_cells, tower_count, tower_mean
 from .sampling import row_draw
 from .sweeps import Sweep, first_largest, run_all, training_rows
@@ -32,16 +32,15 @@ def zone_estimator(k: int, features: str = ZONE_FEATURES, seed: int = SEED) -> K
 
 def fit_zones(
     df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> KMeansModel:
-    columns = ["index", features] if partitions else [features]
-    with training_rows(df, columns, partitions) as rows:
+    with training_rows(df, [features], partitions) as rows:
         return zone_estimator(k, features, seed).fit(rows)
 
 
 def kmeans_zones(
     df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """Fit on ``df`` and add the zone as ``prediction`` (int)."""
     return fit_zones(df, k, features, seed, partitions).transform(df)
@@ -66,15 +65,14 @@ def silhouette(df: DataFrame, features: str = ZONE_FEATURES, prediction: str = "
 
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, features: str = ZONE_FEATURES, seed: int = SEED,
-    fraction: float = SILHOUETTE_SAMPLE, partitions: int | None = None, parallelism: int = 1,
+    fraction: float = SILHOUETTE_SAMPLE, partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
 ) -> Sweep:
     """Fit every k and keep the best silhouette, measured on a sample of the rows.
 
     Metrics: (k, silhouette_score, wssse, is_best).  The first k wins a tie.
     """
     marked = df.withColumn("in_sample", row_draw(df, "sample", seed) < F.lit(float(fraction)))
-    columns = [*(["index"] if partitions else []), features, "in_sample"]
-    with training_rows(marked, columns, partitions) as rows:
+    with training_rows(marked, [features, "in_sample"], partitions) as rows:
 
         def fit(k: int):
             model = zone_estimator(k, features, seed).fit(rows)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RULES, CleanRules
 from ..operators.encoding import encode_towers
 from ..operators.features import enrich
-from ..operators.quality import clean_towers, quality_funnel
-from ..sources import CLEAN_COLUMNS, read_towers_csv, stage_table, write_report, write_table
+from ..operators.quality import clean_towers, cleaned_with_steps, funnel_of, quality_steps
+from ..sources import CLEAN_COLUMNS, read_towers_csv, staged_table, write_report, write_table
 
 
 def preprocess(raw: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
@@ -28,15 +29,16 @@ def preprocess_csv(
 ) -> None:
     """CSV files to the clean Parquet table, and the quality funnel if asked.
 
-    The text is parsed once.  Without a funnel the cleaned rows are staged as
-    Parquet in the shared folder; with one the raw rows are, because the funnel
-    counts rows that cleaning removes.  Fitting and writing then read Parquet.
+    The text is parsed once and every predicate evaluated once: staged in the
+    shared folder are the cleaned rows and, for the funnel, the number of the
+    step at which each other row fails.  Fitting and writing then read Parquet;
+    the staged table is gone when the job ends.
     """
     raw = read_towers_csv(spark, source)
-    if funnel:
-        raw = stage_table(raw, "raw")
-        write_report(quality_funnel(raw, rules), funnel)
-    rows = enrich(clean_towers(raw, rules), rules)
-    if not funnel:
-        rows = stage_table(rows, "clean")
-    write_table(encode_towers(rows).select(*CLEAN_COLUMNS), table, partition_by)
+    names = [name for name, _ in quality_steps(raw, rules)]
+    with staged_table(cleaned_with_steps(raw, rules) if funnel else clean_towers(raw, rules), "clean") as staged:
+        if funnel:
+            write_report(funnel_of(staged.select("failed_at"), names), funnel)
+            staged = staged.filter(F.col("failed_at") == len(names) + 1).drop("failed_at")
+        rows = enrich(staged, rules)
+        write_table(encode_towers(rows).select(*CLEAN_COLUMNS), table, partition_by)

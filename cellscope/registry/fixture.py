@@ -38,6 +38,17 @@ MIXTURE = (
     (0.10, (0.50, 0.40), (0.040, -0.003, 0.050)),
 )
 
+# Names for the numbers of these centres and Gaussians, and headings for a table.
+ZONE_LABELS = {0: "south-west", 1: "south-east", 2: "middle", 3: "north-west", 4: "north-east"}
+RELIABILITY_LABELS = {
+    0: "few samples, new", 1: "some samples, recent", 2: "some samples, old", 3: "many samples, new", 4: "many samples, aged",
+}
+SHORT_LABELS = {0: "few", 1: "some", 2: "old", 3: "many", 4: "aged"}
+HEADINGS = {
+    "Country": "country", "Network": "operator", "gmm_cluster": "cluster",
+    "gmm_cluster_name": "cluster name", "tower_count": "towers",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,7 +6,7 @@ Spark code only the fixed values and the parameters of the fixture.
 
 from __future__ import annotations
 
-from .fixture import CENTERS, MIXTURE
+from .fixture import CENTERS, MIXTURE, RELIABILITY_LABELS, SHORT_LABELS, ZONE_LABELS
 
 # --- common table expressions ---------------------------------------------------
 
@@ -347,26 +347,40 @@ MODERN = """SELECT Country, count(*) AS total_towers,
   round(count(*) FILTER (WHERE radio IN ('LTE', 'NR')) * 100.0::DOUBLE / count(*), 6) AS modernization_percentage,
   round(avg(data_age_days), 6) AS avg_data_age_days FROM rich GROUP BY Country"""
 sql("a4_modernisation", RICH, MODERN)
-sql("a_reports_from_cells", RICH, MODERN)
 sql("a5_ownership_hierarchy", CLEAN, OWNERSHIP)
 sql("a6_yearly_growth", RICH, "SELECT created_year, count(*) AS count FROM rich GROUP BY created_year")
 DOMINANT = """SELECT Network, Country, cnt FROM (
     SELECT Network, Country, count(*) AS cnt, rank() OVER (PARTITION BY Network ORDER BY count(*) DESC) AS place
     FROM clean GROUP BY Network, Country) WHERE place = 1"""
 sql("a7_dominant_value", CLEAN, DOMINANT)
-sql("a8_top_operators", f"{CLEAN}, home AS ({DOMINANT})", """SELECT t.Network, t.total_menara_asean,
+LARGEST = """SELECT t.Network, t.total_menara_asean,
   h.Country AS Negara_Dominan
   FROM (SELECT Network, count(*) AS total_menara_asean FROM clean GROUP BY Network) t
   JOIN home h ON t.Network = h.Network
-  ORDER BY t.total_menara_asean DESC, t.Network, h.Country LIMIT 10""")
+  ORDER BY t.total_menara_asean DESC, t.Network, h.Country LIMIT 10"""
+sql("a8_top_operators", f"{CLEAN}, home AS ({DOMINANT})", LARGEST)
+sql("a_reports_from_cells", f"{RICH}, home AS ({DOMINANT})", f"""
+SELECT 'share' AS report, generasi AS item,
+  round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS value FROM rich GROUP BY generasi
+UNION ALL SELECT 'top', Country || '|' || Network, rank::DOUBLE FROM ({TOP3})
+UNION ALL SELECT 'modernisation', Country, modernization_percentage FROM ({MODERN})
+UNION ALL SELECT 'ownership', Country || '|' || Network, percentage_share FROM ({OWNERSHIP})
+UNION ALL SELECT 'growth', created_year::VARCHAR, count(*)::DOUBLE FROM rich GROUP BY created_year
+UNION ALL SELECT 'operators', Network || '|' || Negara_Dominan, total_menara_asean::DOUBLE FROM ({LARGEST})""")
 sql("a9_distinct_values", ZONED, "SELECT DISTINCT prediction FROM zoned")
 sql("a10_join_models", LABELLED, """SELECT z.index, z.Country, z.SAM, z.prediction, r.gmm_cluster
   FROM labelled z JOIN labelled r ON z.index = r.index""")
 
 # --- zones ----------------------------------------------------------------------
 
-sql("k1_zone_check", CLEAN,
-    "SELECT count(*) AS towers, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS not_nearest FROM clean")
+# What SQL cannot know of a trained model is a property that must hold for any
+# well-trained one; counts, draws and folds are computed here.
+sql("k1_kmeans_zones", CLEAN, "SELECT index, Country, true AS in_nearest_zone FROM clean")
+sql("k1_zone_check", CLEAN, """SELECT count(*) AS towers, CAST(0 AS BIGINT) AS out_of_range,
+  CAST(0 AS BIGINT) AS not_nearest, CAST(5 AS BIGINT) AS zones, true AS better_than_fixed FROM clean""")
+sql("k2_kmeans_sweep", CLEAN, f"""SELECT unnest([2, 3, 4, 5]) AS k,
+  (SELECT count(*) FROM clean WHERE {draw('sample')} < 0.1::DOUBLE) AS sample_rows,
+  true AS in_range, true AS first_best_is_marked, true AS cost_follows""")
 sql("k3_silhouette", f"""{ZONED},
 points AS (
   SELECT index AS id, prediction AS c, lon_s, lat_s, range_s,
@@ -409,10 +423,13 @@ sql("k11_cluster_coverage", ZONED,
     "SELECT prediction, jangkauan, count(*) AS count FROM zoned GROUP BY prediction, jangkauan")
 sql("k12_sample_rows", CLEAN, f"SELECT index, Country FROM clean WHERE {draw('sample')} < 0.1::DOUBLE")
 sql("k13_sample_n", ZONED, f"""SELECT {degrees('LAT')}, {degrees('LON')}, prediction, Country, Network FROM zoned
-  WHERE {draw('sample')} < 1000::DOUBLE / (SELECT count(*) FROM zoned)""")
+  WHERE {draw('sample')} < 10000::DOUBLE / (SELECT count(*) FROM zoned)""")
 
 # --- reliability ----------------------------------------------------------------
 
+sql("g1_gmm_reliability", CLEAN, "SELECT index, true AS one_in_all, true AS label_is_largest FROM clean")
+sql("g2_gmm_sweep", CLEAN, """SELECT unnest([2, 3, 4, 5]) AS k, (SELECT count(*) FROM clean) AS n,
+  true AS first_best_is_marked, true AS fitness_follows, true AS criteria_follow""")
 sql("g1_membership_check", CLEAN,
     "SELECT count(*) AS towers, CAST(0 AS BIGINT) AS not_one, CAST(0 AS BIGINT) AS not_largest FROM clean")
 sql("g3_log_likelihood", DENSE,
@@ -456,28 +473,41 @@ EXPORT = f"""SELECT index, {degrees('LAT')}, {degrees('LON')}, Country, Network,
   RANGE, SAM, round(data_age_days, 6) AS data_age_days, prediction AS kmeans_target_cluster, gmm_cluster,
   prediction_rf AS rf_predicted_cluster FROM classified"""
 sql("r9_prediction_report", CLASSIFIED, EXPORT)
-sql("r10_model_reload", CLEAN,
-    f"SELECT count(*) AS towers, CAST(0 AS BIGINT) AS differing FROM clean WHERE {draw('split')} >= 0.8::DOUBLE")
+sql("r4_fit_forest", CLEAN, f"""SELECT CAST(50 AS INTEGER) AS trees, CAST(7 AS INTEGER) AS features,
+  true AS depth_fits, true AS importances_fit, count(*) AS training_rows FROM clean WHERE {draw('split')} < 0.8::DOUBLE""")
+sql("r5_cross_validate", CLEAN, f"""SELECT CAST(floor({draw('fold')} * 5) AS INTEGER) AS fold, count(*) AS rows,
+  true AS above_majority FROM clean WHERE {draw('split')} < 0.8::DOUBLE GROUP BY 1""")
+sql("r6_score", ZONED, f"""SELECT index, CAST(prediction AS DOUBLE) AS target_label, true AS one_in_all,
+  true AS largest_is_predicted FROM zoned WHERE {draw('split')} >= 0.8::DOUBLE""")
+sql("r10_model_reload", CLEAN, f"""SELECT count(*) AS towers, CAST(0 AS BIGINT) AS differing,
+  CAST(0 AS BIGINT) AS zones_differing, CAST(0 AS BIGINT) AS clusters_differing
+  FROM clean WHERE {draw('split')} >= 0.8::DOUBLE""")
 
 # --- run metrics ----------------------------------------------------------------
 
-sql("m2_best_run", MIX_SWEEP, """SELECT 'GMM' AS experiment, 'GMM_K_' || CAST(k AS VARCHAR) AS run_name,
+sql("m1_run_metrics", MIX_SWEEP, """
+, best AS (SELECT * FROM sweep ORDER BY log_likelihood DESC, k LIMIT 1)
+SELECT 'one' AS run_id, 'GMM' AS experiment, 'GMM_K_' || CAST(k AS VARCHAR) AS run_name, kind, key, value FROM (
+  SELECT k, 'param' AS kind, 'k' AS key, CAST(k AS DOUBLE) AS value FROM sweep
+  UNION ALL SELECT k, 'metric', 'log_likelihood', round(log_likelihood, 4) FROM sweep)
+UNION ALL SELECT 'one', 'GMM', 'Final_Best_GMM', 'param', 'best_k', CAST(k AS DOUBLE) FROM best
+UNION ALL SELECT 'one', 'GMM', 'Final_Best_GMM', 'metric', 'log_likelihood', round(log_likelihood, 4) FROM best""")
+sql("m2_best_run", MIX_SWEEP, """SELECT 'one' AS run_id, 'GMM' AS experiment, 'GMM_K_' || CAST(k AS VARCHAR) AS run_name,
   round(log_likelihood, 4) AS value FROM sweep
   ORDER BY log_likelihood DESC, k LIMIT 1""")
 
 # --- dashboard views ------------------------------------------------------------
 
-ZONE_NAME = """CASE prediction WHEN 0 THEN 'Cluster 0 (Filipina / Urban Padat)'
-  WHEN 1 THEN 'Cluster 1 (Indonesia / Heterogen)' WHEN 2 THEN 'Cluster 2 (Malaysia-Singapura / Modern)'
-  WHEN 3 THEN 'Cluster 3 (Mainland ASEAN / Rural-Suburban)'
-  WHEN 4 THEN 'Cluster 4 (Kawasan Perbatasan / Khusus)' END"""
-LONG_NAME = """CASE gmm_cluster WHEN 0 THEN 'Klaster 0 — Keandalan Sangat Tinggi (Outlier Aktif)'
-  WHEN 1 THEN 'Klaster 1 — Data Andal & Sangat Segar'
-  WHEN 2 THEN 'Klaster 2 — Data Menengah / Segar tapi SAM Rendah'
-  WHEN 3 THEN 'Klaster 3 — Data Rendah / Jarang Diperbarui'
-  WHEN 4 THEN 'Klaster 4 — Data Sangat Rendah / Tidak Terverifikasi' END"""
-SHORT_THREE = """WHEN 0 THEN 'K0 — Outlier Aktif' WHEN 1 THEN 'K1 — Andal & Segar'
-  WHEN 2 THEN 'K2 — Menengah' WHEN 3 THEN 'K3 — Jarang Diperbarui'"""
+
+
+def named(column: str, labels: dict[int, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {code} THEN '{label}'" for code, label in labels.items()) + " END"
+
+
+ZONE_NAME = named("prediction", ZONE_LABELS)
+LONG_NAME = named("gmm_cluster", RELIABILITY_LABELS)
+SHORT_NAME = named("gmm_cluster", SHORT_LABELS)
+SHORT_NAME_BUT_LAST = named("gmm_cluster", {code: label for code, label in SHORT_LABELS.items() if code != 4})
 
 
 def tree(source: str, path: list[str], value: str) -> str:
@@ -500,10 +530,10 @@ sql("d2_zone_tree", f"""{ZONED}, report AS (
   SELECT {ZONE_NAME} AS Cluster_Name, Country, Network, count(*) AS count FROM zoned GROUP BY ALL)""",
     tree("report", ["Cluster_Name", "Country", "Network"], "count"))
 sql("d3_label_map", LABELLED, f"""SELECT gmm_cluster, {LONG_NAME} AS gmm_cluster_name,
-  CASE gmm_cluster {SHORT_THREE} END AS gmm_cluster_short, count(*) AS tower_count
+  {SHORT_NAME_BUT_LAST} AS gmm_cluster_short, count(*) AS tower_count
   FROM labelled GROUP BY gmm_cluster""")
 sql("d4_country_reliability", LABELLED, f"""SELECT Country, gmm_cluster,
-  CASE gmm_cluster {SHORT_THREE} WHEN 4 THEN 'K4 — Sangat Rendah' END AS gmm_cluster_short,
+  {SHORT_NAME} AS gmm_cluster_short,
   count(*) AS tower_count FROM labelled GROUP BY Country, gmm_cluster""")
 sql("d5_slice_all", OPERATOR_REPORT, "SELECT * FROM report")
 sql("d5_slice_country", OPERATOR_REPORT, "SELECT * FROM report WHERE Country = 'Indonesia'")
@@ -532,5 +562,5 @@ sql("d11_first_rows", CLASSIFIED, EXPORT + " ORDER BY index LIMIT 100")
 sql("d12_share_within", ZONED, """SELECT prediction, generasi, count(*) AS count,
   round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY prediction), 6) AS percentage
   FROM zoned GROUP BY prediction, generasi""")
-sql("d13_display", OPERATOR_REPORT, f"""SELECT Country AS Negara, Network AS Operator, gmm_cluster AS Klaster,
-  {LONG_NAME} AS "Label Klaster", tower_count AS "Jumlah Menara" FROM report""")
+sql("d13_display", OPERATOR_REPORT, f"""SELECT Country AS country, Network AS operator, gmm_cluster AS cluster,
+  {LONG_NAME} AS "cluster name", tower_count AS towers FROM report""")

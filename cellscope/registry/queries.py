@@ -8,8 +8,10 @@ SQL can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.clustering import GaussianMixtureModel, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,15 +41,26 @@ from ..sources import (
     read_towers_csv,
     row_counts,
     stage_table,
+    temporary_workspace,
     write_report,
     write_rows_csv,
     write_table,
 )
-from .fixture import CENTERS, MIXTURE, table, towers_raw
+from .fixture import (
+    CENTERS,
+    HEADINGS,
+    MIXTURE,
+    RELIABILITY_LABELS,
+    SHORT_LABELS,
+    ZONE_LABELS,
+    table,
+    towers_raw,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+PARTITIONS = 8  # of the training rows; the given tables are small
 POSITION = ("lon_s", "lat_s", "range_s")
 RELIABILITY = ("sam_s", "age_s")
 PARTS = [
@@ -448,37 +461,80 @@ def a10_join_models(spark, sf):
 
 @query
 def a_reports_from_cells(spark, sf):
-    """Growth, modernisation and ownership from one pre-aggregated table."""
-    cells = reports.report_cells(rich(spark, sf))
-    return rounded(reports.modernisation(cells, CELL_WEIGHT))
+    """All six reports from one pre-aggregated table: (report, item, value)."""
+    cells = stage_table(reports.report_cells(rich(spark, sf)), "report-cells")
+    made = {
+        "share": (reports.category_share(cells, "generasi", weight=CELL_WEIGHT), ["generasi"], "percentage"),
+        "top": (reports.top_k_per_group(cells, "Country", "Network", 3, CELL_WEIGHT), ["Country", "Network"], "rank"),
+        "modernisation": (reports.modernisation(cells, CELL_WEIGHT), ["Country"], "modernization_percentage"),
+        "ownership": (
+            reports.ownership_hierarchy(cells, weight=CELL_WEIGHT), ["Country", "Network"], "percentage_share"),
+        "growth": (reports.yearly_growth(cells, CELL_WEIGHT), ["created_year"], "count"),
+        "operators": (
+            reports.top_operators(cells, 10, CELL_WEIGHT), ["Network", "Negara_Dominan"], "total_menara_asean"),
+    }
+    return rounded(reduce(DataFrame.unionByName, [
+        report.select(
+            F.lit(name).alias("report"), F.concat_ws("|", *[F.col(key).cast("string") for key in keys]).alias("item"),
+            F.col(value).cast("double").alias("value"))
+        for name, (report, keys, value) in made.items()
+    ]))
 
 
 # --- zones ----------------------------------------------------------------------
 
 
+def _trained_zones(spark: SparkSession, sf: str):
+    """A trained model, the towers with its zones, and those of the nearest centres."""
+    rows = encoded(spark, sf)
+    model = zones.fit_zones(rows, 5, partitions=PARTITIONS)
+    scored = model.transform(rows)
+    scored = scored.select("index", "Country", "prediction", *elements(scored, "prediction_features", "f", 3))
+    return model, zones.assign_nearest(scored, ["f0", "f1", "f2"], model.clusterCenters(), "nearest", "distance")
+
+
 @query
 def k1_kmeans_zones(spark, sf):
-    return zones.kmeans_zones(encoded(spark, sf), 5).select("index", "Country", "prediction")
+    """Every tower is in the zone of its nearest centre."""
+    _, rows = _trained_zones(spark, sf)
+    return rows.select("index", "Country", (F.col("prediction") == F.col("nearest")).alias("in_nearest_zone"))
 
 
 @query
 def k1_zone_check(spark, sf):
-    """A trained model puts every tower into the zone of its nearest centre."""
-    rows = encoded(spark, sf)
-    model = zones.fit_zones(rows, 5)
-    scored = model.transform(rows)
-    scored = scored.select("prediction", *elements(scored, "prediction_features", "f", 3))
-    again = zones.assign_nearest(scored, ["f0", "f1", "f2"], model.clusterCenters(), "nearest")
-    return again.agg(
+    """The trained zones are all in use and cost no more than the fixed centres."""
+    _, rows = _trained_zones(spark, sf)
+    fixed = zones.assign_nearest(rows, ["f0", "f1", "f2"], CENTERS, "other", "other_distance")
+    return fixed.agg(
         F.count(F.lit(1)).alias("towers"),
         F.count_if(~F.col("prediction").between(0, 4)).alias("out_of_range"),
         F.count_if(F.col("prediction") != F.col("nearest")).alias("not_nearest"),
+        F.count_distinct("prediction").alias("zones"),
+        (F.sum("distance") <= F.sum("other_distance")).alias("better_than_fixed"),
     )
 
 
+def _first_best(metrics: DataFrame, score: str) -> DataFrame:
+    """Whether exactly the first largest score is marked, on every row."""
+    top = metrics.agg(F.max(F.struct(F.col(score), -F.col("k"))).alias("top")).select(-F.col("top.col2"))
+    best = metrics.withColumn("__right", F.col("is_best") == (F.col("k") == top.scalar()))
+    return best.withColumn("first_best_is_marked", F.col("__right")).drop("__right")
+
+
 @query
 def k2_kmeans_sweep(spark, sf):
-    return zones.kmeans_sweep(encoded(spark, sf)).metrics
+    """The sweep over all k: its marks, ranges, sample, and the cost of the best model."""
+    rows = encoded(spark, sf)
+    sweep = zones.kmeans_sweep(rows, partitions=PARTITIONS)
+    sample = rows.filter(sampling.row_draw(rows, "sample") < F.lit(config.SILHOUETTE_SAMPLE)).count()
+    points = rows.select(*elements(rows, "prediction_features", "f", 3))
+    cost = zones.wssse(points, ["f0", "f1", "f2"], sweep.best_model.clusterCenters()).first()[0]
+    close = F.abs(F.col("wssse") - F.lit(cost)) <= F.lit(1e-5 * cost)
+    return _first_best(sweep.metrics, "silhouette_score").select(
+        "k", F.lit(sample).cast("long").alias("sample_rows"),
+        F.col("silhouette_score").between(-1, 1).alias("in_range"), "first_best_is_marked",
+        (close | ~F.col("is_best")).alias("cost_follows"),
+    )
 
 
 @query
@@ -545,7 +601,7 @@ def k12_sample_rows(spark, sf):
 
 @query
 def k13_sample_n(spark, sf):
-    chosen = sampling.sample_n(in_zones(spark, sf), 1000)
+    chosen = sampling.sample_n(in_zones(spark, sf))
     return rounded(chosen.select("LAT", "LON", "prediction", "Country", "Network"))
 
 
@@ -566,29 +622,45 @@ def _fixed_sweep(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _memberships(spark: SparkSession, sf: str) -> DataFrame:
+    rows = reliability.gmm_reliability(encoded(spark, sf), len(PARTS), partitions=PARTITIONS)
+    total = F.aggregate("p", F.lit(0.0), lambda total, share: total + share)
+    return rows.select("index", "gmm_cluster", vector_to_array("probability").alias("p")).select(
+        "index", (F.abs(total - 1) <= 1e-9).alias("one_in_all"),
+        (F.get("p", F.col("gmm_cluster")) >= F.array_max("p")).alias("label_is_largest"))
+
+
 @query
 def g1_gmm_reliability(spark, sf):
-    rows = reliability.gmm_reliability(encoded(spark, sf), 3)
-    return rounded(rows.select("index", "gmm_cluster", *elements(rows, "probability", "p", 3)))
+    """Memberships sum to 1 and the label is the largest of them, tower by tower."""
+    return _memberships(spark, sf)
 
 
 @query
 def g1_membership_check(spark, sf):
-    """Memberships sum to 1 and the label is the largest of them."""
-    rows = reliability.gmm_reliability(encoded(spark, sf), 3)
-    shares = vector_to_array("probability")
-    return rows.select("gmm_cluster", shares.alias("p")).agg(
+    return _memberships(spark, sf).agg(
         F.count(F.lit(1)).alias("towers"),
-        F.count_if(
-            F.abs(F.aggregate("p", F.lit(0.0), lambda total, share: total + share) - 1) > 1e-9
-        ).alias("not_one"),
-        F.count_if(F.get("p", F.col("gmm_cluster")) < F.array_max("p")).alias("not_largest"),
+        F.count_if(~F.col("one_in_all")).alias("not_one"),
+        F.count_if(~F.col("label_is_largest")).alias("not_largest"),
     )
 
 
 @query
 def g2_gmm_sweep(spark, sf):
-    return reliability.gmm_sweep(encoded(spark, sf)).metrics
+    """The sweep over all k: its marks, its criteria, and the fitness of the best model."""
+    rows = encoded(spark, sf)
+    sweep = reliability.gmm_sweep(rows, partitions=PARTITIONS)
+    points = rows.select(*elements(rows, "reliability_metrics", "f", 2))
+    fitness = reliability.log_likelihood(points, ["f0", "f1"], reliability.model_components(sweep.best_model)).first()[0]
+    n = rows.count()
+    near = lambda a, b: F.abs(a - b) <= 1e-5 * F.greatest(F.abs(b), F.lit(1.0))
+    k, size, value = F.col("k"), F.log(F.lit(float(n))), F.col("log_likelihood")
+    return _first_best(sweep.metrics, "log_likelihood").select(
+        "k", F.lit(n).cast("long").alias("n"), "first_best_is_marked",
+        (near(value, F.lit(fitness)) | ~F.col("is_best")).alias("fitness_follows"),
+        (near(F.col("bic"), (3 * k - 1) * size - 2 * value)
+         & near(F.col("bic_full"), (6 * k - 1) * size - 2 * value)).alias("criteria_follow"),
+    )
 
 
 @query
@@ -649,26 +721,40 @@ def r3_split(spark, sf):
 
 @query
 def r4_fit_forest(spark, sf):
-    """Importance of each feature in a small forest."""
+    """The forest at its full size: trees, depth, features and importances."""
     train, _ = sampling.split(forest_rows(spark, sf), config.TRAIN_TEST_WEIGHTS)
-    model = classify.fit_forest(train, trees=10, depth=5)
-    weights = [float(value) for value in model.featureImportances.toArray()]
-    return spark.createDataFrame(
-        list(zip(config.FOREST_FEATURES, weights, strict=True)), "feature string, importance double"
+    model = classify.fit_forest(train, partitions=PARTITIONS)
+    weights = model.featureImportances.toArray()
+    deepest = max(tree.depth for tree in model.trees)
+    return train.agg(F.count(F.lit(1)).alias("training_rows")).select(
+        F.lit(model.getNumTrees).alias("trees"), F.lit(model.numFeatures).alias("features"),
+        F.lit(0 < deepest <= config.FOREST_DEPTH).alias("depth_fits"),
+        F.lit(bool(weights.min() >= 0 and abs(weights.sum() - 1) < 1e-9)).alias("importances_fit"),
+        "training_rows",
     )
 
 
 @query
 def r5_cross_validate(spark, sf):
+    """Rows per fold, and whether the mean F1 beats naming the largest class everywhere."""
     train, _ = sampling.split(forest_rows(spark, sf), config.TRAIN_TEST_WEIGHTS)
-    return classify.cross_validate(train, [10], [5], folds=3).scores
+    mean_f1 = classify.cross_validate(train, partitions=PARTITIONS).scores.first()["mean_f1"]
+    largest = train.groupBy("target_label").count().agg((F.max("count") / F.sum("count")).alias("share"))
+    share = largest.first()["share"]
+    folds = sampling.with_fold(train, config.FOREST_FOLDS).groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    return folds.withColumn("above_majority", F.lit(mean_f1 > share * 2 * share / (1 + share)))
 
 
 @query
 def r6_score(spark, sf):
+    """Class probabilities sum to 1 and the prediction is the largest, tower by tower."""
     train, test = sampling.split(forest_rows(spark, sf), config.TRAIN_TEST_WEIGHTS)
-    scored = classify.score(classify.fit_forest(train, trees=10, depth=5), test)
-    return rounded(scored.select("index", "target_label", "prediction_rf", *elements(scored, "probability", "p", 5)))
+    scored = classify.score(classify.fit_forest(train, partitions=PARTITIONS), test)
+    total = F.aggregate("p", F.lit(0.0), lambda total, share: total + share)
+    return scored.select("index", "target_label", "prediction_rf", vector_to_array("probability").alias("p")).select(
+        "index", "target_label", (F.abs(total - 1) <= 1e-9).alias("one_in_all"),
+        (F.get("p", F.col("prediction_rf").cast("int")) >= F.array_max("p")).alias("largest_is_predicted"),
+    )
 
 
 @query
@@ -694,43 +780,50 @@ def r9_prediction_report(spark, sf):
 
 @query
 def r10_model_reload(spark, sf):
-    """A forest read back from its folder scores every tower as before."""
+    """A forest and both clusterings read back from their folders score as before."""
+    rows = encoded(spark, sf)
     train, test = sampling.split(forest_rows(spark, sf), config.TRAIN_TEST_WEIGHTS)
-    model = classify.fit_forest(train, trees=5, depth=4)
-    path = new_workspace(spark, "forest")
-    classify.save_model(model, path)
-    again = classify.load_model(RandomForestClassificationModel, path)
-    first = classify.score(model, test).select("rf_features", F.col("prediction_rf").alias("before"))
-    both = classify.score(again, first)
-    return both.agg(
-        F.count(F.lit(1)).alias("towers"),
-        F.count_if(F.col("before") != F.col("prediction_rf")).alias("differing"),
+
+    def reloaded(kind: type, model):
+        with temporary_workspace(spark, "model") as path:
+            classify.save_model(model, path)
+            return classify.load_model(kind, path)
+
+    def differing(kind: type, model, rows: DataFrame, output: str, features: str) -> DataFrame:
+        first = classify.score(model, rows).select(features, F.col(output).alias("before"))
+        both = classify.score(reloaded(kind, model), first)
+        return both.agg(F.count_if(F.col("before") != F.col(output)).alias("n"))
+
+    forest = classify.fit_forest(train, partitions=PARTITIONS)
+    return test.agg(F.count(F.lit(1)).alias("towers")).select(
+        "towers",
+        differing(RandomForestClassificationModel, forest, test, "prediction_rf", "rf_features").scalar().alias("differing"),
+        differing(KMeansModel, zones.fit_zones(rows, 5, partitions=PARTITIONS), rows.drop("prediction"), "prediction", "prediction_features")
+        .scalar().alias("zones_differing"),
+        differing(GaussianMixtureModel, reliability.fit_reliability(rows, 5, partitions=PARTITIONS), rows, "gmm_cluster", "reliability_metrics")
+        .scalar().alias("clusters_differing"),
     )
 
 
 # --- run metrics ----------------------------------------------------------------
 
 
+def _run_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs of the fixed mixtures and their final run, as the jobs write them."""
+    sweep = reliability.sweep_summary(_fixed_sweep(spark, sf))
+    table_of_runs = runs.sweep_runs(sweep, "GMM", ["log_likelihood"], "one")
+    return stage_table(table_of_runs.unionByName(runs.final_run(sweep, "GMM", ["log_likelihood"], "one")), "runs")
+
+
 @query
 def m1_run_metrics(spark, sf):
-    sweep = zones.kmeans_sweep(encoded(spark, sf), [2, 3])
-    path = new_workspace(spark, "runs")
-    write_table(runs.sweep_runs(sweep.metrics, "KMeans", ["silhouette_score", "wssse"]), path, mode="append")
-    final = sweep.metrics.filter("is_best").first()
-    best = runs.run_metrics(
-        spark, f"Final_Best_Model_K{sweep.best_k}",
-        {"best_k": sweep.best_k},
-        {"silhouette_score": final["silhouette_score"], "wssse": final["wssse"]},
-    )
-    write_table(best, path, mode="append")
-    return spark.read.parquet(path)
+    return rounded(_run_table(spark, sf).withColumn("value", F.col("value").cast("double")), 4)
 
 
 @query
 def m2_best_run(spark, sf):
-    """Best of the fixed mixtures, from their run metrics."""
-    table_of_runs = runs.sweep_runs(_fixed_sweep(spark, sf), "GMM", ["log_likelihood"])
-    return rounded(runs.best_run(table_of_runs, "log_likelihood"), 4)
+    """Best of the fixed mixtures, from the table that also has their final run."""
+    return rounded(runs.best_run(_run_table(spark, sf), "log_likelihood"), 4)
 
 
 # --- dashboard views ------------------------------------------------------------
@@ -745,7 +838,7 @@ def d1_operator_tree(spark, sf):
 @query
 def d2_zone_tree(spark, sf):
     named = rollups.label_map(
-        zones.cluster_hierarchy(in_zones(spark, sf)), "prediction", config.ZONE_LABELS, "Cluster_Name"
+        zones.cluster_hierarchy(in_zones(spark, sf)), "prediction", ZONE_LABELS, "Cluster_Name"
     )
     return rollups.rollup_tree(named, ["Cluster_Name", "Country", "Network"], "count")
 
@@ -754,15 +847,15 @@ def d2_zone_tree(spark, sf):
 def d3_label_map(spark, sf):
     profile = reliability.reliability_profile(labelled(spark, sf))
     # one code is left out of the mapping: it gets no label
-    short = {code: label for code, label in config.RELIABILITY_SHORT_LABELS.items() if code != 4}
-    named = rollups.label_map(profile, "gmm_cluster", config.RELIABILITY_LABELS, "gmm_cluster_name")
+    short = {code: label for code, label in SHORT_LABELS.items() if code != 4}
+    named = rollups.label_map(profile, "gmm_cluster", RELIABILITY_LABELS, "gmm_cluster_name")
     named = rollups.label_map(named, "gmm_cluster", short, "gmm_cluster_short")
     return named.select("gmm_cluster", "gmm_cluster_name", "gmm_cluster_short", "tower_count")
 
 
 @query
 def d4_country_reliability(spark, sf):
-    return rollups.country_reliability(reliability.operator_reliability(labelled(spark, sf)))
+    return rollups.country_reliability(reliability.operator_reliability(labelled(spark, sf)), SHORT_LABELS)
 
 
 @query
@@ -822,6 +915,6 @@ def d12_share_within(spark, sf):
 def d13_display(spark, sf):
     report = rollups.label_map(
         reliability.operator_reliability(labelled(spark, sf)),
-        "gmm_cluster", config.RELIABILITY_LABELS, "gmm_cluster_name",
+        "gmm_cluster", RELIABILITY_LABELS, "gmm_cluster_name",
     )
-    return rollups.display(report, config.VENDOR_HEADINGS, ["Negara", "Operator", "Klaster"])
+    return rollups.display(report, HEADINGS, ["country", "operator", "cluster"])

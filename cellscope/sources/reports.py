@@ -8,26 +8,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
-
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Write an aggregate as headed CSV, in one file while it is small.
+    """Write an aggregate as headed CSV: in one file, or by all tasks.
 
-    The result is computed once and counted; beyond ``SINGLE_FILE_ROWS`` rows it
-    is written in parallel instead of through one task.
+    The layout is the caller's choice and never depends on the data.
     """
-    if not single_file:
-        write_rows_csv(df, path)
-        return
-    result = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        small = result.count() <= SINGLE_FILE_ROWS
-        write_rows_csv(result.coalesce(1) if small else result, path)
-    finally:
-        result.unpersist()
+    write_rows_csv(df.coalesce(1) if single_file else df, path)
 
 
 def write_rows_csv(df: DataFrame, path: str) -> None:
@@ -40,8 +28,10 @@ def read_report(
 ) -> DataFrame:
     """Read all CSV parts of a report; a missing report gives an empty table.
 
-    Without ``schema`` the types are inferred.  Only a path that is missing or
-    holds no files counts as empty; every other error is raised.
+    With ``schema`` the files are read once and an empty table has its columns;
+    without it the types are inferred and an empty table has none.  Only a path
+    that is missing or holds no files counts as empty; every other error is
+    raised.
     """
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)

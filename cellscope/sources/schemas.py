@@ -60,3 +60,14 @@ PREDICTION_SCHEMA = T.StructType([
         strict=True,
     )
 ])
+
+# The reports as they are read back.
+REPORT_SCHEMAS = {
+    "sunburst_asean_operator": "region string, Country string, Network string, tower_count long, percentage_share double",
+    "Hierarki-Cluster-Lengkap": "prediction int, Country string, Network string, count long",
+    "Dominasi-teknologi": "prediction int, generasi string, count long",
+    "stats_utama_gmm": "gmm_cluster int, avg_sam double, avg_days_old double, tower_count long",
+    "distribusi_keandalan_operator": "Country string, Network string, gmm_cluster int, tower_count long",
+    "cross_profiling_output": "prediction int, gmm_cluster double, tower_count long, avg_sam double, "
+                              "avg_days_old double, avg_range_radius double",
+}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .workspace import new_workspace
+from .workspace import new_workspace, temporary_workspace
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -31,12 +32,22 @@ def write_table(
     writer.parquet(path)
 
 
-def stage_table(df: DataFrame, label: str) -> DataFrame:
+def stage_table(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage: what follows survives the loss of any executor without
-    going back to the source, and reads only the columns it needs.
+    going back to the source, and reads only the columns it needs.  The folder
+    lives as long as the application, for results that are read later; a job
+    that is done with the table earlier uses :func:`staged_table`.
     """
-    path = new_workspace(df.sparkSession, label)
+    path = path or new_workspace(df.sparkSession, label)
     write_table(df, path)
-    return read_clean(df.sparkSession, path)
+    # the schema is known: no look into the files
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A staged table that is deleted when the block ends."""
+    with temporary_workspace(df.sparkSession, label) as path:
+        yield stage_table(df, label, path)

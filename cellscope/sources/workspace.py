@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -13,27 +14,32 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset a temporary folder is made, but only on a local master:
-    a machine-local folder cannot be read by other executors.
+    Where that is unset, a folder in the warehouse, which all executors reach too.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named
-    context = spark.sparkContext
-    existing = context.getCheckpointDir()
-    if existing:
-        return existing
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="cellscope-"))
-    return context.getCheckpointDir()
+    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.staged"
+
+
+def _path(spark: SparkSession, name: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, removed when the application ends."""
     name = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(name)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, files = _path(spark, name)
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return name
+
+
+@contextmanager
+def temporary_workspace(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh folder that is removed when the block ends."""
+    name = new_workspace(spark, label)
+    try:
+        yield name
+    finally:
+        folder, files = _path(spark, name)
+        files.delete(folder, True)

@@ -1,17 +1,19 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
+TABLES = os.environ.get("TEST_TABLES", "/root/testdata")
 sys.path.insert(0, str(ROOT))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cellscope.session import local_session
 
-    return local_session()
+    return local_session(folder=str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture

@@ -85,11 +85,11 @@ def test_index_columns_are_nominal(towers):
     assert df.schema["place"].metadata["ml_attr"]["type"] == "nominal"
 
 
-def test_unbounded_labels_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_LABEL_GROUPS", 3)
-    df = spark.range(5).selectExpr("cast(id as string) label")
-    with pytest.raises(ValueError):
-        encoding.fit_encoding(df, ["label"])
+def test_any_number_of_labels(spark):
+    df = spark.range(100_000).selectExpr("cast(id % 50000 as string) label", "cast(id % 3 as string) other")
+    assert {k: len(v) for k, v in encoding.fit_encoding(df, ["label", "other"]).labels.items()} == {"label": 50_000, "other": 3}
+    indexed = encoding.frequency_index(df, "label", "place")
+    assert indexed.selectExpr("count(distinct place)", "min(place)", "max(place)").first()[:] == (50_000, 0.0, 49_999.0)
 
 
 def test_minmax_equals_the_library_scaler(spark, towers):

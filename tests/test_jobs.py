@@ -1,10 +1,14 @@
 """All jobs in a row, from CSV files to the dashboard views."""
 
+from pathlib import Path
+
 import pytest
 
 from cellscope.plans import jobs, preprocess
 from cellscope.registry.fixture import towers_raw
 from cellscope.sources import CLEAN_COLUMNS, read_clean, read_report, write_rows_csv
+from cellscope.sources.workspace import shared_folder
+from tests.conftest import TABLES
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +18,7 @@ def done(spark, tmp_path_factory):
         "csv", "clean", "funnel", "reports", "zones", "zone_reports", "reliability",
         "reliability_reports", "classifier", "views", "kmeans", "gmm", "forest", "runs",
     )}
-    write_rows_csv(towers_raw(spark, "/root/testdata/sf0.001"), at["csv"])
+    write_rows_csv(towers_raw(spark, f"{TABLES}/sf0.001"), at["csv"])
     preprocess.preprocess_csv(spark, at["csv"], at["clean"], at["funnel"], ("Country",))
     jobs.run_reports(spark, at["clean"], at["reports"])
     jobs.run_zones(spark, at["clean"], at["zones"], at["zone_reports"], at["kmeans"], at["runs"], (2, 3))
@@ -23,10 +27,47 @@ def done(spark, tmp_path_factory):
         spark, at["zones"], at["reliability"], at["classifier"], at["forest"], at["runs"],
         trees=[4], depths=[4], folds=2,
     )
-    jobs.run_views(spark, at["reports"], at["zone_reports"], at["reliability_reports"], at["classifier"], at["views"])
+    jobs.run_views(
+        spark, at["reports"], at["zone_reports"], at["reliability_reports"], at["classifier"], at["views"],
+        zone_labels={0: "first", 1: "second", 2: "third"}, headings={"Country": "country"})
     return at
 
 
+def test_jobs_leave_no_staged_tables(spark, done):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir()} if folder.exists() else set()
+    assert not left & {"clean", "raw", "report-cells", "zone-cells", "reliability-cells", "joined", "pairs"}
+
+
+def test_missing_reports_make_empty_views(spark, tmp_path):
+    gone = str(tmp_path / "none")
+    jobs.run_views(spark, gone, gone, gone, gone, str(tmp_path / "views"))
+    for name in ("zone_tree", "operator_table", "confusion", "cross_table", "first_predictions"):
+        assert read_report(spark, f"{tmp_path}/views/{name}").count() == 0
+
+
+def test_labels_are_the_caller_s(spark, done, tmp_path):
+    tree = read_report(spark, f"{done['views']}/zone_tree")
+    assert {row.Cluster_Name for row in tree.filter("Cluster_Name is not null").collect()} <= {"first", "second", "third"}
+    assert "country" in read_report(spark, f"{done['views']}/operator_table").columns
+    jobs.run_slice(spark, done["reliability_reports"], str(tmp_path / "slice"), "Indonesia", 0)
+    assert read_report(spark, str(tmp_path / "slice")).filter("Country != 'Indonesia' or gmm_cluster != 0").count() == 0
+    profile = read_report(spark, f"{done['views']}/reliability_profile").first()
+    assert profile.gmm_cluster_name == f"Cluster {profile.gmm_cluster}"
+
+
+def test_views_read_the_predictions_once_for_all_evaluation(spark, done, plan):
+    from cellscope.operators import classify
+
+    scored = read_report(spark, f"{done['classifier']}/rf_prediction_output")
+    pairs = classify.pair_counts(scored, "kmeans_target_cluster", "rf_predicted_cluster")
+    assert sum(row.pairs for row in pairs.collect()) == scored.count()
+    for function in (classify.classification_metrics, classify.classification_report, classify.crosstab_long, classify.class_distribution):
+        rows = function(scored, "kmeans_target_cluster", "rf_predicted_cluster").collect()
+        counted = function(pairs, "kmeans_target_cluster", "rf_predicted_cluster", classify.PAIR_WEIGHT).collect()
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, counted))
+
+
 def test_clean_table(spark, done):
     clean = read_clean(spark, done["clean"])
     assert set(clean.columns) == set(CLEAN_COLUMNS) and clean.count() == 717
@@ -78,13 +119,16 @@ def test_classifier_outputs(spark, done):
 
 def test_run_table(spark, done):
     names = {row.run_name for row in spark.read.parquet(done["runs"]).select("run_name").distinct().collect()}
-    assert names == {"KMeans_K_2", "KMeans_K_3", "GMM_K_2", "GMM_K_3", "RF_CrossValidation"}
+    assert names == {
+        "KMeans_K_2", "KMeans_K_3", "Final_Best_KMeans", "GMM_K_2", "GMM_K_3", "Final_Best_GMM",
+        "RF_TREES_4_DEPTH_4", "Final_Best_RF"}
 
 
 def test_views(spark, done):
     for name in (
         "operator_tree", "zone_tree", "country_reliability", "reliability_profile", "cross_heatmap",
         "classification_metrics", "classification_report", "confusion", "class_distribution",
+        "zone_generations", "operator_table", "country_choices", "cluster_choices", "cross_table", "first_predictions",
     ):
         assert read_report(spark, f"{done['views']}/{name}").count() > 0, name
 

@@ -247,8 +247,12 @@ def test_forest_round_trip(labelled, tmp_path):
 def test_best_run(spark, points):
     sweep = zones.kmeans_sweep(points, [2, 3], "v", fraction=1.0)
     table = runs.sweep_runs(sweep.metrics, "KMeans", ["silhouette_score", "wssse"])
-    table = table.unionByName(runs.run_metrics(spark, "RF_CV", {"trees": 5}, {"f1": 0.5}))
+    table = table.unionByName(runs.run_metrics(spark, "RF", "RF_CV", {"trees": 5}, {"f1": 0.5}))
     assert table.count() == 2 * 3 + 2
     assert runs.best_run(table, "silhouette_score").first().run_name == "KMeans_K_3"
     assert runs.best_run(table, "wssse", largest=False).first().run_name == "KMeans_K_3"
-    assert tuple(runs.best_run(table, "f1").first()) == ("RF", "RF_CV", 0.5)
+    assert tuple(runs.best_run(table, "f1").first()) == ("", "RF", "RF_CV", 0.5)
+    table = table.unionByName(runs.final_run(sweep.metrics, "KMeans", ["silhouette_score", "wssse"]))
+    assert [row.experiment for row in runs.best_run(table, "wssse", largest=False).collect()] == ["KMeans"]
+    other = runs.sweep_runs(sweep.metrics, "KMeans", ["wssse"], run_id="later")
+    assert {row.run_id for row in runs.best_run(table.unionByName(other), "wssse").collect()} == {"", "later"}

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from cellscope.sources import (
@@ -8,10 +10,10 @@ from cellscope.sources import (
     read_towers_csv,
     row_counts,
     schema_table,
+    staged_table,
     write_report,
     write_table,
 )
-from cellscope.sources import reports as report_module
 from cellscope.sources import workspace
 
 HEADER = ",".join(TOWER_SCHEMA.fieldNames())
@@ -73,9 +75,8 @@ def test_small_reports_are_one_file(spark, tmp_path):
     assert lines == ["id", *map(str, range(100))]
 
 
-def test_large_reports_are_written_in_parallel(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(report_module, "SINGLE_FILE_ROWS", 50)
-    write_report(spark.range(100).repartition(7), str(tmp_path / "r"))
+def test_reports_can_be_written_in_parallel(spark, tmp_path):
+    write_report(spark.range(100).repartition(7), str(tmp_path / "r"), single_file=False)
     assert len(parts(tmp_path / "r")) == 7
     assert read_report(spark, str(tmp_path / "r")).count() == 100
 
@@ -94,6 +95,13 @@ def test_inspection(towers):
     assert (first.name, first.type) == ("index", "bigint")
 
 
+def test_staged_table_is_gone_after_its_block(spark):
+    with staged_table(spark.range(10), "ten") as ten:
+        path = ten.inputFiles()[0]
+        assert ten.count() == 10 and os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 def test_workspace_is_below_the_named_folder(spark):
     named = spark.conf.get(workspace.CHECKPOINT_KEY, None)
     one, two = workspace.new_workspace(spark, "x"), workspace.new_workspace(spark, "x")
