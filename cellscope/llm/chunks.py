@@ -19,15 +19,18 @@ from cellscope.sources import stage_table
 
 from .common import python_rows
 
-SCHEMA = "chunk long, ids array<string>, extra array<long>, lengths binary, numbers binary, counts binary, vocabulary array<string>, weights array<long>"
+SCHEMA = "chunk long, ids array<string>, extra array<long>, lengths binary, numbers binary, counts binary, vocabulary array<string>, weights array<long>, codes binary"
 
 
 def pack(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values, np.int32).tobytes(), 1)
+    """Small numbers have the same high bytes, so all first bytes come first, then all second ones."""
+    planes = np.ascontiguousarray(values, np.int32).view(np.uint8).reshape(-1, 4).T
+    return zlib.compress(planes.tobytes(), 1)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.int32)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).reshape(-1)
 
 
 class _Numbers(dict):
@@ -43,6 +46,7 @@ def pack_documents(
     row_extra: Callable[[str | None, str], int],
     trains: Callable[[str], bool] | None = None,
     counted: bool = False,
+    code_of: Callable[[str], int] | None = None,
     max_words: int = 1_500_000,
 ) -> DataFrame:
     """Write the chunks to the shared folder and read them back.
@@ -50,7 +54,7 @@ def pack_documents(
     ``words_of`` makes a document's words, ``row_extra`` one whole number of (doc_id, text).
     With ``counted`` a document is its different words and their frequencies, else its words in
     order.  ``weights`` counts each word of the vocabulary in the documents that ``trains``
-    accepts.  A chunk ends with the document that brings it to ``max_words``.
+    accepts, ``codes`` has ``code_of`` of each.  A chunk ends with the document that brings it to ``max_words``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,13 +66,15 @@ def pack_documents(
         known, ids, extra, lengths, numbers, counts, trained, total = empty()
 
         def finished() -> pd.DataFrame:
+            vocabulary = [w if isinstance(w, str) else w.decode("utf-8", "surrogatepass") for w in known]
+            codes = np.fromiter(map(code_of, vocabulary), np.int32, len(vocabulary)) if code_of else []
             rows = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
             seen = np.concatenate(trained) if trained else np.empty(0, np.int32)
             return pd.DataFrame({
                 "chunk": [(part << 32) + serial], "ids": [ids], "extra": [extra],
                 "lengths": [pack(np.array(lengths, np.int32))], "numbers": [pack(rows)],
                 "counts": [pack(np.concatenate(counts)) if counts else b""],
-                "vocabulary": [[w if isinstance(w, str) else w.decode("utf-8", "surrogatepass") for w in known]],
+                "vocabulary": [vocabulary], "codes": [pack(np.array(codes, np.int32))],
                 "weights": [np.bincount(seen, minlength=len(known)).tolist()],
             })
 
