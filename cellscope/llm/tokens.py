@@ -28,6 +28,8 @@ from cellscope.sources import stage_table
 from .chunks import pack_documents, unpack
 from .common import id_type
 
+# Larger chunks meet the join with fewer words; one takes some 100 MB of a task's memory.
+CHUNK_WORDS = 6_000_000
 SPECIAL = "\x00"  # stands for a special string; no pre-token starts with it and goes on
 
 _loaded: dict = {}
@@ -96,7 +98,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     packed = pack_documents(
         docs.select("doc_id", "text"), "token-chunks",
         words_of=lambda text: pre_tokens(path, text),
-        row_extra=lambda doc_id, text: len(text.encode("utf-8", "surrogatepass")), counted=True)
+        row_extra=lambda doc_id, text: len(text.encode("utf-8", "surrogatepass")), counted=True,
+        max_words=CHUNK_WORDS)
     places = packed.select("chunk", F.posexplode("vocabulary").alias("place", "word"))
     pieces = stage_table(piece_counts(places.select("word").distinct(), path), "pieces")
     per_chunk = (
