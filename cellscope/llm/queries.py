@@ -43,7 +43,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = rules.judge(read_documents(spark, folder), _table(spark, folder, "labels"))
+    # the bounds that its SQL states; the pipeline's stage uses the joint path
+    judged = rules.judge(read_documents(spark, folder), _table(spark, folder, "labels"), rules.RuleConfig(separate=True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 

@@ -1,16 +1,23 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-Each rule rejects documents whose measure lies in a bin at or above a cutoff.  For every
-stratum (source) and rule the cutoffs are tried from the mildest to the strictest, and one is
-certified while the exact binomial tail says that at most ``max_loss / rules`` of the good
-documents are lost, at the level ``risk / (rules x strata)``.  Trying in a fixed order and
-stopping at the first failure needs no further correction for the number of cutoffs, and the
-division covers rules and strata, so with probability ``1 - risk`` no stratum loses more than
-``max_loss`` of the good documents that pass the base rules.  Among the certified cutoffs that
-catch at least ``min_ratio`` times as large a share of the bad documents as of the good ones,
-the one with the largest difference of the shares is used, the milder of equals; a rule that
-has none, or a stratum with too few labels to certify anything, rejects nothing beyond the
-base rules.
+Each rule rejects documents whose measure lies in a bin at or above a cutoff.  The cutoffs of all
+rules move together along one path from the mildest to the strictest (``joint_steps``): a step
+is a share of bad documents among those of a rule's tail, and has for every rule the lowest
+cutoff whose tail reaches it.  The path is made of the bad labels and of all documents, labelled
+or not, and never of the good labels that test it.  For every stratum (source) it is walked while the exact binomial
+tail says that the union of all rules loses at most ``max_loss`` of the good documents, at the
+level ``risk / strata``.  Testing in a fixed order and stopping at the first failure needs no
+correction for the number of steps, so with probability ``1 - risk`` no stratum loses more than
+``max_loss`` of the good documents that pass the base rules.  Of the certified steps the one with
+the largest difference of the shares of bad and good documents rejected is used, the milder of
+equals.  A source with too few good labels to certify even a step without losses
+(``0.95^n > risk / strata``, 118 at 20 strata and one pooled) is judged in one pooled stratum with others like it,
+whose bound holds for them together; without labels there, it rejects nothing beyond the base.
+
+``separate`` is the older method, which the SQL of ``op6_quality_rules`` states: every rule alone
+against ``max_loss / rules`` at ``risk / (rules x strata)``, which needs about 930 good labels in
+each of 20 sources, and only cutoffs that catch at least ``min_ratio`` times as large a share of
+the bad documents as of the good ones.
 
 Defined cases: a null text has no words and fails the base; a null source is a stratum of its
 own; labels that are null or contradict each other for an id are not used; repeated rows are
@@ -21,6 +28,7 @@ stratum.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +49,8 @@ class RuleConfig:
     risk: float = 0.05
     min_words: int = 20
     max_repeat_percent: int = 30
-    min_ratio: int = 10
+    min_ratio: int = 10  # of ``separate`` only
+    separate: bool = False
 
 
 def _repeats(df: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -130,15 +139,102 @@ def allowed_losses(n: Column, loss: float, level: Column) -> Column:
     return F.aggregate(tries, start, add, lambda s: s["k"])
 
 
-def certified_cutoffs(measured: DataFrame, labels: DataFrame, config: RuleConfig | None = None) -> DataFrame:
-    """One row per stratum ``_g`` with ``cutoffs``: for each measure the lowest rejected bin, or null."""
-    config = config or RuleConfig()
-    known = (
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, good): ids whose labels agree."""
+    return (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("_most"))
         .filter("good = _most").drop("_most")
     )
-    held = measured.filter(~F.col("base_failed")).join(known, "doc_id").select("_g", "good", "_bins")
+
+
+def joint_steps(measured: DataFrame, labels: DataFrame) -> list[list[int]]:
+    """For each rule and bin the first step of the path that rejects it; the largest number is never.
+
+    What reaches the driver is one row per rule and bin.
+    """
+    rows = (
+        measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id", "left")
+        .select("good", F.posexplode("_bins").alias("rule", "bin"))
+        .groupBy("rule", "bin").agg(F.count("*").alias("docs"), F.count(F.when(F.col("good") != 1, 1)).alias("bad"))
+        .collect()
+    )
+    docs, bad = ([[0] * (BINS + 1) for _ in MEASURES] for _ in range(2))
+    for row in rows:
+        docs[row.rule][row.bin], bad[row.rule][row.bin] = row.docs, row.bad
+    all_bad = Fraction(sum(bad[0]), max(sum(docs[0]), 1))
+    tail: list[dict[int, Fraction]] = [{} for _ in MEASURES]
+    for rule in range(len(MEASURES)):
+        for cutoff in range(BINS + 1):
+            n = sum(docs[rule][cutoff:])
+            share = Fraction(sum(bad[rule][cutoff:]), max(n, 1))
+            if share > all_bad:
+                tail[rule][cutoff] = share
+    order = {share: i for i, share in enumerate(sorted({x for t in tail for x in t.values()}, reverse=True))}
+    return [
+        [min((order[share] for cutoff, share in t.items() if cutoff <= at), default=len(order)) for at in range(BINS + 1)]
+        for t in tail
+    ]
+
+
+def step_of(steps: list[list[int]]) -> Column:
+    """The first step of the path that rejects a measured document."""
+    return F.least(*(
+        F.get(F.array(*(F.lit(s) for s in of_rule)), F.get("_bins", F.lit(i))) for i, of_rule in enumerate(steps)))
+
+
+POOLED = "*"  # the group keys of sources are empty or begin with "="
+
+
+def certified_steps(
+    measured: DataFrame, labels: DataFrame, steps: list[list[int]], config: RuleConfig | None = None
+) -> DataFrame:
+    """One row per stratum ``_g`` with ``last``: the last step of the path used there, or -1.
+
+    Strata are the sources with labels enough for a bound of their own, and POOLED for all others.
+    """
+    config = config or RuleConfig()
+    never = max(max(s) for s in steps)
+    per_step = (
+        measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id")
+        .groupBy("_g", step_of(steps).alias("step"))
+        .agg(F.count(F.when(F.col("good") == 1, 1)).alias("good"), F.count(F.when(F.col("good") != 1, 1)).alias("bad"))
+    )
+    sizes = per_step.groupBy("_g").agg(F.sum("good").alias("n"))
+    # the largest sources that can all be tested beside the pooled one; it depends on their numbers of labels only
+    largest_first = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    enough = (
+        sizes.groupBy("n").agg(F.count("*").alias("_sources"))
+        .withColumn("_strata", F.sum("_sources").over(largest_first) + 1)
+        .filter(F.col("n") * F.log(F.lit(1 - config.max_loss)) <= F.log(F.lit(config.risk) / F.col("_strata")))
+        .agg(F.min("n").alias("_least"), F.coalesce(F.max("_strata"), F.lit(1)).alias("_strata"))
+    )
+    own = sizes.join(enough).select(  # one row
+        "_g", "_strata", F.when(F.col("n") >= F.col("_least"), F.col("_g")).otherwise(F.lit(POOLED)).alias("_stratum"))
+    pooled = (
+        per_step.join(own, "_g")
+        .groupBy(F.col("_stratum").alias("_g"), "_strata", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    )
+    limits = (
+        pooled.groupBy("_g", "_strata").agg(F.sum("good").alias("n_good"))
+        .select("_g", allowed_losses(F.col("n_good"), config.max_loss, F.lit(config.risk) / F.col("_strata")).alias("_allowed"))
+    )
+    whole = Window.partitionBy("_g")
+    milder = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gain = F.sum("bad").over(milder) * F.sum("good").over(whole) - F.sum("good").over(milder) * F.sum("bad").over(whole)
+    usable = (F.col("_lost") <= F.col("_allowed")) & (F.col("_gain") > 0) & (F.col("step") < never)
+    return (
+        pooled.withColumn("_lost", F.sum("good").over(milder)).withColumn("_gain", gain)
+        .join(limits, "_g")
+        .groupBy("_g").agg(F.coalesce(
+            F.max_by(F.when(usable, F.col("step")), F.when(usable, F.struct("_gain", -F.col("step")))), F.lit(-1)).alias("last"))
+    )
+
+
+def certified_cutoffs(measured: DataFrame, labels: DataFrame, config: RuleConfig | None = None) -> DataFrame:
+    """``separate``: one row per stratum ``_g`` with ``cutoffs``: for each measure the lowest rejected bin, or null."""
+    config = config or RuleConfig()
+    held = measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id").select("_g", "good", "_bins")
     per_bin = (
         held.select("_g", "good", F.posexplode("_bins").alias("rule", "bin"))
         .groupBy("_g", "rule", "bin")
@@ -187,15 +283,23 @@ def judge(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None,
     narrow = stage_table(measured.select(
         "doc_id", "_g", "_bins", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed"), "rules-measures")
-    cutoffs = stage_table(certified_cutoffs(narrow, labels, config), "rules-cutoffs")
-    worse = F.exists(F.zip_with("_bins", "cutoffs", lambda b, c: b >= c), lambda x: F.coalesce(x, F.lit(False)))
+    judged = measured if keep_text else narrow
+    if config.separate:
+        cutoffs = stage_table(certified_cutoffs(narrow, labels, config), "rules-cutoffs")
+        judged = judged.join(cutoffs, "_g", "left")
+        worse = F.exists(F.zip_with("_bins", "cutoffs", lambda b, c: b >= c), lambda x: F.coalesce(x, F.lit(False)))
+    else:
+        steps = joint_steps(narrow, labels)
+        strata = stage_table(certified_steps(narrow, labels, steps, config), "rules-steps")
+        others = strata.agg(F.max(F.when(F.col("_g") == POOLED, F.col("last"))).alias("_pooled"))  # one row
+        judged = judged.join(strata, "_g", "left").join(F.broadcast(others))
+        worse = step_of(steps) <= F.coalesce("last", "_pooled")
     # a sum of values that are never null, so that no part of a filter on it, and no null check,
     # is pushed below the measures and repeats them
     against = F.coalesce("base_failed", F.lit(True)).cast("int") + F.coalesce(worse, F.lit(False)).cast("int")
     return (
-        (measured if keep_text else narrow).join(cutoffs, "_g", "left")
-        .withColumn("kept", against == 0)
-        .drop("_g", "_bins", "cutoffs", "_n_lines", "_n_upper")
+        judged.withColumn("kept", against == 0)
+        .drop("_g", "_bins", "cutoffs", "last", "_pooled", "_n_lines", "_n_upper")
     )
 
 

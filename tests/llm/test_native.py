@@ -186,6 +186,23 @@ def test_rules_reject_what_labels_call_bad(documents, labels):
     assert {r.n_words for r in kept.collect()} == {"d"}
 
 
+def test_rules_reject_in_small_sources(documents, labels):
+    """150 good labels in a source are enough; sources with 8 are judged together, where the pool is certified."""
+    draw = random.Random(8)
+    words = lambda tail="": " ".join("word%d%s" % (draw.randrange(10**6), tail) for _ in range(30))
+    rows, marks = [], []
+    for i in range(4000):
+        bad = i % 10 == 0
+        source = "own%d" % (i % 11) if i < 2000 else "few%d" % (i % 211)
+        rows.append((i, words("***" if bad else ""), source))
+        marks.append((i, 0 if bad else 1, 0))
+    judged = {r.doc_id: r.kept for r in rules.judge(documents(*rows), labels(*marks)).collect()}
+    assert not any(judged[i] for i in range(0, 4000, 10))
+    assert sum(not judged[i] for i in range(4000) if i % 10) <= 0.05 * 3600
+    separate = rules.judge(documents(*rows), labels(*marks), rules.RuleConfig(separate=True)).collect()
+    assert all(r.kept for r in separate)
+
+
 def test_rule_filters_do_not_repeat_the_measures(documents, labels, plan):
     text = plan(rules.keep_good(documents((1, "a", "b")), labels((1, 1, 0))))
     filters = re.findall(r"\) Filter\n.*?\nCondition : .*", text)
