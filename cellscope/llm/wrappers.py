@@ -7,9 +7,9 @@ what only one of them has becomes optional, what one repeats and the other has o
 repeated.  The result, the host's wrapper, describes all its pages.
 
 A wrapper's slots are judged by where they stand (elements for navigation, forms, adverts,
-comments and the like are left out, and what stands inside an article is kept) and, where a
-host marks no article, by the pages: slots whose text is the same on all pages, or mostly
-links, are left out, and of the rest the part of the page with most text stays.
+comments and the like are left out, and what stands inside an article is kept) and, on pages
+without text in an article, by all such pages of the host: slots whose text is the same on all of
+them, or mostly links, are left out, and of the rest the part of the page with most text stays.
 
 All pages count: equal expressions of a host are merged while they are shuffled, and the
 different ones are aligned in bounded groups, again and again, until a host has one.
@@ -235,18 +235,20 @@ def is_article(path: tuple[str, ...]) -> bool:
     return any(_tag(label) in ("article", "main") or re.search(r"\b(main|article)\b", label.partition(" ")[2]) for label in path)
 
 
-def content_paths(paths: list[tuple[str, ...]], facts: dict[str, tuple[int, int, int, bool]]) -> list[str]:
-    """The slots of a wrapper that are main text, as joined paths.
+def article_paths(paths: list[tuple[str, ...]]) -> list[str]:
+    """The slots in articles, as joined paths."""
+    return [" > ".join(p) for p in paths if not unwanted(p) and is_article(p)]
 
-    ``facts`` has for each joined path: pages, characters, characters in links, text always the same.
+
+def fallback_paths(paths: list[tuple[str, ...]], facts: dict[str, tuple[int, int, int, bool]]) -> list[str]:
+    """The slots that are main text on pages without text in an article, as joined paths.
+
+    ``facts`` has for each joined path of these pages: pages, characters, characters in links, text always the same.
     """
-    wanted = [p for p in paths if not unwanted(p)]
-    articles = [p for p in wanted if is_article(p)]
-    if articles:
-        return [" > ".join(p) for p in articles]
+    wanted = [p for p in paths if " > ".join(p) in facts and not unwanted(p)]
     kept = []
     for path in wanted:
-        pages, chars, linked, constant = facts.get(" > ".join(path), (0, 0, 0, False))
+        pages, chars, linked, constant = facts[" > ".join(path)]
         if not (constant and pages > 2) and 2 * linked <= chars:
             kept.append((path, chars))
     if not kept:
@@ -264,7 +266,7 @@ def content_paths(paths: list[tuple[str, ...]], facts: dict[str, tuple[int, int,
 
 
 def main_text(html: str | None, content: frozenset[str]) -> str:
-    """The blocks of the wanted slots, in page order."""
+    """The blocks of the given slots, in page order."""
     blocks, now = [], []
 
     def finish() -> None:
@@ -282,12 +284,17 @@ def main_text(html: str | None, content: frozenset[str]) -> str:
     return "\n\n".join(blocks)
 
 
+def page_text(html: str | None, *choices: frozenset[str]) -> str:
+    """The main text by the first of ``choices`` that has any on the page."""
+    return next((text for text in (main_text(html, content) for content in choices) if text), "")
+
+
 def host_of(url: str) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
-    """(host, content): for every host the joined paths of its main text."""
+    """(host, content, fallback): for every host the joined paths of main text in articles, and on pages without."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -295,10 +302,14 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
             for host, html in zip(batch["host"], batch["html"], strict=True):
                 html = html if isinstance(html, str) else ""
                 slots: dict[str, list] = {}
+                articles: dict[tuple[str, ...], bool] = {}
                 for kind, path, value in located(html):
                     if kind != "edge" and value.strip():
                         slots.setdefault(" > ".join(path), []).append((kind, value))
-                facts = [{"path": p, "chars": sum(len(v) for _, v in s), "linked": sum(len(v) for k, v in s if k == "link"),
+                        if path not in articles and entities.unescape(value).strip():
+                            articles[path] = bool(article_paths([path]))
+                # of pages with an article nothing has to be known
+                facts = [] if any(articles.values()) else [{"path": p, "chars": sum(len(v) for _, v in s), "linked": sum(len(v) for k, v in s if k == "link"),
                           "text": " ".join("".join(v for _, v in s).split())[:200]} for p, s in slots.items()]
                 rows.append((host, json.dumps(expression(html)), facts))
             yield pd.DataFrame(rows, columns=["host", "wrapper", "facts"])
@@ -333,14 +344,17 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            content = []
+            content, fallback = [], []
             for wrapper, facts in zip(batch["wrapper"], batch["facts"], strict=True):
                 known = {f["path"]: (f["pages"], f["chars"], f["linked"], f["constant"]) for f in (facts if facts is not None else [])}
-                content.append(content_paths(slot_paths(json.loads(wrapper)), known))
-            yield pd.DataFrame({"host": batch["host"], "content": content})
+                paths = slot_paths(json.loads(wrapper))
+                content.append(article_paths(paths))
+                fallback.append(fallback_paths(paths, known))
+            yield pd.DataFrame({"host": batch["host"], "content": content, "fallback": fallback})
 
     return stage_table(
-        wrappers.join(facts, "host", "left").mapInPandas(decide, "host string, content array<string>"), "wrapper-content")
+        wrappers.join(facts, "host", "left").mapInPandas(
+            decide, "host string, content array<string>, fallback array<string>"), "wrapper-content")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -351,11 +365,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [
-                main_text(html, frozenset(content) if content is not None else frozenset()) if isinstance(html, str) else ""
-                for html, content in zip(batch["html"], batch["content"], strict=True)]
+                page_text(html, *(frozenset(c) if c is not None else frozenset() for c in choices)) if isinstance(html, str) else ""
+                for html, *choices in zip(batch["html"], batch["content"], batch["fallback"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     joined = hosted.withColumn("page_id", F.col("page_id").cast("string")).join(content, "host", "left")
-    texts = joined.select("page_id", "url", "html", "content").mapInPandas(run, "page_id string, url string, text string")
+    texts = joined.select("page_id", "url", "html", "content", "fallback").mapInPandas(run, "page_id string, url string, text string")
     return texts.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType)).withColumn(
         "n_chars", F.length("text").cast("long"))

@@ -294,6 +294,15 @@ def test_wrappers_without_an_article_element(spark):
             f"story {r.page_id} part {k} with some more words" for k in range(r.page_id % 3 + 2)]
 
 
+def test_pages_without_an_article_beside_pages_with_one(spark):
+    plain = lambda i: f"{HEAD}{NAV}<div><h1>Heading {i}</h1><p>story {i} with some words of its own</p></div><div>all rights reserved</div></body></html>"
+    article = lambda i: f"{HEAD}{NAV}<article><p>text {i}</p></article></body></html>"
+    pages = [(i, ("http://both.org/%d" % i) if i < 20 else None, article(i) if i % 5 == 0 else plain(i)) for i in range(40)]
+    for r in wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect():
+        i = r.page_id
+        assert r.text == (f"text {i}" if i % 5 == 0 else f"Heading {i}\n\nstory {i} with some words of its own")
+
+
 def test_fold_and_align():
     html = lambda n, extra="": "<body><ul>" + "<li>x</li>" * n + "</ul>" + extra + "<article><p>a</p></article></body>"
     many, one = wrappers.expression(html(5)), wrappers.expression(html(1, "<div>note</div>"))
