@@ -6,9 +6,11 @@ sequence, optional, repeated, slot.  The expressions of a host are aligned one a
 what only one of them has becomes optional, what one repeats and the other has once becomes
 repeated.  The result, the host's wrapper, describes all its pages.
 
-A wrapper's slots are judged by where they stand (elements for navigation, forms, adverts,
-comments and the like are left out, and what stands inside an article is kept) and, on pages
-without text in an article, by all such pages of the host: slots whose text is the same on all of
+A wrapper's slots are judged by where they stand (elements for navigation and the like are left
+out) and by the host's pages.  What stands inside an article is kept, but for branches named as
+adverts, comments and the like that hold the smaller part of the text; names of what holds the
+article do not count where the page has no other.  On pages without text in an article, unwanted
+names are left out where other slots hold text, and all such pages of the host decide: slots whose text is the same on all of
 them, or mostly links, are left out, and of the rest the part of the page with most text stays.
 
 All pages count: equal expressions of a host are merged while they are shuffled, and the
@@ -40,11 +42,17 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ASIDE = frozenset("nav footer aside form button select option input label menu dialog title head figcaption".split())
-UNWANTED = re.compile(
-    r"(?:^|[^a-z])(?:nav\w*|menu\w*|foot\w*|side-?bar\w*|side|ads?|adv\w*|banner\w*|promo\w*|sponsor\w*|cookie\w*|consent\w*|"
-    r"notice\w*|popup\w*|modal\w*|newsletter\w*|subscri\w*|comment\w*|respon[ds]\w*|repl(?:y|ies)|share\w*|social\w*|related\w*|"
-    r"breadcrumb\w*|pagination|pager|masthead|login|search\w*|widget\w*|header|disqus\w*)(?:$|[^a-z])")
+ASIDE = frozenset("nav footer aside button select option input label menu dialog title head".split())
+# whole tokens of class, id and role, and of nothing else
+UNWANTED = frozenset(
+    "nav navbar navigation main-nav site-nav top-nav nav-menu menu main-menu mainmenu topmenu footer site-footer page-footer foot "
+    "sidebar side-bar left-sidebar right-sidebar site-header page-header masthead banner ad ads advert adverts advertisement advertising "
+    "adsense ad-banner ad-container ad-slot promo promotion sponsor sponsored sponsors cookie cookies cookie-notice cookie-banner "
+    "cookie-consent consent popup modal newsletter newsletter-signup subscribe subscription comment comments comment-list commentlist "
+    "comments-area comment-form comment-respond respond disqus disqus_thread replies share sharing share-buttons share-bar social "
+    "social-links social-share social-media related related-posts related-articles related-content breadcrumb breadcrumbs pagination "
+    "pager login login-form search search-form search-box searchbox widget-area complementary contentinfo".split())
+ARTICLES = frozenset("main main-content maincontent article article-body article-content articlebody post-content entry-content".split())
 CLOSED_BY = {
     "p": frozenset("p div ul ol dl table article section aside nav header footer form h1 h2 h3 h4 h5 h6 pre blockquote main".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -218,34 +226,65 @@ def _tag(label: str) -> str:
     return label.split(" ", 1)[0]
 
 
-def unwanted(path: tuple[str, ...]) -> bool:
-    """Whether a slot stands in an element that is not main text by its name, class, id or role."""
-    inside = False
-    for label in path:
+def _named(label: str) -> bool:
+    """Whether an element may hold something else than main text, by whole tokens of its class, id and role."""
+    tag, _, marks = label.partition(" ")
+    return tag == "form" or (tag not in ("html", "body", "article", "main") and not UNWANTED.isdisjoint(marks.split()))
+
+
+def _article_at(path: tuple[str, ...]) -> int | None:
+    """The place of the outermost element that marks an article."""
+    for i, label in enumerate(path):
         tag, _, marks = label.partition(" ")
-        if tag in ASIDE or (tag == "header" and not inside):
-            return True
-        if marks and tag not in ("html", "body", "article", "main") and UNWANTED.search(marks):
-            return True
-        inside = inside or tag in ("article", "main")
-    return False
+        if tag in ("article", "main") or (tag not in ("html", "body") and not ARTICLES.isdisjoint(marks.split())):
+            return i
+    return None
+
+
+def kind_of(path: tuple[str, ...]) -> int | None:
+    """0 in an article, 1 in one that stands in a container with an unwanted name, 2 elsewhere, None not main text by its element."""
+    at = _article_at(path)
+    around = path if at is None else path[:at]
+    if any(_tag(label) in ASIDE for label in path) or any(_tag(label) == "header" for label in around):
+        return None
+    return 2 if at is None else int(any(_named(label) for label in around))
+
 
+Facts = dict[str, tuple[int, int, int, bool]]  # joined path: pages, characters, characters in links, text always the same
 
-def is_article(path: tuple[str, ...]) -> bool:
-    return any(_tag(label) in ("article", "main") or re.search(r"\b(main|article)\b", label.partition(" ")[2]) for label in path)
 
+def article_paths(paths: list[tuple[str, ...]], facts: Facts) -> list[str]:
+    """The slots that are main text on pages with text in an article, as joined paths.
 
-def article_paths(paths: list[tuple[str, ...]]) -> list[str]:
-    """The slots in articles, as joined paths."""
-    return [" > ".join(p) for p in paths if not unwanted(p) and is_article(p)]
+    ``facts`` has the slots of these pages that stand in articles.  A branch inside an article with
+    an unwanted name is left out if it has less than half of the text, or is mostly links.
+    """
+    chars: dict[tuple[str, ...], int] = {}
+    links: dict[tuple[str, ...], int] = {}
+    mine = [p for p in paths if " > ".join(p) in facts]
+    for path in mine:
+        _, n, linked, _ = facts[" > ".join(path)]
+        for depth in range(len(path) + 1):
+            chars[path[:depth]] = chars.get(path[:depth], 0) + n
+            links[path[:depth]] = links.get(path[:depth], 0) + linked
+
+    def other(branch: tuple[str, ...]) -> bool:
+        return 2 * chars[branch] < chars[()] or 2 * links[branch] > chars[branch]
+
+    return [" > ".join(p) for p in mine
+            if not any(_named(p[i]) and other(p[: i + 1]) for i in range(_article_at(p) + 1, len(p)))]
 
 
-def fallback_paths(paths: list[tuple[str, ...]], facts: dict[str, tuple[int, int, int, bool]]) -> list[str]:
+def fallback_paths(paths: list[tuple[str, ...]], facts: Facts) -> list[str]:
     """The slots that are main text on pages without text in an article, as joined paths.
 
-    ``facts`` has for each joined path of these pages: pages, characters, characters in links, text always the same.
+    ``facts`` has the slots of these pages.  Unwanted names count where others hold text.
     """
-    wanted = [p for p in paths if " > ".join(p) in facts and not unwanted(p)]
+    mine = [p for p in paths if " > ".join(p) in facts]
+    return _largest_part([p for p in mine if not any(map(_named, p))], facts) or _largest_part(mine, facts)
+
+
+def _largest_part(wanted: list[tuple[str, ...]], facts: Facts) -> list[str]:
     kept = []
     for path in wanted:
         pages, chars, linked, constant = facts[" > ".join(path)]
@@ -294,7 +333,7 @@ def host_of(url: str) -> Column:
 
 
 def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
-    """(host, content, fallback): for every host the joined paths of main text in articles, and on pages without."""
+    """(host, content, held, fallback): for every host the joined paths of main text on pages of each ``kind_of``."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -302,19 +341,24 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
             for host, html in zip(batch["host"], batch["html"], strict=True):
                 html = html if isinstance(html, str) else ""
                 slots: dict[str, list] = {}
-                articles: dict[tuple[str, ...], bool] = {}
+                kinds: dict[str, int | None] = {}
+                with_text = set()
                 for kind, path, value in located(html):
                     if kind != "edge" and value.strip():
-                        slots.setdefault(" > ".join(path), []).append((kind, value))
-                        if path not in articles and entities.unescape(value).strip():
-                            articles[path] = bool(article_paths([path]))
-                # of pages with an article nothing has to be known
-                facts = [] if any(articles.values()) else [{"path": p, "chars": sum(len(v) for _, v in s), "linked": sum(len(v) for k, v in s if k == "link"),
-                          "text": " ".join("".join(v for _, v in s).split())[:200]} for p, s in slots.items()]
+                        joined = " > ".join(path)
+                        slots.setdefault(joined, []).append((kind, value))
+                        if joined not in kinds:
+                            kinds[joined] = kind_of(path)
+                        if kinds[joined] not in with_text and entities.unescape(value).strip():
+                            with_text.add(kinds[joined])
+                of_page = min(with_text - {None}, default=None)
+                facts = [{"path": p, "kind": of_page, "chars": sum(len(v) for _, v in s), "linked": sum(len(v) for k, v in s if k == "link"),
+                          "text": " ".join("".join(v for _, v in s).split())[:200]}
+                         for p, s in slots.items() if kinds[p] == of_page is not None]
                 rows.append((host, json.dumps(expression(html)), facts))
             yield pd.DataFrame(rows, columns=["host", "wrapper", "facts"])
 
-    schema = "host string, wrapper string, facts array<struct<path:string,chars:long,linked:long,text:string>>"
+    schema = "host string, wrapper string, facts array<struct<path:string,kind:int,chars:long,linked:long,text:string>>"
     described = stage_table(pages.select("host", "html").mapInPandas(describe, schema), "page-expressions")
 
     def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -336,25 +380,25 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
         alone = wrappers.join(sizes, "host", "left_anti")
         wrappers = stage_table(alone.unionByName(merged), "wrappers")
     facts = (
-        described.select("host", F.explode("facts").alias("f")).groupBy("host", "f.path")
+        described.select("host", F.explode("facts").alias("f")).groupBy("host", "f.path", "f.kind")
         .agg(F.count("*").alias("pages"), F.sum("f.chars").alias("chars"), F.sum("f.linked").alias("linked"),
              (F.min("f.text") == F.max("f.text")).alias("constant"))
-        .groupBy("host").agg(F.collect_list(F.struct("path", "pages", "chars", "linked", "constant")).alias("facts"))
+        .groupBy("host").agg(F.collect_list(F.struct("path", "kind", "pages", "chars", "linked", "constant")).alias("facts"))
     )
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            content, fallback = [], []
-            for wrapper, facts in zip(batch["wrapper"], batch["facts"], strict=True):
-                known = {f["path"]: (f["pages"], f["chars"], f["linked"], f["constant"]) for f in (facts if facts is not None else [])}
-                paths = slot_paths(json.loads(wrapper))
-                content.append(article_paths(paths))
-                fallback.append(fallback_paths(paths, known))
-            yield pd.DataFrame({"host": batch["host"], "content": content, "fallback": fallback})
+            found = []
+            for host, wrapper, facts in zip(batch["host"], batch["wrapper"], batch["facts"], strict=True):
+                paths, known = slot_paths(json.loads(wrapper)), ({}, {}, {})
+                for f in facts if facts is not None else []:
+                    known[f["kind"]][f["path"]] = (f["pages"], f["chars"], f["linked"], f["constant"])
+                found.append((host, article_paths(paths, known[0]), article_paths(paths, known[1]), fallback_paths(paths, known[2])))
+            yield pd.DataFrame(found, columns=["host", "content", "held", "fallback"])
 
     return stage_table(
         wrappers.join(facts, "host", "left").mapInPandas(
-            decide, "host string, content array<string>, fallback array<string>"), "wrapper-content")
+            decide, "host string, content array<string>, held array<string>, fallback array<string>"), "wrapper-content")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -366,10 +410,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = [
                 page_text(html, *(frozenset(c) if c is not None else frozenset() for c in choices)) if isinstance(html, str) else ""
-                for html, *choices in zip(batch["html"], batch["content"], batch["fallback"], strict=True)]
+                for html, *choices in zip(batch["html"], batch["content"], batch["held"], batch["fallback"], strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     joined = hosted.withColumn("page_id", F.col("page_id").cast("string")).join(content, "host", "left")
-    texts = joined.select("page_id", "url", "html", "content", "fallback").mapInPandas(run, "page_id string, url string, text string")
+    texts = joined.select("page_id", "url", "html", "content", "held", "fallback").mapInPandas(run, "page_id string, url string, text string")
     return texts.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType)).withColumn(
         "n_chars", F.length("text").cast("long"))

@@ -303,6 +303,23 @@ def test_pages_without_an_article_beside_pages_with_one(spark):
         assert r.text == (f"text {i}" if i % 5 == 0 else f"Heading {i}\n\nstory {i} with some words of its own")
 
 
+def test_names_do_not_remove_the_article(spark):
+    names = ["table-responsive", "entry-header", "has-sidebar", "no-sidebar", "elementor-widget-container", "search-result",
+             "football", "advice", "commentary", "comments"]
+    pages, wanted = [], {}
+    for k, name in enumerate(names):
+        for i in range(4):
+            body = f"<p>first part of the story {i} of {name}</p><figure><img src=x><figcaption>picture {i}</figcaption></figure>"
+            share = f"<div class='share'><a href=x>share {i}</a></div>"
+            inside = f"{HEAD}{NAV}<article><div class='{name}'>{body}</div>{share}</article></body>"
+            around = f"{HEAD}{NAV}<div class='{name}'><article>{body}</article></div></body>"
+            for at, html in enumerate((inside, around)):
+                pages.append((100 * k + 10 * at + i, f"http://{name}{at}.org/{i}", html))
+                wanted[pages[-1][0]] = f"first part of the story {i} of {name}\n\npicture {i}"
+    rows = wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in rows} == wanted
+
+
 def test_fold_and_align():
     html = lambda n, extra="": "<body><ul>" + "<li>x</li>" * n + "</ul>" + extra + "<article><p>a</p></article></body>"
     many, one = wrappers.expression(html(5)), wrappers.expression(html(1, "<div>note</div>"))
