@@ -27,6 +27,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -353,7 +354,7 @@ def infer_wrappers(pages: DataFrame, group: int = 256) -> DataFrame:
                             with_text.add(kinds[joined])
                 of_page = min(with_text - {None}, default=None)
                 facts = [{"path": p, "kind": of_page, "chars": sum(len(v) for _, v in s), "linked": sum(len(v) for k, v in s if k == "link"),
-                          "text": " ".join("".join(v for _, v in s).split())[:200]}
+                          "text": blake2b(" ".join("".join(v for _, v in s).split()).encode("utf-8", "replace"), digest_size=16).hexdigest()}
                          for p, s in slots.items() if kinds[p] == of_page is not None]
                 rows.append((host, json.dumps(expression(html)), facts))
             yield pd.DataFrame(rows, columns=["host", "wrapper", "facts"])

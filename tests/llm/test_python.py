@@ -320,6 +320,13 @@ def test_names_do_not_remove_the_article(spark):
     assert {r.page_id: r.text for r in rows} == wanted
 
 
+def test_a_shared_beginning_is_not_a_constant_text(spark):
+    same = ("the same first paragraph of every page, " * 10).strip()
+    pages = [(i, "http://same.org/", f"{HEAD}<div><p>{same}</p><p>then story {i}</p></div></body>") for i in range(10)]
+    for r in wrappers.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect():
+        assert r.text == f"{same}\n\nthen story {r.page_id}"
+
+
 def test_fold_and_align():
     html = lambda n, extra="": "<body><ul>" + "<li>x</li>" * n + "</ul>" + extra + "<article><p>a</p></article></body>"
     many, one = wrappers.expression(html(5)), wrappers.expression(html(1, "<div>note</div>"))
