@@ -60,10 +60,16 @@ CLOSED_BY = {
     "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
     "option": frozenset(["option"]),
 }
+CHANGING = re.compile(r"^(?:tag|category|cat|author|term|topic)-.*|[_-]*\d.*$", re.S)
 SLOT = "#"
 LONGEST = 32  # tokens of a group that folding looks for
 
 
+def _marks(values: str) -> str:
+    """Tokens of class, id and role without what numbers or names the page: post-123 is post, tag-news nothing."""
+    return " ".join(sorted({t for t in (CHANGING.sub("", v) for v in values.lower().split()) if t}))
+
+
 def page_tokens(html: str | None) -> list[tuple[str, str]]:
     """("open", label), ("close", tag) and ("text", raw) in page order; scripts and comments are left out."""
     found, at = [], 0
@@ -78,8 +84,9 @@ def page_tokens(html: str | None) -> list[tuple[str, str]]:
             if match["end"]:
                 found.append(("close", tag))
             else:
-                marks = sorted(v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(match["rest"] or ""))
-                found.append(("open", " ".join([tag, *marks]).strip()))
+                rest = match["rest"]
+                marks = _marks(" ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(rest))) if rest else ""
+                found.append(("open", f"{tag} {marks}" if marks else tag))
     if at < len(html):
         found.append(("text", html[at:]))
     return found

@@ -327,6 +327,15 @@ def test_a_shared_beginning_is_not_a_constant_text(spark):
         assert r.text == f"{same}\n\nthen story {r.page_id}"
 
 
+def test_ids_of_pages_do_not_hide_constant_text(spark):
+    pages = [(i, "http://ids.org/", f"{HEAD}<div id=top-{i} class='bar{i}'>all rights reserved and a line that is on every page of the host</div>"
+              f"<div id='post-{i}' class='post tag-{chr(97 + i)}'><p>story {i}</p></div></body>") for i in range(20)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extract_text(frame).collect()} == {i: f"story {i}" for i in range(20)}
+    content = wrappers.infer_wrappers(frame.selectExpr("'ids.org' AS host", "html")).collect()
+    assert [c.fallback for c in content] == [["body > div post > p"]]
+
+
 def test_fold_and_align():
     html = lambda n, extra="": "<body><ul>" + "<li>x</li>" * n + "</ul>" + extra + "<article><p>a</p></article></body>"
     many, one = wrappers.expression(html(5)), wrappers.expression(html(1, "<div>note</div>"))
