@@ -333,7 +333,7 @@ def test_ids_of_pages_do_not_hide_constant_text(spark):
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in wrappers.extract_text(frame).collect()} == {i: f"story {i}" for i in range(20)}
     content = wrappers.infer_wrappers(frame.selectExpr("'ids.org' AS host", "html")).collect()
-    assert [c.fallback for c in content] == [["body > div post > p"]]
+    assert [c.fallback for c in content] == [["html > body > div post > p"]]
 
 
 def test_fold_and_align():
