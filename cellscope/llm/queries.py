@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, classifier, decontaminate, linechunks, mixing, rules, sharding, simhash, tokens, wrappers
+from . import (
+    alignment,
+    brown,
+    classifier,
+    decontaminate,
+    linechunks,
+    mixing,
+    prefixtrie,
+    rules,
+    sharding,
+    simhash,
+    tokens,
+    warczip,
+    wrappers,
+)
 from .common import read_documents, text_of, word_count
 
 
@@ -72,6 +86,24 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
 
 
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(_table(spark, folder, "conversations"), prefixtrie.branched)
+
+
+def zip_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    records = warczip.read_packages(warczip.write_packages(pages), payload=False)
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind))
+
+
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        read_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curriculum_mix": mix_sources,
     "op2_class_lm": class_lm,
@@ -83,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": token_counts,
     "op9_shards": shards,
     "op10_simhash_groups": simhash_groups,
+    "op11_prefix_trie": prefix_trie,
+    "op12_zip_warc": zip_warc,
+    "op13_token_alignment": token_alignment,
 }
