@@ -64,8 +64,6 @@ FOREST_FEATURES = (
 REGION_NAME = "Asia Tenggara"
 
 SEED = 42
-# Starts of MLlib follow the partitions: a fixed number gives one model on any cluster.
-TRAINING_PARTITIONS = 32
 SWEEP_KS = (2, 3, 4, 5)
 SILHOUETTE_SAMPLE = 0.1
 MAP_SAMPLE_ROWS = 10_000

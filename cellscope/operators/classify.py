@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -21,14 +22,14 @@ from ..config import (
     FOREST_FOLDS,
     FOREST_TREES,
     SEED,
-    TRAINING_PARTITIONS,
 )
 from ..functions import ratio
+from ..sources import stage_table
 from ..sources.schemas import PREDICTION_COLUMNS, PREDICTION_RENAMES
 from .encoding import assemble
 from .measures import count_by, tower_count
 from .sampling import with_fold
-from .sweeps import training_rows
+from .sweeps import first_largest, training_rows
 
 LABEL = "target_label"
 PREDICTED = "prediction_rf"
@@ -76,8 +77,7 @@ def forest_estimator(
 
 
 def fit_forest(
-    train: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS,
+    train: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED, *, partitions: int,
 ) -> RandomForestClassificationModel:
     with training_rows(train, [FEATURES, LABEL], partitions) as rows:
         return forest_estimator(trees, depth, seed).fit(rows)
@@ -85,31 +85,43 @@ def fit_forest(
 
 @dataclass(frozen=True)
 class CrossValidated:
-    """The model refitted on all training rows, and the scores of the grid."""
+    """The model refitted on all training rows, and how the grid and its winner did.
+
+    ``out_of_fold`` has each training row (index, fold, LABEL, PREDICTED) as the winner's forest of
+    the other folds predicts it; ``fold_scores`` are the measures of each fold.
+    """
 
     model: RandomForestClassificationModel
     scores: DataFrame
+    out_of_fold: DataFrame
+    fold_scores: DataFrame
 
 
 def cross_validate(
     train: DataFrame, trees: Sequence[int] = (FOREST_TREES,), depths: Sequence[int] = (FOREST_DEPTH,),
-    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 2, partitions: int = TRAINING_PARTITIONS,
+    folds: int = FOREST_FOLDS, seed: int = SEED, parallelism: int = 2, *, partitions: int,
 ) -> CrossValidated:
     """Choose tree count and depth by mean F1 over hashed folds.
 
-    Scores: (trees, depth, mean_f1, std_f1).
+    Scores: (trees, depth, mean_f1, std_f1).  The winner's forests of the folds predict the rows
+    they were not trained on; these are written once, and every measure of a fold follows from
+    one count of its (true, predicted) pairs.
     """
     forest = forest_estimator(seed=seed)
     grid = ParamGridBuilder().addGrid(forest.numTrees, list(trees)).addGrid(forest.maxDepth, list(depths)).build()
     folded = with_fold(train, folds, seed)
-    with training_rows(folded, [FEATURES, LABEL, "fold"], partitions) as rows:
+    with training_rows(folded, ["index", FEATURES, LABEL, "fold"], partitions) as rows:
         fitted = CrossValidator(
             estimator=forest, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
             evaluator=MulticlassClassificationEvaluator(
                 labelCol=LABEL, predictionCol=PREDICTED, metricName="f1"
             ),
-            parallelism=parallelism, seed=seed,
+            parallelism=parallelism, seed=seed, collectSubModels=True,
         ).fit(rows)
+        best = first_largest(fitted.avgMetrics)
+        unseen = [score(fitted.subModels[fold][best], rows.filter(F.col("fold") == fold)) for fold in range(folds)]
+        out_of_fold = stage_table(reduce(DataFrame.unionByName, [
+            part.select("index", "fold", LABEL, PREDICTED) for part in unseen]), "out-of-fold")
     scores = train.sparkSession.createDataFrame(
         [
             (point[forest.numTrees], point[forest.maxDepth], float(mean), float(deviation))
@@ -117,7 +129,9 @@ def cross_validate(
         ],
         "trees int, depth int, mean_f1 double, std_f1 double",
     )
-    return CrossValidated(fitted.bestModel, scores)
+    pairs = out_of_fold.groupBy("fold", LABEL, PREDICTED).agg(F.count(F.lit(1)).alias(PAIR_WEIGHT))
+    by_fold = classification_metrics(pairs, weight=PAIR_WEIGHT, by=["fold"])
+    return CrossValidated(fitted.bestModel, scores, out_of_fold, by_fold.orderBy("fold"))
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -176,9 +190,9 @@ def confusion_matrix(
     return counts.agg(tower_count(weight)).na.fill(0).orderBy(y)
 
 
-def _class_tally(df: DataFrame, y: str, p: str, weight: str | None) -> DataFrame:
+def _class_tally(df: DataFrame, y: str, p: str, weight: str | None, by: Sequence[str] = ()) -> DataFrame:
     """Per class: rows of it, rows predicted as it, and hits."""
-    pairs = count_by(df, [y, p], "n", weight)
+    pairs = count_by(df, [*by, y, p], "n", weight)
     none = F.lit(0).cast("long")
     hit = F.when(F.col(y) == F.col(p), F.col("n")).otherwise(none)
     sides = F.array(
@@ -186,18 +200,18 @@ def _class_tally(df: DataFrame, y: str, p: str, weight: str | None) -> DataFrame
         F.struct(F.col(p).alias("class"), none.alias("support"), F.col("n").alias("predicted"), none.alias("hits")),
     )
     return (
-        pairs.select(F.inline(sides))
-        .groupBy("class")
+        pairs.select(*by, F.inline(sides))
+        .groupBy(*by, "class")
         .agg(*[F.sum(name).alias(name) for name in ("support", "predicted", "hits")])
     )
 
 
-def _class_scores(df: DataFrame, y: str, p: str, weight: str | None) -> DataFrame:
+def _class_scores(df: DataFrame, y: str, p: str, weight: str | None, by: Sequence[str] = ()) -> DataFrame:
     zero = F.lit(0.0)
     precision = F.coalesce(ratio(F.col("hits"), F.col("predicted")), zero)
     recall = F.coalesce(ratio(F.col("hits"), F.col("support")), zero)
     return (
-        _class_tally(df, y, p, weight)
+        _class_tally(df, y, p, weight, by)
         .withColumns({"precision": precision, "recall": recall})
         .withColumn(
             "f1_score",
@@ -215,9 +229,9 @@ def _class_scores(df: DataFrame, y: str, p: str, weight: str | None) -> DataFram
 SCORES = ("precision", "recall", "f1_score")
 
 
-def _averages(scores: DataFrame) -> DataFrame:
+def _averages(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     total = F.sum("support")
-    return scores.agg(
+    return scores.groupBy(*by).agg(
         ratio(F.sum("hits"), total).alias("accuracy"),
         total.alias("support"),
         *[F.avg(name).alias(f"macro_{name}") for name in SCORES],
@@ -226,11 +240,11 @@ def _averages(scores: DataFrame) -> DataFrame:
 
 
 def classification_metrics(
-    df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None
+    df: DataFrame, y: str = LABEL, p: str = PREDICTED, weight: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row: accuracy, and precision, recall and F1 weighted by class size."""
-    return _averages(_class_scores(df, y, p, weight)).select(
-        "accuracy",
+    """Accuracy, and precision, recall and F1 weighted by class size: one row, or one per group of ``by``."""
+    return _averages(_class_scores(df, y, p, weight, by), by).select(
+        *by, "accuracy",
         F.col("weighted_precision"), F.col("weighted_recall"),
         F.col("weighted_f1_score").alias("f1"),
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,9 +12,9 @@ from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SEED, SWEEP_KS, TRAINING_PARTITIONS
+from ..config import SEED, SWEEP_KS
 from .measures import count_by, tower_cells, tower_count, tower_mean
-from .sweeps import Sweep, first_largest, run_all, training_rows
+from .sweeps import Sweep, feature_values, first_largest, run_all, training_rows
 
 RELIABILITY_FEATURES = "reliability_metrics"
 
@@ -39,19 +39,17 @@ def reliability_estimator(k: int, features: str = RELIABILITY_FEATURES, seed: in
 
 
 def fit_reliability(
-    df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED, *, partitions: int,
 ) -> GaussianMixtureModel:
     with training_rows(df, [features], partitions) as rows:
         return reliability_estimator(k, features, seed).fit(rows)
 
 
 def gmm_reliability(
-    df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, k: int, features: str = RELIABILITY_FEATURES, seed: int = SEED, *, partitions: int,
 ) -> DataFrame:
     """Fit on ``df`` and add ``probability`` (vector) and ``gmm_cluster`` (int)."""
-    return fit_reliability(df, k, features, seed, partitions).transform(df)
+    return fit_reliability(df, k, features, seed, partitions=partitions).transform(df)
 
 
 def model_components(model: GaussianMixtureModel) -> list[Component]:
@@ -71,27 +69,22 @@ SELECT_BY = ("log_likelihood", "bic", "bic_full")
 
 def gmm_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, select_by: str = "log_likelihood",
-    features: str = RELIABILITY_FEATURES, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
+    features: str = RELIABILITY_FEATURES, seed: int = SEED, parallelism: int = 2, *, partitions: int,
 ) -> Sweep:
     """Fit every k and keep the largest log-likelihood, or the least criterion.
 
-    Metrics: (k, log_likelihood, bic, bic_full, is_best).
+    Metrics: (k, log_likelihood, bic, bic_full, is_best), those of the mixtures that are
+    returned; all come from one scan.  The first k wins a tie.
     """
     if select_by not in SELECT_BY:
         raise ValueError(f"select_by must be one of {SELECT_BY}")
     with training_rows(df, [features], partitions) as rows:
-        n = rows.count()
-
-        def fit(k: int):
-            model = reliability_estimator(k, features, seed).fit(rows)
-            return model, float(model.summary.logLikelihood)
-
-        fits = run_all(df, fit, list(ks), parallelism)
-    spark, d = df.sparkSession, len(fits[0][0].gaussians[0].mean)
-    fitness = spark.createDataFrame(
-        [(k, value, n) for k, (_, value) in zip(ks, fits, strict=True)], "k int, log_likelihood double, n long")
-    scored = {row["k"]: row for row in with_criteria(fitness, d).collect()}  # one row per k
+        fitted = run_all(df, lambda k: reliability_estimator(k, features, seed).fit(rows), list(ks), parallelism)
+        models = dict(zip(ks, fitted, strict=True))
+        d = len(fitted[0].gaussians[0].mean)
+        fitness = mixture_fitness(rows, features, {k: model_components(model) for k, model in models.items()})
+        scored = {row["k"]: row for row in with_criteria(fitness, d).collect()}  # one row per k
+    spark = df.sparkSession
     scores = [scored[k][select_by] if select_by == "log_likelihood" else -scored[k][select_by] for k in ks]
     best = first_largest(scores)
     metrics = spark.createDataFrame(
@@ -101,19 +94,32 @@ def gmm_sweep(
         ],
         "k int, log_likelihood double, bic double, bic_full double, is_best boolean",
     )
-    return Sweep(metrics, ks[best], fits[best][0])
+    return Sweep(metrics, ks[best], fitted[best], models)
 
 
 # --- scoring with given parameters ----------------------------------------------
 
 
-def weighted_density(columns: Sequence[str], part: Component) -> Column:
+def precision_of(covariance: Sequence[Sequence[float]]) -> tuple[np.ndarray, float]:
+    """(inverse, logarithm of the determinant), both over the directions in which there is any variance.
+
+    A direction counts if its variance is above the rounding error of the largest, so a mixture
+    trained on a constant column still has densities.
+    """
+    values, vectors = np.linalg.eigh(np.array(covariance, dtype=float))
+    used = values > np.finfo(float).eps * values.max() * len(values)
+    if not used.any():
+        raise ValueError("a covariance without any variance has no density")
+    return (vectors[:, used] / values[used]) @ vectors[:, used].T, float(np.log(values[used]).sum())
+
+
+def weighted_density(columns: Sequence[str | Column], part: Component) -> Column:
     """Weight times Gaussian density, from the inverse covariance as literals."""
-    covariance = np.array(part.covariance, dtype=float)
-    precision = np.linalg.inv(covariance)
+    precision, log_determinant = precision_of(part.covariance)
     d = len(columns)
-    norm = part.weight / math.sqrt((2 * math.pi) ** d * float(np.linalg.det(covariance)))
-    offset = [F.col(name) - F.lit(float(at)) for name, at in zip(columns, part.mean, strict=True)]
+    norm = part.weight * math.exp(-0.5 * (d * math.log(2 * math.pi) + log_determinant))
+    values = [F.col(name) if isinstance(name, str) else name for name in columns]
+    offset = [value - F.lit(float(at)) for value, at in zip(values, part.mean, strict=True)]
     terms = []
     for i in range(d):
         terms.append(F.lit(float(precision[i, i])) * offset[i] * offset[i])
@@ -146,7 +152,7 @@ def gmm_responsibilities(
     return df.withColumns(densities).withColumns({**shares, prediction: label}).drop(*densities)
 
 
-def mixture_log_density(columns: Sequence[str], parts: Sequence[Component]) -> Column:
+def mixture_log_density(columns: Sequence[str | Column], parts: Sequence[Component]) -> Column:
     return F.log(reduce(Column.__add__, [weighted_density(columns, part) for part in parts]))
 
 
@@ -155,6 +161,18 @@ def log_likelihood(df: DataFrame, columns: Sequence[str], parts: Sequence[Compon
     return df.agg(F.sum(mixture_log_density(columns, parts)).alias("log_likelihood"))
 
 
+def mixture_fitness(df: DataFrame, features: str, mixtures: Mapping[int, Sequence[Component]]) -> DataFrame:
+    """(k, log_likelihood, n) of several mixtures on the same rows, from one scan."""
+    x = F.col("__x")
+    size = len(next(iter(mixtures.values()))[0].mean)
+    fits = [
+        F.coalesce(F.sum(mixture_log_density([x[i] for i in range(size)], parts)), F.lit(0.0)).alias(f"fit_{k}")
+        for k, parts in mixtures.items()]
+    cells = ", ".join(f"{k}, fit_{k}" for k in mixtures)
+    return df.select(feature_values(df, features).alias("__x")).agg(F.count(F.lit(1)).alias("n"), *fits).selectExpr(
+        f"stack({len(mixtures)}, {cells}) AS (k, log_likelihood)", "n")
+
+
 def with_criteria(metrics: DataFrame, d: int, rows: str = "n") -> DataFrame:
     """Add ``bic`` and ``bic_full`` to a table of (k, log_likelihood, n).
 

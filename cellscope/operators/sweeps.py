@@ -9,25 +9,28 @@ from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.storagelevel import StorageLevel
 
-from ..config import TRAINING_PARTITIONS
 from .sampling import row_key
 
 
 @dataclass(frozen=True)
 class Sweep:
-    """Outcome of a sweep: one metrics row per k, and the winning model."""
+    """Outcome of a sweep: one metrics row per k, the winning model, and all of them by k."""
 
     metrics: DataFrame
     best_k: int
     best_model: Any
+    models: dict[int, Any]
 
 
 @contextmanager
 def training_rows(
-    df: DataFrame, columns: Sequence[str], partitions: int = TRAINING_PARTITIONS, key: str = "index"
+    df: DataFrame, columns: Sequence[str], partitions: int, key: str = "index"
 ) -> Iterator[DataFrame]:
     """The columns that training reads, kept while the block runs.
 
@@ -39,7 +42,8 @@ def training_rows(
     MLlib's random starts follow the partitioning, so the rows are dealt to a
     given number of partitions by their identity and ordered by it: the model
     depends neither on the cores nor on how the input is split.  Rows without
-    an index spread like all others.
+    an index spread like all others.  The number has no default, because it is
+    part of the model and has to suit the rows: some 100,000 rows in each.
     """
     rows = (
         df.withColumn("__key", row_key(df, key))
@@ -54,6 +58,12 @@ def training_rows(
         rows.unpersist()
 
 
+def feature_values(df: DataFrame, features: str) -> Column:
+    """A feature column as an array of numbers, whether it is a vector or an array already."""
+    kind = df.schema[features].dataType
+    return F.col(features) if isinstance(kind, ArrayType) else vector_to_array(features)
+
+
 def run_all(
     df: DataFrame, work: Callable[[int], Any], items: Sequence[int], parallelism: int
 ) -> list[Any]:

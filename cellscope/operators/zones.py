@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SEED, SILHOUETTE_SAMPLE, SWEEP_KS, TRAINING_PARTITIONS
+from ..config import SEED, SILHOUETTE_SAMPLE, SWEEP_KS
 from .measures import count_by, tower_cells, tower_count, tower_mean
 from .sampling import row_draw
-from .sweeps import Sweep, first_largest, run_all, training_rows
+from .sweeps import Sweep, feature_values, first_largest, run_all, training_rows
 
 ZONE_FEATURES = "prediction_features"
 PROFILE_DIMENSIONS = ("prediction", "Country", "Network", "generasi", "jangkauan")
@@ -31,19 +32,17 @@ def zone_estimator(k: int, features: str = ZONE_FEATURES, seed: int = SEED) -> K
 
 
 def fit_zones(
-    df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED, *, partitions: int,
 ) -> KMeansModel:
     with training_rows(df, [features], partitions) as rows:
         return zone_estimator(k, features, seed).fit(rows)
 
 
 def kmeans_zones(
-    df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, k: int, features: str = ZONE_FEATURES, seed: int = SEED, *, partitions: int,
 ) -> DataFrame:
     """Fit on ``df`` and add the zone as ``prediction`` (int)."""
-    return fit_zones(df, k, features, seed, partitions).transform(df)
+    return fit_zones(df, k, features, seed, partitions=partitions).transform(df)
 
 
 def silhouette_score(df: DataFrame, features: str = ZONE_FEATURES, prediction: str = "prediction") -> float:
@@ -63,42 +62,104 @@ def silhouette(df: DataFrame, features: str = ZONE_FEATURES, prediction: str = "
     return df.sparkSession.createDataFrame([(score,)], "silhouette double")
 
 
+Centers = Sequence[Sequence[float]]
+
+
+def centre_tallies(df: DataFrame, features: str, centers: Mapping[int, Centers], sample: Column | None = None) -> DataFrame:
+    """What the measures of several sets of centres need of the rows, from one scan.
+
+    One row per set ``k`` and ``cluster`` in use: ``towers`` and ``cost`` (sum of squared
+    distances) of all rows; ``n``, ``norms`` (sum of squared lengths) and ``sums`` (of the
+    vectors) of the rows that ``sample`` accepts.  Every task keeps one such row per cluster.
+    """
+    x = F.col("__x")
+    chosen = F.lit(True) if sample is None else F.coalesce(sample, F.lit(False))
+    size = len(next(iter(centers.values()))[0])
+    points = df.select(feature_values(df, features).alias("__x"), chosen.alias("__in"))
+
+    def nearest(at: Centers) -> Column:
+        pairs = [
+            F.struct(distance.alias("distance"), F.lit(number).alias("cluster"))
+            for number, distance in enumerate(squared_distances([x[i] for i in range(size)], at))]
+        return F.least(*pairs) if len(pairs) > 1 else pairs[0]
+
+    sides = points.select("__x", "__in", F.inline(F.array(*(
+        F.struct(F.lit(k).alias("k"), nearest(at).alias("__at")) for k, at in centers.items()))))
+    inside = lambda value: F.coalesce(F.sum(F.when(F.col("__in"), value)), F.lit(0.0))
+    return sides.groupBy("k", F.col("__at.cluster").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("towers"), F.sum("__at.distance").alias("cost"), F.count_if("__in").alias("n"),
+        inside(sum((x[i] * x[i] for i in range(1, size)), x[0] * x[0])).alias("norms"),
+        F.array(*(inside(x[i]) for i in range(size))).alias("sums"))
+
+
+def centre_silhouettes(df: DataFrame, features: str, centers: Mapping[int, Centers], tallies: Sequence) -> DataFrame:
+    """Mean silhouette of ``df`` under several sets of centres in one scan: one column ``k<k>`` each.
+
+    ``tallies`` are the rows of :func:`centre_tallies` whose ``n`` is not 0, one per cluster.  The
+    mean squared distance to a cluster follows from its size, sum of squares and sum of vectors;
+    a tower alone in its cluster scores 0.
+    """
+    x, size = F.col("__x"), len(next(iter(centers.values()))[0])
+    points = df.select(feature_values(df, features).alias("__x"))
+    length = sum((x[i] * x[i] for i in range(1, size)), x[0] * x[0])
+    scores = []
+    for k, at in centers.items():
+        used = {row["cluster"]: row for row in tallies if row["k"] == k and row["n"]}
+        if len(used) < 2:
+            raise ValueError(f"k={k}: the sample has towers of fewer than two clusters")
+        pairs = [
+            F.struct(distance.alias("distance"), F.lit(number).alias("cluster"))
+            for number, distance in enumerate(squared_distances([x[i] for i in range(size)], at))]
+        own = F.least(*pairs)["cluster"]
+        mean = {}
+        for number, row in used.items():
+            dot = sum((x[i] * F.lit(row["sums"][i]) for i in range(1, size)), x[0] * F.lit(row["sums"][0]))
+            mean[number] = length + F.lit(row["norms"] / row["n"]) - dot * F.lit(2.0 / row["n"])
+        score = F.lit(0.0)
+        for number, row in used.items():
+            others = [value for other, value in mean.items() if other != number]
+            outer = F.least(*others) if len(others) > 1 else others[0]
+            inner = mean[number] * F.lit(row["n"] / max(row["n"] - 1, 1))
+            ratio = F.when(inner == outer, F.lit(0.0)).otherwise((outer - inner) / F.greatest(inner, outer))
+            if row["n"] > 1:
+                score = F.when(own == number, ratio).otherwise(score)
+        scores.append(F.avg(score).alias(f"k{k}"))
+    return points.agg(*scores)
+
+
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = SWEEP_KS, features: str = ZONE_FEATURES, seed: int = SEED,
-    fraction: float = SILHOUETTE_SAMPLE, partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
+    fraction: float = SILHOUETTE_SAMPLE, parallelism: int = 2, *, partitions: int,
 ) -> Sweep:
     """Fit every k and keep the best silhouette, measured on a sample of the rows.
 
-    Metrics: (k, silhouette_score, wssse, is_best).  The first k wins a tie.
+    Metrics: (k, silhouette_score, wssse, is_best), those of the centres that are returned.  All
+    costs and the sums behind all silhouettes come from one scan, the silhouettes from one more.
+    The first k wins a tie.
     """
     marked = df.withColumn("in_sample", row_draw(df, "sample", seed) < F.lit(float(fraction)))
     with training_rows(marked, [features, "in_sample"], partitions) as rows:
-
-        def fit(k: int):
-            model = zone_estimator(k, features, seed).fit(rows)
-            checked = model.transform(rows.filter("in_sample"))
-            return model, silhouette_score(checked, features), model.summary.trainingCost
-
-        fits = run_all(df, fit, list(ks), parallelism)
-    best = first_largest([score for _, score, _ in fits])
+        models = run_all(df, lambda k: zone_estimator(k, features, seed).fit(rows), list(ks), parallelism)
+        centers = {k: [tuple(map(float, at)) for at in model.clusterCenters()] for k, model in zip(ks, models, strict=True)}
+        tallies = centre_tallies(rows, features, centers, F.col("in_sample")).collect()  # one row per k and cluster
+        scores = centre_silhouettes(rows.filter("in_sample"), features, centers, tallies).first()
+    best = first_largest([scores[f"k{k}"] for k in ks])
+    cost = {k: math.fsum(row["cost"] for row in tallies if row["k"] == k) for k in ks}
     metrics = df.sparkSession.createDataFrame(
-        [
-            (k, float(score), float(cost), place == best)
-            for place, (k, (_, score, cost)) in enumerate(zip(ks, fits, strict=True))
-        ],
+        [(k, scores[f"k{k}"], cost[k], place == best) for place, k in enumerate(ks)],
         "k int, silhouette_score double, wssse double, is_best boolean",
     )
-    return Sweep(metrics, ks[best], fits[best][0])
+    return Sweep(metrics, ks[best], models[best], dict(zip(ks, models, strict=True)))
 
 
 # --- scoring with given centres -------------------------------------------------
 
 
-def squared_distances(columns: Sequence[str], centers: Sequence[Sequence[float]]) -> list[Column]:
+def squared_distances(columns: Sequence[str | Column], centers: Sequence[Sequence[float]]) -> list[Column]:
     """Squared distance to each centre, in centre order."""
-    distances = []
+    distances, values = [], [F.col(name) if isinstance(name, str) else name for name in columns]
     for center in centers:
-        terms = [(F.col(name) - F.lit(float(at))) for name, at in zip(columns, center, strict=True)]
+        terms = [(value - F.lit(float(at))) for value, at in zip(values, center, strict=True)]
         total = terms[0] * terms[0]
         for term in terms[1:]:
             total = total + term * term
