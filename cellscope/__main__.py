@@ -12,7 +12,6 @@ from .config import (
     FOREST_FOLDS,
     FOREST_TREES,
     SWEEP_KS,
-    TRAINING_PARTITIONS,
     CleanRules,
 )
 from .operators.reliability import SELECT_BY
@@ -49,20 +48,21 @@ def parser() -> argparse.ArgumentParser:
         return made
 
     def training(made: argparse.ArgumentParser) -> argparse.ArgumentParser:
-        made.add_argument("--partitions", type=int, default=TRAINING_PARTITIONS)
+        made.add_argument("--partitions", type=int, required=True, help="of the training rows, some 100,000 in each")
         made.add_argument("--parallelism", type=int, default=2)
         return made
 
-    made = command("preprocess", "source", "table", optional=("funnel",))
+    made = command("preprocess", "source", "table", optional=("funnel", "quarantine"))
     made.add_argument("--partition-by", nargs="*", default=[])
     made.add_argument("--rules", type=_rules, default=CleanRules(), help="JSON file")
-    command("reports", "clean", "root")
+    command("reports", "clean", "root", optional=("cells", "batch"))
     for name in ("zones", "reliability"):
-        made = training(command(name, "clean", "table", "root", optional=("model", "metrics")))
+        made = training(command(name, "clean", "table", "root", optional=("model", "metrics", "run-id")))
+        made.add_argument("--buckets", type=int, help="of the output, by tower; the same for both models")
         made.add_argument("--ks", nargs="+", type=int, default=list(SWEEP_KS))
         if name == "reliability":
             made.add_argument("--select-by", choices=SELECT_BY, default=SELECT_BY[0])
-    made = training(command("classifier", "zone-table", "reliability-table", "root", optional=("model", "metrics")))
+    made = training(command("classifier", "zone-table", "reliability-table", "root", optional=("model", "metrics", "run-id")))
     made.add_argument("--trees", nargs="+", type=int, default=[FOREST_TREES])
     made.add_argument("--depths", nargs="+", type=int, default=[FOREST_DEPTH])
     made.add_argument("--folds", type=int, default=FOREST_FOLDS)

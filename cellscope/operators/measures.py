@@ -10,16 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ratio
+from ..sources import replace_partitions
 
 CELL_WEIGHT = "towers"
 
 
-def tower_cells(df: DataFrame, dimensions: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-    """One row per combination of dimensions; partial sums are formed before the shuffle."""
+def tower_cells(
+    df: DataFrame, dimensions: Sequence[str], measures: Sequence[str] = (), bounds: Sequence[str] = (),
+) -> DataFrame:
+    """One row per combination of dimensions; partial sums are formed before the shuffle.
+
+    ``bounds`` names columns whose least and largest value are kept too.
+    """
     parts = [F.count(F.lit(1)).alias(CELL_WEIGHT)]
     for name in measures:
         value = F.col(name)
@@ -27,9 +33,37 @@ def tower_cells(df: DataFrame, dimensions: Sequence[str], measures: Sequence[str
             F.sum(value.cast("double")).alias(f"{name}_sum"),
             F.count(value).alias(f"{name}_filled"),
         ]
+    for name in bounds:
+        parts += [F.min(name).alias(f"{name}_min"), F.max(name).alias(f"{name}_max")]
     return df.groupBy(*dimensions).agg(*parts)
 
 
+def merged_cells(cells: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Cells of several tables of towers as those of all of them: counts and sums add up, bounds widen."""
+    widen = {"_min": F.min, "_max": F.max}
+    parts = [
+        widen.get(name[-4:], F.sum)(name).alias(name)
+        for name in cells.columns if name not in dimensions and name != BATCH]
+    return cells.groupBy(*dimensions).agg(*parts)
+
+
+BATCH = "batch"
+
+
+def add_batch(cells: DataFrame, path: str, batch: str) -> None:
+    """Keep the cells of one delivery of towers beside those of the earlier ones.
+
+    Only the new towers are scanned for it.  Under a name that is there already the cells
+    replace the old ones, so a delivery that is processed twice counts once.
+    """
+    replace_partitions(cells.withColumn(BATCH, F.lit(batch)), path, [BATCH])
+
+
+def stored_cells(spark: SparkSession, path: str, dimensions: Sequence[str]) -> DataFrame:
+    """The cells of all deliveries together."""
+    return merged_cells(spark.read.parquet(path), dimensions)
+
+
 def tower_count(weight: str | None, when: Column | None = None) -> Column:
     """Number of towers, or of those for which ``when`` holds."""
     if weight is None:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT_RULES, CleanRules
 from ..functions import fraction_digits
+from ..sources.csv_towers import CORRUPT_COLUMN
 
 
 def _all(tests: Iterable[Column]) -> Column:
@@ -105,8 +106,12 @@ def project(df: DataFrame, columns: Mapping[str, str], casts: Mapping[str, str]
 
 
 def quality_steps(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> list[tuple[str, Column]]:
-    """The cleaning steps in order, as (name, predicate)."""
-    return [
+    """The cleaning steps in order, as (name, predicate).
+
+    Where the reader has kept malformed rows, they fail the first step.
+    """
+    readable = [("malformed", F.col(CORRUPT_COLUMN).isNull())] if CORRUPT_COLUMN in df.columns else []
+    return readable + [
         ("country", F.col("Country").isin(*rules.countries)),
         ("nulls", is_present(df, rules.critical)),
         ("zeros", is_nonzero(rules.nonzero)),
@@ -121,7 +126,7 @@ def quality_steps(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> list[tupl
 def clean_towers(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
     """All quality filters at once, without the unused columns.  No shuffle."""
     keep = _all(test for _, test in quality_steps(df, rules))
-    return drop_columns(df.filter(keep), rules.unused)
+    return drop_columns(df.filter(keep), [*rules.unused, CORRUPT_COLUMN])
 
 
 def failed_step(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> Column:
@@ -154,11 +159,14 @@ def quality_funnel(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFram
 def cleaned_with_steps(df: DataFrame, rules: CleanRules = DEFAULT_RULES) -> DataFrame:
     """``failed_at`` of every row; the other columns only of rows that pass all steps.
 
-    Rows that fail keep nothing but their step, so a written copy is little
-    larger than the cleaned rows, and serves the funnel and the cleaning alike.
+    Rows that fail keep nothing but their step, malformed ones also their text,
+    so a written copy is little larger than the cleaned rows, and serves the
+    funnel, the quarantine and the cleaning alike.
     """
-    kept = drop_columns(df, rules.unused)
+    kept = drop_columns(df, [*rules.unused, CORRUPT_COLUMN])
     last = len(quality_steps(df, rules)) + 1
-    marked = kept.withColumn("failed_at", failed_step(df, rules))
+    marked = drop_columns(df, rules.unused).withColumn("failed_at", failed_step(df, rules))
     passed = F.col("failed_at") == last
-    return marked.select("failed_at", *[F.when(passed, F.col(name)).alias(name) for name in kept.columns])
+    text = [F.col(CORRUPT_COLUMN)] if CORRUPT_COLUMN in df.columns else []
+    return marked.select(
+        "failed_at", *text, *[F.when(passed, F.col(name)).alias(name) for name in kept.columns])

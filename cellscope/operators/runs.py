@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources import replace_partitions
 
 RUN_SCHEMA = "run_id string, experiment string, run_name string, kind string, key string, value string"
 FINAL = "Final_Best"
@@ -26,6 +29,20 @@ def run_metrics(
     return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
+def record_runs(runs: DataFrame, path: str) -> None:
+    """Put runs into the run table: they replace those of the same run id and experiment.
+
+    A job that is run again under its run id leaves its runs once.
+    """
+    replace_partitions(runs, path, ["run_id", "experiment"])
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table (RUN_SCHEMA)."""
+    schema = StructType.fromDDL(RUN_SCHEMA)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def _cell(kind: str, key: str, value: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), value.cast("string").alias("value"))
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MAP_SAMPLE_ROWS, SEED
 from ..functions import unit_hash
 
+# Bins of the histogram by which a sample of a given size finds its last row.
+SAMPLE_BINS = 4096
+
 # Used for towers without an index, so that they too spread over the buckets.
 CELL_IDENTITY = ("radio", "MCC", "MNC", "TAC", "CID", "created")
 
@@ -43,14 +46,34 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = SEED, key: str = "in
 
 
 def sample_n(
-    df: DataFrame, n: int = MAP_SAMPLE_ROWS, seed: int = SEED, key: str = "index"
+    df: DataFrame, n: int = MAP_SAMPLE_ROWS, seed: int = SEED, key: str = "index", bins: int = SAMPLE_BINS,
 ) -> DataFrame:
-    """About ``n`` rows, or all rows when there are fewer.
+    """Exactly ``n`` rows, or all rows when there are fewer: those with the least draws.
 
-    The row count is a scalar subquery of the same plan.
+    Equal draws are ordered by the row's key.  Nothing is sorted but the rows of one bin: a
+    histogram of the draws, one row per bin, tells in which bin the n-th row lies and how many
+    rows come before it; the n-th draw is then the last of the least ones of that bin.  The
+    result is a filter by that draw.  Only where several rows share it (equal keys) and not all
+    fit are those that do taken by a limit.
     """
-    total = df.agg(F.count(F.lit(1))).scalar().cast("double")
-    return df.filter(row_draw(df, "sample", seed, key) < F.try_divide(F.lit(float(n)), total))
+    draw, name = row_draw(df, "sample", seed, key), row_key(df, key)
+    at = F.floor(draw * F.lit(bins))
+    earlier = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # of one row per bin
+    histogram = df.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    place = (
+        histogram.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+        .filter((F.col("before") < n) & (F.col("before") + F.col("rows") >= n)).first()
+    )
+    if place is None:  # fewer rows than n, or none wanted
+        return df if n > 0 else df.limit(0)
+    rank = F.struct(draw.alias("draw"), name.alias("name"))
+    least = df.filter(at == place["bin"]).select(rank.alias("rank")).orderBy("rank").limit(n - place["before"])
+    cut = least.groupBy("rank").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rank")).first()
+    last = F.struct(F.lit(cut["rank"]["draw"]).alias("draw"), F.lit(cut["rank"]["name"]).alias("name"))
+    sharing = df.filter((at == place["bin"]) & (rank == last))
+    if sharing.count() == cut["rows"]:
+        return df.filter(rank <= last)
+    return df.filter(rank < last).unionByName(sharing.limit(cut["rows"]))
 
 
 def split(

@@ -20,15 +20,16 @@ from ..config import (
     SEED,
     SWEEP_KS,
     TRAIN_TEST_WEIGHTS,
-    TRAINING_PARTITIONS,
 )
 from ..operators import classify, reliability, reports, rollups, runs, zones
-from ..operators.measures import CELL_WEIGHT
+from ..operators.measures import CELL_WEIGHT, add_batch, stored_cells
 from ..operators.sampling import CELL_IDENTITY, sample_n, split
 from ..sources import (
     read_clean,
     read_report,
+    read_table,
     staged_table,
+    write_bucketed,
     write_report,
     write_rows_csv,
     write_table,
@@ -38,9 +39,21 @@ from ..sources.schemas import PREDICTION_COLUMNS, PREDICTION_SCHEMA, REPORT_SCHE
 Labels = Mapping[int, str] | None
 
 
-def run_reports(spark: SparkSession, clean: str, root: str) -> None:
-    """The six descriptive reports, from one scan of the clean table."""
-    with staged_table(reports.report_cells(read_clean(spark, clean)), "report-cells") as cells:
+def run_reports(
+    spark: SparkSession, clean: str, root: str, cells: str | None = None, batch: str | None = None,
+) -> None:
+    """The six descriptive reports, from one scan of the clean table.
+
+    With ``cells`` the towers in ``clean`` are one delivery, named ``batch``: its cells are put
+    into that table and the reports are those of all deliveries in it.
+    """
+    made = reports.report_cells(read_clean(spark, clean))
+    if cells:
+        if not batch:
+            raise ValueError("a delivery needs a name: give batch")
+        add_batch(made, cells, batch)
+        made = stored_cells(spark, cells, reports.REPORT_DIMENSIONS)
+    with staged_table(made, "report-cells") as cells:
         for name, report in {
             "overall_radio_percentage": reports.category_share(cells, "generasi", weight=CELL_WEIGHT),
             "top3_operator_per_negara": reports.top_k_per_group(cells, "Country", "Network", 3, CELL_WEIGHT),
@@ -52,6 +65,18 @@ def run_reports(spark: SparkSession, clean: str, root: str) -> None:
             write_report(report, f"{root}/{name}")
 
 
+def write_labelled(rows: DataFrame, path: str, buckets: int | None) -> None:
+    """A model's output; in ``buckets`` by tower, if the classifier's join is to move no rows.
+
+    Vectors are left out of buckets: nothing after the models reads them.
+    """
+    if buckets is None:
+        write_table(rows, path)
+    else:
+        vectors = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "vector"]
+        write_bucketed(rows.drop(*vectors), path, "index", buckets, F.xxhash64(*CELL_IDENTITY))
+
+
 def zone_profiles(labelled: DataFrame, root: str) -> None:
     """The four cluster profiles, from one scan, and the map sample."""
     with staged_table(zones.profile_cells(labelled), "zone-cells") as cells:
@@ -73,43 +98,47 @@ def _new_run() -> str:
 def run_zones(
     spark: SparkSession, clean: str, table: str, root: str,
     model: str | None = None, metrics: str | None = None, ks: Sequence[int] = SWEEP_KS,
-    partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
+    parallelism: int = 2, buckets: int | None = None, run_id: str | None = None, *, partitions: int,
 ) -> KMeansModel:
-    """Choose k by silhouette, write the zone table, its profiles, model and metrics."""
+    """Choose k by silhouette, write the zone table, its profiles, model and metrics.
+
+    A job that is run again under its ``run_id`` replaces its metrics.
+    """
     towers = read_clean(spark, clean)
     sweep = zones.kmeans_sweep(towers, ks, partitions=partitions, parallelism=parallelism)
-    write_table(sweep.best_model.transform(towers), table)
-    zone_profiles(read_clean(spark, table), root)
+    write_labelled(sweep.best_model.transform(towers), table, buckets)
+    zone_profiles(read_table(spark, table), root)
     if model:
         classify.save_model(sweep.best_model, model)
     if metrics:
-        write_runs(sweep.metrics, "KMeans", ["silhouette_score", "wssse"], metrics)
+        write_runs(sweep.metrics, "KMeans", ["silhouette_score", "wssse"], metrics, run_id)
     return sweep.best_model
 
 
-def write_runs(sweep: DataFrame, experiment: str, scores: list[str], path: str) -> None:
-    """Append the runs of a sweep and its final run, under a new run id."""
-    run_id = _new_run()
+def write_runs(sweep: DataFrame, experiment: str, scores: list[str], path: str, run_id: str | None = None) -> None:
+    """Record the runs of a sweep and its final run, under a new run id unless one is given."""
+    run_id = run_id or _new_run()
     table = runs.sweep_runs(sweep, experiment, scores, run_id)
-    write_table(table.unionByName(runs.final_run(sweep, experiment, scores, run_id)), path, mode="append")
+    runs.record_runs(table.unionByName(runs.final_run(sweep, experiment, scores, run_id)), path)
 
 
 def run_reliability(
     spark: SparkSession, clean: str, table: str, root: str,
     model: str | None = None, metrics: str | None = None, ks: Sequence[int] = SWEEP_KS,
-    select_by: str = "log_likelihood", partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
+    select_by: str = "log_likelihood", parallelism: int = 2, buckets: int | None = None, run_id: str | None = None,
+    *, partitions: int,
 ) -> GaussianMixtureModel:
     """Choose the mixture, write the reliability table, its profiles, model and metrics."""
     towers = read_clean(spark, clean)
     sweep = reliability.gmm_sweep(towers, ks, select_by, partitions=partitions, parallelism=parallelism)
-    write_table(sweep.best_model.transform(towers), table)
-    with staged_table(reliability.reliability_cells(read_clean(spark, table)), "reliability-cells") as cells:
+    write_labelled(sweep.best_model.transform(towers), table, buckets)
+    with staged_table(reliability.reliability_cells(read_table(spark, table)), "reliability-cells") as cells:
         write_report(reliability.reliability_profile(cells, CELL_WEIGHT), f"{root}/stats_utama_gmm")
         write_report(reliability.operator_reliability(cells, CELL_WEIGHT), f"{root}/distribusi_keandalan_operator")
     if model:
         classify.save_model(sweep.best_model, model)
     if metrics:
-        write_runs(sweep.metrics, "GMM", ["log_likelihood", "bic", "bic_full"], metrics)
+        write_runs(sweep.metrics, "GMM", ["log_likelihood", "bic", "bic_full"], metrics, run_id)
     return sweep.best_model
 
 
@@ -117,22 +146,23 @@ def run_classifier(
     spark: SparkSession, zone_table: str, reliability_table: str, root: str,
     model: str | None = None, metrics: str | None = None,
     trees: Sequence[int] = (FOREST_TREES,), depths: Sequence[int] = (FOREST_DEPTH,),
-    folds: int = FOREST_FOLDS, partitions: int = TRAINING_PARTITIONS, parallelism: int = 2,
+    folds: int = FOREST_FOLDS, parallelism: int = 2, run_id: str | None = None, *, partitions: int,
 ) -> RandomForestClassificationModel:
-    """Cross profile, cross-validated forest, test metrics and prediction export.
+    """Cross profile, cross-validated forest, the measures of its folds, test metrics and prediction export.
 
     The scored test rows are written once; the confusion matrix and all metrics
     follow from one count of their (true, predicted) pairs.
     """
     # only what the features, the export and the draws need goes through the join, no vectors
     needed = {"index", *FOREST_FEATURES, *PREDICTION_COLUMNS, *CELL_IDENTITY}
-    zone_rows = read_clean(spark, zone_table)
+    zone_rows = read_table(spark, zone_table)
     zone_rows = zone_rows.select(*[name for name in zone_rows.columns if name in needed])
-    both = reports.join_models(zone_rows, read_clean(spark, reliability_table))
+    both = reports.join_models(zone_rows, read_table(spark, reliability_table))
     with staged_table(both, "joined") as joined:
         write_report(classify.cross_profile(joined), f"{root}/cross_profiling_output")
         train, test = split(classify.rf_features(joined), TRAIN_TEST_WEIGHTS)
         fitted = classify.cross_validate(train, trees, depths, folds, parallelism=parallelism, partitions=partitions)
+        write_report(fitted.fold_scores, f"{root}/fold_scores")
         # row-level: as many files as tasks
         write_rows_csv(
             classify.prediction_report(classify.score(fitted.model, test)), f"{root}/rf_prediction_output")
@@ -146,7 +176,7 @@ def run_classifier(
         matrix = classify.confusion_matrix(pairs, target, predicted, classes, weight)
         write_report(matrix.withColumnRenamed(target, classify.LABEL), f"{root}/confusion_matrix")
         if metrics:
-            run_id = _new_run()
+            run_id = run_id or _new_run()
             result = classify.classification_metrics(pairs, target, predicted, weight).first().asDict()
             final = runs.run_metrics(
                 spark, "RF", f"{runs.FINAL}_RF",
@@ -160,7 +190,7 @@ def run_classifier(
                 run_id,
             )
             grid = runs.sweep_runs(fitted.scores, "RF", ["mean_f1", "std_f1"], run_id, ("trees", "depth"))
-            write_table(grid.unionByName(final), metrics, mode="append")
+            runs.record_runs(grid.unionByName(final), metrics)
     if model:
         classify.save_model(fitted.model, model)
     return fitted.model

@@ -32,7 +32,9 @@ def write_table(
     writer.parquet(path)
 
 
-def stage_table(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stage_table(
+    df: DataFrame, label: str, path: str | None = None, partition_by: Sequence[str] = (),
+) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage: what follows survives the loss of any executor without
@@ -41,13 +43,22 @@ def stage_table(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     that is done with the table earlier uses :func:`staged_table`.
     """
     path = path or new_workspace(df.sparkSession, label)
-    write_table(df, path)
+    write_table(df, path, partition_by)
     # the schema is known: no look into the files
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def staged_table(df: DataFrame, label: str) -> Iterator[DataFrame]:
+def staged_table(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """A staged table that is deleted when the block ends."""
     with temporary_workspace(df.sparkSession, label) as path:
-        yield stage_table(df, label, path)
+        yield stage_table(df, label, path, partition_by)
+
+
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Write the rows in the place of those that the table has for the same ``keys``.
+
+    Other partitions stay.  The files of a partition are exchanged when all tasks are done, so
+    writing the same rows again, as a job does that is run a second time, changes nothing.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

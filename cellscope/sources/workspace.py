@@ -25,6 +25,28 @@ def _path(spark: SparkSession, name: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small file, in the place of an older one."""
+    path, files = _path(spark, name)
+    stream = files.create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str | None:
+    """A small file's text; none if there is no such file."""
+    path, files = _path(spark, name)
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, removed when the application ends."""
     name = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
