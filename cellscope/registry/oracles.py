@@ -262,6 +262,15 @@ def sql(name: str, ctes: str, body: str) -> None:
 
 sql("s1_csv_scan", RAW, f"SELECT index, radio, {POINT}, RANGE, CAST(updated AS DOUBLE) AS updated, Country FROM towers WHERE radio <> 'WIFI'")
 sql("s1_csv_bad_rows", RAW, "SELECT radio = 'WIFI' AS bad, count(*) AS rows FROM towers GROUP BY 1")
+READABLE = {"malformed": "radio <> 'WIFI'", **STEPS}
+READ_FUNNEL = ["SELECT CAST(0 AS INTEGER) AS step_no, 'raw' AS step, count(*) AS rows FROM towers"]
+for number, step in enumerate(READABLE, start=1):
+    passed = " AND ".join(f"({test})" for test in list(READABLE.values())[:number])
+    READ_FUNNEL.append(f"SELECT {number}, '{step}', count(*) FROM towers WHERE {passed}")
+READ_FUNNEL.append("SELECT 8, 'written', count(*) FROM clean")
+READ_FUNNEL.append("SELECT 9, 'quarantined', count(*) FROM towers WHERE radio = 'WIFI'")
+sql("s1_quarantine_funnel", CLEAN, "\nUNION ALL ".join(READ_FUNNEL))
+sql("s1_quarantined_rows", RAW, "SELECT index, radio, CAST(18 AS INTEGER) AS fields FROM towers WHERE radio = 'WIFI'")
 sql("s2_parquet_scan", CLEAN, f"SELECT index, radio, {POINT}, Network FROM clean")
 sql("s3_parquet_sink", CLEAN,
     "SELECT Country, count(*) AS rows, CAST(sum(RANGE) AS BIGINT) AS range_sum FROM clean GROUP BY Country")
@@ -371,6 +380,9 @@ sql("a9_distinct_values", ZONED, "SELECT DISTINCT prediction FROM zoned")
 sql("a10_join_models", LABELLED, """SELECT z.index, z.Country, z.SAM, z.prediction, r.gmm_cluster
   FROM labelled z JOIN labelled r ON z.index = r.index""")
 
+ORACLES["a10_join_bucketed"] = ORACLES["a10_join_models"]
+ORACLES["a_reports_from_batches"] = ORACLES["a_reports_from_cells"]
+
 # --- zones ----------------------------------------------------------------------
 
 # What SQL cannot know of a trained model is a property that must hold for any
@@ -380,7 +392,7 @@ sql("k1_zone_check", CLEAN, """SELECT count(*) AS towers, CAST(0 AS BIGINT) AS o
   CAST(0 AS BIGINT) AS not_nearest, CAST(5 AS BIGINT) AS zones, true AS better_than_fixed FROM clean""")
 sql("k2_kmeans_sweep", CLEAN, f"""SELECT unnest([2, 3, 4, 5]) AS k,
   (SELECT count(*) FROM clean WHERE {draw('sample')} < 0.1::DOUBLE) AS sample_rows,
-  true AS in_range, true AS first_best_is_marked, true AS cost_follows""")
+  true AS in_range, true AS first_best_is_marked, true AS cost_follows, true AS silhouette_follows""")
 sql("k3_silhouette", f"""{ZONED},
 points AS (
   SELECT index AS id, prediction AS c, lon_s, lat_s, range_s,
@@ -415,6 +427,10 @@ sql("k7_cluster_sizes", ZONED, "SELECT prediction, count(*) AS count FROM zoned
 sql("k8_cluster_stats", ZONED, """SELECT prediction, round(avg(CAST(LAT AS DOUBLE)), 4) AS avg_lat,
   round(avg(CAST(LON AS DOUBLE)), 4) AS avg_lon, round(avg(RANGE), 4) AS avg_range_radius,
   round(avg(SAM), 4) AS avg_sample_count, count(*) AS total_tower FROM zoned GROUP BY prediction""")
+sql("k_profiles_from_batches", ZONED, """SELECT prediction, round(avg(CAST(LAT AS DOUBLE)), 4) AS avg_lat,
+  round(avg(CAST(LON AS DOUBLE)), 4) AS avg_lon, round(avg(RANGE), 4) AS avg_range_radius,
+  round(avg(SAM), 4) AS avg_sample_count, count(*) AS total_tower, min(RANGE) AS RANGE_min, max(RANGE) AS RANGE_max,
+  min(SAM) AS SAM_min, max(SAM) AS SAM_max FROM zoned GROUP BY prediction""")
 sql("k9_cluster_hierarchy", ZONED,
     "SELECT prediction, Country, Network, count(*) AS count FROM zoned GROUP BY prediction, Country, Network")
 sql("k10_cluster_generations", ZONED,
@@ -423,7 +439,8 @@ sql("k11_cluster_coverage", ZONED,
     "SELECT prediction, jangkauan, count(*) AS count FROM zoned GROUP BY prediction, jangkauan")
 sql("k12_sample_rows", CLEAN, f"SELECT index, Country FROM clean WHERE {draw('sample')} < 0.1::DOUBLE")
 sql("k13_sample_n", ZONED, f"""SELECT {degrees('LAT')}, {degrees('LON')}, prediction, Country, Network FROM zoned
-  WHERE {draw('sample')} < 10000::DOUBLE / (SELECT count(*) FROM zoned)""")
+  ORDER BY {draw('sample')}, index LIMIT 10000""")
+sql("k13_exact_sample", CLEAN, f"SELECT index, Country FROM clean ORDER BY {draw('sample')}, index LIMIT 500")
 
 # --- reliability ----------------------------------------------------------------
 
@@ -476,7 +493,7 @@ sql("r9_prediction_report", CLASSIFIED, EXPORT)
 sql("r4_fit_forest", CLEAN, f"""SELECT CAST(50 AS INTEGER) AS trees, CAST(7 AS INTEGER) AS features,
   true AS depth_fits, true AS importances_fit, count(*) AS training_rows FROM clean WHERE {draw('split')} < 0.8::DOUBLE""")
 sql("r5_cross_validate", CLEAN, f"""SELECT CAST(floor({draw('fold')} * 5) AS INTEGER) AS fold, count(*) AS rows,
-  true AS above_majority FROM clean WHERE {draw('split')} < 0.8::DOUBLE GROUP BY 1""")
+  true AS fold_follows, true AS mean_follows, true AS above_majority FROM clean WHERE {draw('split')} < 0.8::DOUBLE GROUP BY 1""")
 sql("r6_score", ZONED, f"""SELECT index, CAST(prediction AS DOUBLE) AS target_label, true AS one_in_all,
   true AS largest_is_predicted FROM zoned WHERE {draw('split')} >= 0.8::DOUBLE""")
 sql("r10_model_reload", CLEAN, f"""SELECT count(*) AS towers, CAST(0 AS BIGINT) AS differing,

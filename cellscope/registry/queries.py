@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
+from ..functions import lookup
 from ..operators import (
     classify,
     encoding,
@@ -30,18 +31,21 @@ from ..operators import (
     sampling,
     zones,
 )
-from ..operators.measures import CELL_WEIGHT, count_by
+from ..operators.measures import CELL_WEIGHT, add_batch, count_by, merged_cells, stored_cells, tower_cells
 from ..operators.reliability import Component
-from ..plans.preprocess import preprocess
+from ..plans.jobs import write_runs
+from ..plans.preprocess import preprocess, preprocess_csv
 from ..sources import (
     new_workspace,
     preview,
     read_clean,
     read_report,
+    read_table,
     read_towers_csv,
     row_counts,
     stage_table,
     temporary_workspace,
+    write_bucketed,
     write_report,
     write_rows_csv,
     write_table,
@@ -183,6 +187,32 @@ def s1_csv_bad_rows(spark, sf):
     )
 
 
+def _in_quarantine(spark: SparkSession, sf: str) -> tuple[str, str, str]:
+    """(clean table, funnel, quarantine) of the dirty file, which is parsed once for all three."""
+    paths = tuple(new_workspace(spark, name) for name in ("clean", "funnel", "quarantine"))
+    preprocess_csv(spark, _dirty_csv(spark, sf), paths[0], paths[1], quarantine=paths[2])
+    return paths
+
+
+@query
+def s1_quarantine_funnel(spark, sf):
+    """The funnel with a step for malformed rows, and the rows that were written on either side."""
+    clean_path, funnel, aside = _in_quarantine(spark, sf)
+    steps = read_report(spark, funnel, T.StructType.fromDDL("step_no int, step string, rows long"))
+    written = [
+        spark.read.parquet(path).agg(F.lit(number).alias("step_no"), F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows"))
+        for number, name, path in ((8, "written", clean_path), (9, "quarantined", aside))]
+    return steps.unionByName(written[0]).unionByName(written[1])
+
+
+@query
+def s1_quarantined_rows(spark, sf):
+    """The malformed rows as they stand in the file: their first fields and their number of fields."""
+    fields = F.split("row", ",")
+    rows = spark.read.parquet(_in_quarantine(spark, sf)[2])
+    return rows.select(fields[0].cast("long").alias("index"), fields[1].alias("radio"), F.size(fields).alias("fields"))
+
+
 @query
 def s2_parquet_scan(spark, sf):
     path = new_workspace(spark, "clean")
@@ -460,9 +490,18 @@ def a10_join_models(spark, sf):
 
 
 @query
-def a_reports_from_cells(spark, sf):
-    """All six reports from one pre-aggregated table: (report, item, value)."""
-    cells = stage_table(reports.report_cells(rich(spark, sf)), "report-cells")
+def a10_join_bucketed(spark, sf):
+    """The same join from tables in buckets by tower: neither side is shuffled."""
+    towers = unit_space(staged(spark, sf))
+    kept = ["index", "Country", "SAM", "prediction"]
+    paths = [new_workspace(spark, name) for name in ("zones-by-tower", "clusters-by-tower")]
+    write_bucketed(zones.assign_nearest(towers, POSITION, CENTERS).select(*kept), paths[0], "index", PARTITIONS)
+    write_bucketed(in_clusters(towers).select("index", "gmm_cluster"), paths[1], "index", PARTITIONS)
+    return reports.join_models(*(read_table(spark, path) for path in paths)).select(*kept, "gmm_cluster")
+
+
+def _six_reports(cells: DataFrame) -> DataFrame:
+    """(report, item, value) of all six reports."""
     made = {
         "share": (reports.category_share(cells, "generasi", weight=CELL_WEIGHT), ["generasi"], "percentage"),
         "top": (reports.top_k_per_group(cells, "Country", "Network", 3, CELL_WEIGHT), ["Country", "Network"], "rank"),
@@ -481,6 +520,40 @@ def a_reports_from_cells(spark, sf):
     ]))
 
 
+@query
+def a_reports_from_cells(spark, sf):
+    """All six reports from one pre-aggregated table."""
+    return _six_reports(stage_table(reports.report_cells(rich(spark, sf)), "report-cells"))
+
+
+def _in_batches(spark: SparkSession, sf: str, cells: Callable[[DataFrame], DataFrame]) -> str:
+    """Cells of the towers in three deliveries, the second of which is processed twice."""
+    path, rows = new_workspace(spark, "cell-batches"), staged(spark, sf)
+    for batch in (0, 1, 1, 2):
+        add_batch(cells(rows.filter(F.col("index") % 3 == batch)), path, f"delivery-{batch}")
+    return path
+
+
+@query
+def a_reports_from_batches(spark, sf):
+    """All six reports from the stored cells of three deliveries."""
+    path = _in_batches(spark, sf, reports.report_cells)
+    return _six_reports(stage_table(stored_cells(spark, path, reports.REPORT_DIMENSIONS), "report-cells"))
+
+
+@query
+def k_profiles_from_batches(spark, sf):
+    """The profile of each zone and the bounds of its towers, from the stored cells of three deliveries."""
+    path = new_workspace(spark, "zone-batches")
+    rows = zones.assign_nearest(unit_space(staged(spark, sf)), POSITION, CENTERS)
+    for batch in (0, 1, 1, 2):
+        part = rows.filter(F.col("index") % 3 == batch)
+        add_batch(tower_cells(part, ["prediction", "Country"], zones.PROFILE_MEASURES, ["RANGE", "SAM"]), path, str(batch))
+    cells = stage_table(stored_cells(spark, path, ["prediction", "Country"]), "zone-cells")
+    bounds = merged_cells(cells, ["prediction"]).select("prediction", "RANGE_min", "RANGE_max", "SAM_min", "SAM_max")
+    return rounded(zones.cluster_stats(cells, CELL_WEIGHT).join(bounds, "prediction"), 4)
+
+
 # --- zones ----------------------------------------------------------------------
 
 
@@ -521,19 +594,29 @@ def _first_best(metrics: DataFrame, score: str) -> DataFrame:
     return best.withColumn("first_best_is_marked", F.col("__right")).drop("__right")
 
 
+def _near(value, expected):
+    """Equal but for the order of a sum."""
+    return F.abs(value - expected) <= 1e-9 * F.greatest(F.abs(expected), F.lit(1.0))
+
+
 @query
 def k2_kmeans_sweep(spark, sf):
-    """The sweep over all k: its marks, ranges, sample, and the cost of the best model."""
+    """The sweep over all k: its marks, ranges, sample, and each model's cost and silhouette by K4 and K3."""
     rows = encoded(spark, sf)
     sweep = zones.kmeans_sweep(rows, partitions=PARTITIONS)
-    sample = rows.filter(sampling.row_draw(rows, "sample") < F.lit(config.SILHOUETTE_SAMPLE)).count()
+    drawn = rows.filter(sampling.row_draw(rows, "sample") < F.lit(config.SILHOUETTE_SAMPLE))
+    sample = stage_table(drawn.select("prediction_features"), "sample")
     points = rows.select(*elements(rows, "prediction_features", "f", 3))
-    cost = zones.wssse(points, ["f0", "f1", "f2"], sweep.best_model.clusterCenters()).first()[0]
-    close = F.abs(F.col("wssse") - F.lit(cost)) <= F.lit(1e-5 * cost)
+    costs = points.agg(*(
+        F.sum(F.least(*zones.squared_distances(["f0", "f1", "f2"], model.clusterCenters()))).alias(str(k))
+        for k, model in sweep.models.items())).first().asDict()
+    costs = {int(k): cost for k, cost in costs.items()}
+    scores = {k: zones.silhouette_score(model.transform(sample)) for k, model in sweep.models.items()}
     return _first_best(sweep.metrics, "silhouette_score").select(
-        "k", F.lit(sample).cast("long").alias("sample_rows"),
+        "k", F.lit(sample.count()).cast("long").alias("sample_rows"),
         F.col("silhouette_score").between(-1, 1).alias("in_range"), "first_best_is_marked",
-        (close | ~F.col("is_best")).alias("cost_follows"),
+        _near(F.col("wssse"), lookup(F.col("k"), costs)).alias("cost_follows"),
+        _near(F.col("silhouette_score"), lookup(F.col("k"), scores)).alias("silhouette_follows"),
     )
 
 
@@ -605,6 +688,12 @@ def k13_sample_n(spark, sf):
     return rounded(chosen.select("LAT", "LON", "prediction", "Country", "Network"))
 
 
+@query
+def k13_exact_sample(spark, sf):
+    """A sample of a size that the small tables have too."""
+    return sampling.sample_n(clean(spark, sf), 500).select("index", "Country")
+
+
 # --- reliability ----------------------------------------------------------------
 
 
@@ -647,19 +736,21 @@ def g1_membership_check(spark, sf):
 
 @query
 def g2_gmm_sweep(spark, sf):
-    """The sweep over all k: its marks, its criteria, and the fitness of the best model."""
+    """The sweep over all k: its marks, its criteria, and each model's fitness by G3."""
     rows = encoded(spark, sf)
     sweep = reliability.gmm_sweep(rows, partitions=PARTITIONS)
     points = rows.select(*elements(rows, "reliability_metrics", "f", 2))
-    fitness = reliability.log_likelihood(points, ["f0", "f1"], reliability.model_components(sweep.best_model)).first()[0]
-    n = rows.count()
-    near = lambda a, b: F.abs(a - b) <= 1e-5 * F.greatest(F.abs(b), F.lit(1.0))
+    fitness = points.agg(F.count(F.lit(1)).alias("n"), *(
+        F.sum(reliability.mixture_log_density(["f0", "f1"], reliability.model_components(model))).alias(str(k))
+        for k, model in sweep.models.items())).first().asDict()
+    n = fitness.pop("n")
+    fitness = {int(k): value for k, value in fitness.items()}
     k, size, value = F.col("k"), F.log(F.lit(float(n))), F.col("log_likelihood")
     return _first_best(sweep.metrics, "log_likelihood").select(
         "k", F.lit(n).cast("long").alias("n"), "first_best_is_marked",
-        (near(value, F.lit(fitness)) | ~F.col("is_best")).alias("fitness_follows"),
-        (near(F.col("bic"), (3 * k - 1) * size - 2 * value)
-         & near(F.col("bic_full"), (6 * k - 1) * size - 2 * value)).alias("criteria_follow"),
+        _near(value, lookup(k, fitness)).alias("fitness_follows"),
+        (_near(F.col("bic"), (3 * k - 1) * size - 2 * value)
+         & _near(F.col("bic_full"), (6 * k - 1) * size - 2 * value)).alias("criteria_follow"),
     )
 
 
@@ -736,13 +827,26 @@ def r4_fit_forest(spark, sf):
 
 @query
 def r5_cross_validate(spark, sf):
-    """Rows per fold, and whether the mean F1 beats naming the largest class everywhere."""
+    """Rows per fold, whether a fold's measures are those of its rows by R7, and the grid's mean that of the folds.
+
+    The mean F1 has to beat naming the largest class everywhere.
+    """
     train, _ = sampling.split(forest_rows(spark, sf), config.TRAIN_TEST_WEIGHTS)
-    mean_f1 = classify.cross_validate(train, partitions=PARTITIONS).scores.first()["mean_f1"]
+    fitted = classify.cross_validate(train, partitions=PARTITIONS)
+    mean_f1 = fitted.scores.first()["mean_f1"]
+    by_fold = {row["fold"]: row for row in fitted.fold_scores.collect()}
+    measures = ("accuracy", "weighted_precision", "weighted_recall", "f1")
+    alike = {}
+    for fold, row in by_fold.items():
+        own = classify.classification_metrics(fitted.out_of_fold.filter(F.col("fold") == fold)).first()
+        alike[fold] = all(abs(row[name] - own[name]) < 1e-9 for name in measures)
+    mean_follows = abs(mean_f1 - sum(row["f1"] for row in by_fold.values()) / len(by_fold)) < 1e-9
     largest = train.groupBy("target_label").count().agg((F.max("count") / F.sum("count")).alias("share"))
     share = largest.first()["share"]
-    folds = sampling.with_fold(train, config.FOREST_FOLDS).groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
-    return folds.withColumn("above_majority", F.lit(mean_f1 > share * 2 * share / (1 + share)))
+    folds = fitted.out_of_fold.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    return folds.withColumns({
+        "fold_follows": lookup(F.col("fold"), alike), "mean_follows": F.lit(mean_follows),
+        "above_majority": F.lit(mean_f1 > share * 2 * share / (1 + share))})
 
 
 @query
@@ -809,10 +913,12 @@ def r10_model_reload(spark, sf):
 
 
 def _run_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The runs of the fixed mixtures and their final run, as the jobs write them."""
-    sweep = reliability.sweep_summary(_fixed_sweep(spark, sf))
-    table_of_runs = runs.sweep_runs(sweep, "GMM", ["log_likelihood"], "one")
-    return stage_table(table_of_runs.unionByName(runs.final_run(sweep, "GMM", ["log_likelihood"], "one")), "runs")
+    """The runs of the fixed mixtures and their final run, as the jobs write them: the job is run twice."""
+    path = new_workspace(spark, "runs")
+    sweep = stage_table(reliability.sweep_summary(_fixed_sweep(spark, sf)), "sweep")
+    for _ in range(2):
+        write_runs(sweep, "GMM", ["log_likelihood"], path, "one")
+    return runs.read_runs(spark, path)
 
 
 @query

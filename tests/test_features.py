@@ -173,6 +173,27 @@ def test_sample_larger_than_the_table(spark):
     df = spark.range(50).withColumnRenamed("id", "index")
     assert sampling.sample_n(df, 10_000).count() == 50
     assert sampling.sample_n(df.limit(0), 10).count() == 0
+    assert sampling.sample_n(df, 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 100, 2999])
+@pytest.mark.parametrize("bins", [1, 64])
+def test_sample_has_the_least_draws(spark, n, bins):
+    df = spark.range(3000).withColumnRenamed("id", "index").repartition(5)
+    draws = df.withColumn("draw", sampling.row_draw(df, "sample")).orderBy("draw").limit(n)
+    got = sampling.sample_n(df, n, bins=bins)
+    assert sorted(row["index"] for row in got.collect()) == sorted(row["index"] for row in draws.collect())
+
+
+def test_sample_of_equal_keys_has_n_rows(spark):
+    df = spark.range(90).select((F.col("id") % 3).alias("index"))
+    for n in (1, 29, 30, 31, 60, 89):
+        assert sampling.sample_n(df, n, bins=16).count() == n
+
+
+def test_sample_does_not_sort_the_rows(spark, plan):
+    df = spark.range(3000).withColumnRenamed("id", "index")
+    assert "Sort" not in plan(sampling.sample_n(df, 100)) and "Exchange" not in plan(sampling.sample_n(df, 100))
 
 
 def test_small_fractions_of_huge_tables_are_exact_enough(spark):

@@ -6,7 +6,8 @@ import pytest
 
 from cellscope.plans import jobs, preprocess
 from cellscope.registry.fixture import towers_raw
-from cellscope.sources import CLEAN_COLUMNS, read_clean, read_report, write_rows_csv
+from cellscope.operators import reports, runs
+from cellscope.sources import CLEAN_COLUMNS, read_clean, read_report, read_table, write_rows_csv, write_table
 from cellscope.sources.workspace import shared_folder
 from tests.conftest import TABLES
 
@@ -21,11 +22,16 @@ def done(spark, tmp_path_factory):
     write_rows_csv(towers_raw(spark, f"{TABLES}/sf0.001"), at["csv"])
     preprocess.preprocess_csv(spark, at["csv"], at["clean"], at["funnel"], ("Country",))
     jobs.run_reports(spark, at["clean"], at["reports"])
-    jobs.run_zones(spark, at["clean"], at["zones"], at["zone_reports"], at["kmeans"], at["runs"], (2, 3))
-    jobs.run_reliability(spark, at["clean"], at["reliability"], at["reliability_reports"], at["gmm"], at["runs"], (2, 3))
+    for _ in range(2):  # the second run stands for a job that is tried again
+        jobs.run_zones(
+            spark, at["clean"], at["zones"], at["zone_reports"], at["kmeans"], at["runs"], (2, 3), buckets=4, run_id="7",
+            partitions=4)
+    jobs.run_reliability(
+        spark, at["clean"], at["reliability"], at["reliability_reports"], at["gmm"], at["runs"], (2, 3), buckets=4, run_id="7",
+        partitions=4)
     jobs.run_classifier(
         spark, at["zones"], at["reliability"], at["classifier"], at["forest"], at["runs"],
-        trees=[4], depths=[4], folds=2,
+        trees=[4], depths=[4], folds=2, partitions=4,
     )
     jobs.run_views(
         spark, at["reports"], at["zone_reports"], at["reliability_reports"], at["classifier"], at["views"],
@@ -93,7 +99,7 @@ def test_reports(spark, done, name, columns):
 
 
 def test_zone_outputs(spark, done):
-    assert read_clean(spark, done["zones"]).columns[-1] == "prediction"
+    assert read_table(spark, done["zones"]).columns[-1] == "prediction"
     stats = read_report(spark, f"{done['zone_reports']}/stats_utama")
     assert stats.columns == ["prediction", "avg_lat", "avg_lon", "avg_range_radius", "avg_sample_count", "total_tower"]
     assert stats.groupBy().sum("total_tower").first()[0] == 717
@@ -101,7 +107,7 @@ def test_zone_outputs(spark, done):
 
 
 def test_reliability_outputs(spark, done):
-    assert read_clean(spark, done["reliability"]).columns[-2:] == ["probability", "gmm_cluster"]
+    assert read_table(spark, done["reliability"]).columns[-1] == "gmm_cluster"
     profile = read_report(spark, f"{done['reliability_reports']}/stats_utama_gmm")
     assert profile.columns == ["gmm_cluster", "avg_sam", "avg_days_old", "tower_count"]
 
@@ -122,6 +128,39 @@ def test_run_table(spark, done):
     assert names == {
         "KMeans_K_2", "KMeans_K_3", "Final_Best_KMeans", "GMM_K_2", "GMM_K_3", "Final_Best_GMM",
         "RF_TREES_4_DEPTH_4", "Final_Best_RF"}
+    table = runs.read_runs(spark, done["runs"])
+    assert table.columns == ["run_id", "experiment", "run_name", "kind", "key", "value"]
+    assert table.filter("experiment = 'KMeans' AND run_id = '7'").count() == table.filter("experiment = 'KMeans'").count() == 9
+    assert table.filter("experiment = 'GMM' AND run_id = '7'").count() == 12
+
+
+def test_models_are_joined_without_a_shuffle(spark, done, plan):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = reports.join_models(read_table(spark, done["zones"]), read_table(spark, done["reliability"]))
+        assert both.count() == 717 and "Exchange" not in plan(both)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_fold_scores(spark, done):
+    scores = read_report(spark, f"{done['classifier']}/fold_scores")
+    assert scores.columns == ["fold", "accuracy", "weighted_precision", "weighted_recall", "f1"] and scores.count() == 2
+
+
+def test_reports_of_deliveries(spark, done, tmp_path):
+    clean, cells = read_clean(spark, done["clean"]), str(tmp_path / "cells")
+    for name, part in (("a", clean.filter("index % 2 = 0")), ("b", clean.filter("index % 2 = 1"))):
+        write_table(part, str(tmp_path / name))
+        jobs.run_reports(spark, str(tmp_path / name), str(tmp_path / "out"), cells, name)
+    jobs.run_reports(spark, str(tmp_path / "b"), str(tmp_path / "out"), cells, "b")  # once more
+    for name in ("overall_radio_percentage", "top10_operator_asean", "sunburst_asean_operator"):
+        whole = read_report(spark, f"{done['reports']}/{name}")
+        assert read_report(spark, f"{tmp_path}/out/{name}").exceptAll(whole).count() == 0
+        assert whole.exceptAll(read_report(spark, f"{tmp_path}/out/{name}")).count() == 0
+    with pytest.raises(ValueError, match="needs a name"):
+        jobs.run_reports(spark, done["clean"], str(tmp_path / "out"), cells)
 
 
 def test_views(spark, done):

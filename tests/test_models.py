@@ -38,7 +38,7 @@ def test_zone_labels(points):
 
 
 def test_sweep_keeps_the_best_silhouette(points):
-    sweep = zones.kmeans_sweep(points, [2, 3, 4], "v", fraction=1.0)
+    sweep = zones.kmeans_sweep(points, [2, 3, 4], "v", fraction=1.0, partitions=4)
     assert sweep.best_k == 3 and len(sweep.best_model.clusterCenters()) == 3
     rows = sweep.metrics.orderBy("k").collect()
     assert [row.k for row in rows if row.is_best] == [3]
@@ -54,7 +54,7 @@ def test_fits_repeat_on_other_partitionings(points):
 
 
 def test_training_cost_is_the_distance_to_the_centres(points):
-    model = zones.fit_zones(points, 3, "v")
+    model = zones.fit_zones(points, 3, "v", partitions=4)
     cost = zones.wssse(points, ["x", "y"], model.clusterCenters()).first().wssse
     assert cost == pytest.approx(model.summary.trainingCost, rel=1e-5)
     ours = zones.assign_nearest(points, ["x", "y"], model.clusterCenters(), "ours")
@@ -99,6 +99,35 @@ def test_silhouette_against_all_pairs(points):
     assert zones.silhouette(df, "v").first().silhouette == pytest.approx(brute_silhouette(rows), abs=1e-9)
 
 
+def test_sweep_measures_are_those_of_the_returned_models(points):
+    sweep = zones.kmeans_sweep(points, [2, 3, 5], "v", fraction=0.5, partitions=4)
+    sample = points.filter(sampling.row_draw(points, "sample") < 0.5)
+    for row in sweep.metrics.collect():
+        model = sweep.models[row.k]
+        cost = zones.wssse(points, ["x", "y"], model.clusterCenters()).first().wssse
+        assert row.wssse == pytest.approx(cost, rel=1e-9)
+        assert row.silhouette_score == pytest.approx(zones.silhouette_score(model.transform(sample), "v"), rel=1e-9)
+
+
+def test_tallies_of_all_k_are_one_scan(points, plan):
+    centers = {2: [(0.0, 0.0), (0.5, 0.5)], 3: [(0.0, 0.0), (0.4, 0.9), (0.8, 0.1)]}
+    assert plan(zones.centre_tallies(points, "v", centers)).count("InMemoryTableScan\n") <= 1
+    rows = zones.centre_tallies(points, "v", centers, F.col("index") < 0).collect()
+    assert sum(row.towers for row in rows if row.k == 3) == 300 and {row.n for row in rows} == {0}
+    with pytest.raises(ValueError, match="fewer than two clusters"):
+        zones.centre_silhouettes(points, "v", centers, rows)
+
+
+def test_silhouettes_of_several_centres_against_all_pairs(points):
+    centers = {2: [(0.0, 0.1), (0.6, 0.5)], 4: [(0.0, 0.1), (0.4, 0.9), (0.8, 0.1), (9.0, 9.0)], 3: [(0.0, 0.1), (0.42, 0.92), (0.8, 0.12)]}
+    some = points.filter("index % 7 < 2 OR index = 5")
+    tallies = zones.centre_tallies(some, "v", centers).collect()
+    got = zones.centre_silhouettes(some, "v", centers, tallies).first()
+    for k, at in centers.items():
+        rows = [((row.x, row.y), row.prediction) for row in zones.assign_nearest(some, ["x", "y"], at).collect()]
+        assert got[f"k{k}"] == pytest.approx(brute_silhouette(rows), abs=1e-9), k
+
+
 # --- mixture --------------------------------------------------------------------
 
 
@@ -111,7 +140,7 @@ def test_memberships(points):
 
 
 def test_expressions_equal_the_trained_model(points):
-    model = reliability.fit_reliability(points, 3, "v")
+    model = reliability.fit_reliability(points, 3, "v", partitions=4)
     parts = reliability.model_components(model)
     ours = reliability.gmm_responsibilities(points, ["x", "y"], parts, prediction="ours")
     both = elements(model.transform(ours), "probability", "m0", "m1", "m2")
@@ -139,7 +168,7 @@ def test_far_away_rows_keep_a_label(spark):
 
 @pytest.mark.parametrize("rule", reliability.SELECT_BY)
 def test_mixture_sweep(points, rule):
-    sweep = reliability.gmm_sweep(points, [2, 3], rule, "v")
+    sweep = reliability.gmm_sweep(points, [2, 3], rule, "v", partitions=4)
     rows = sweep.metrics.orderBy("k").collect()
     pick = max if rule == "log_likelihood" else min
     assert sweep.best_k == pick(rows, key=lambda row: row[rule]).k
@@ -150,9 +179,34 @@ def test_mixture_sweep(points, rule):
     assert [row.bic for row in again] == pytest.approx([row.bic for row in rows])
 
 
+def test_fitness_is_that_of_the_returned_models(points):
+    sweep = reliability.gmm_sweep(points, [2, 4], "log_likelihood", "v", partitions=4)
+    for row in sweep.metrics.collect():
+        parts = reliability.model_components(sweep.models[row.k])
+        again = reliability.log_likelihood(points, ["x", "y"], parts).first().log_likelihood
+        assert row.log_likelihood == pytest.approx(again, rel=1e-9)
+
+
+def test_fitness_of_all_mixtures_is_one_scan(points, plan):
+    part = reliability.Component(1.0, (0.3, 0.4), ((0.1, 0.0), (0.0, 0.2)))
+    fitness = reliability.mixture_fitness(points, "v", {1: [part], 2: [part, part]})
+    assert plan(fitness).count("InMemoryTableScan\n") <= 1 and plan(fitness).count("Exchange\n") <= 1
+    rows = {row.k: row for row in fitness.collect()}
+    assert rows[2].log_likelihood == pytest.approx(rows[1].log_likelihood + 300 * math.log(2)) and rows[1].n == 300
+
+
+def test_constant_column_has_a_density_along_the_other(spark):
+    part = reliability.Component(1.0, (0.0, 5.0), ((2.0, 0.0), (0.0, 0.0)))
+    df = spark.createDataFrame([(1.0, 5.0)], "a double, b double")
+    got = reliability.log_likelihood(df, ["a", "b"], [part]).first().log_likelihood
+    assert got == pytest.approx(-math.log(2 * math.pi) - 0.5 * math.log(2) - 0.25)
+    with pytest.raises(ValueError, match="without any variance"):
+        reliability.precision_of([[0.0, 0.0], [0.0, 0.0]])
+
+
 def test_unknown_rule(points):
     with pytest.raises(ValueError):
-        reliability.gmm_sweep(points, [2], "aic", "v")
+        reliability.gmm_sweep(points, [2], "aic", "v", partitions=4)
 
 
 def test_summary_marks_the_smallest_of_equals(spark):
@@ -182,6 +236,13 @@ def test_metrics_equal_the_library_evaluator(opinions):
         assert ours[mine] == pytest.approx(tool.evaluate(opinions)), mine
 
 
+def test_metrics_per_group(opinions):
+    both = opinions.withColumn("fold", F.lit(0)).unionByName(opinions.filter("target_label < 2").withColumn("fold", F.lit(1)))
+    rows = {row.fold: tuple(row)[1:] for row in classify.classification_metrics(both, by=["fold"]).collect()}
+    assert rows[0] == pytest.approx(tuple(classify.classification_metrics(opinions).first()))
+    assert rows[1] == pytest.approx(tuple(classify.classification_metrics(opinions.filter("target_label < 2")).first()))
+
+
 def test_absent_classes_score_zero(opinions):
     rows = {row.label: row for row in classify.classification_report(opinions).collect()}
     assert set(rows) == {"0.0", "1.0", "2.0", "3.0", "4.0", "accuracy", "macro avg", "weighted avg"}
@@ -228,10 +289,17 @@ def test_features_skip_nulls_and_know_categories(labelled):
 
 def test_forest_round_trip(labelled, tmp_path):
     train, test = sampling.split(classify.rf_features(labelled), [0.8, 0.2])
-    fitted = classify.cross_validate(train, [5], [2, 4], folds=3)
+    fitted = classify.cross_validate(train, [5], [2, 4], folds=3, partitions=4)
     scores = fitted.scores.collect()
     assert [(row.trees, row.depth) for row in scores] == [(5, 2), (5, 4)]
     assert all(row.mean_f1 > 0.95 for row in scores)
+    assert fitted.out_of_fold.count() == train.count() == fitted.out_of_fold.select("index").distinct().count()
+    by_fold = fitted.fold_scores.collect()
+    assert [row.fold for row in by_fold] == [0, 1, 2]
+    assert max(row.mean_f1 for row in scores) == pytest.approx(sum(row.f1 for row in by_fold) / 3)
+    for row in by_fold:
+        own = classify.classification_metrics(fitted.out_of_fold.filter(F.col("fold") == row.fold)).first()
+        assert tuple(row)[1:] == pytest.approx(tuple(own))
     out = classify.score(fitted.model, test)
     assert {"rawPrediction", "probability", "prediction_rf"} <= set(out.columns)
     assert out.filter("prediction_rf <> target_label").count() == 0
@@ -245,7 +313,7 @@ def test_forest_round_trip(labelled, tmp_path):
 
 
 def test_best_run(spark, points):
-    sweep = zones.kmeans_sweep(points, [2, 3], "v", fraction=1.0)
+    sweep = zones.kmeans_sweep(points, [2, 3], "v", fraction=1.0, partitions=4)
     table = runs.sweep_runs(sweep.metrics, "KMeans", ["silhouette_score", "wssse"])
     table = table.unionByName(runs.run_metrics(spark, "RF", "RF_CV", {"trees": 5}, {"f1": 0.5}))
     assert table.count() == 2 * 3 + 2
