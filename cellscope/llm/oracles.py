@@ -151,4 +151,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM s LEFT JOIN x USING (doc_id)
 """
 
-ORACLES = {"op1_curriculum_mix": MIX, "op3_line_chunks": LINES, "op6_quality_rules": RULES, "op7_winnowing": WINNOWING}
+# The root's parent is null, and clients read whole numbers with nulls as doubles.
+# CRC-32 is a table of 256 numbers, made here from its polynomial, and a fold over the bytes.
+TRIE = r"""
+WITH z AS (
+    SELECT list(v ORDER BY n) AS steps FROM (
+        SELECT n, list_reduce(list_prepend(n, range(8)), lambda x, i:
+            CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) r(n))),
+o AS (
+    SELECT conv_id AS c, t, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS pos
+    FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+                 len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words
+          FROM conversations WHERE conv_id IS NOT NULL)),
+n AS (SELECT c, count(*) AS turns FROM o GROUP BY c),
+h AS (
+    SELECT n.c, n.c - n.c % 20 AS base, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(n.c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: xor(a >> 8, z.steps[(xor(a, b) & 255) + 1]))) % 4 AS h
+    FROM n, z),
+b AS (SELECT h.*, least(h.h, coalesce(n.turns, 0)) AS m FROM h LEFT JOIN n ON n.c = h.base),
+r AS (
+    SELECT b.c, o.pos AS i, o.t, o.words FROM b JOIN o ON o.c = b.base AND o.pos <= b.h
+    UNION ALL SELECT b.c, o.pos - b.h + b.m, o.t, o.words FROM b JOIN o ON o.c = b.c AND o.pos > b.h
+    UNION ALL SELECT c, 0, '', 0 FROM b),
+p AS (
+    SELECT c, i, words, string_agg(t, '') OVER (PARTITION BY c ORDER BY i) AS key, i = max(i) OVER (PARTITION BY c) AS ends
+    FROM r),
+v AS (
+    SELECT key, i AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+           string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends) AS ends
+    FROM p GROUP BY key, i),
+k AS (SELECT left(key, 64 * (depth - 1)::INT) AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY 1),
+s AS (
+    SELECT p.key, sum((v.n_convs - 1) * v.words) AS saved, count(*) FILTER (NOT EXISTS (SELECT 1 FROM k WHERE k.key = v.key)) AS leaves
+    FROM v JOIN p ON p.c = v.conv_id AND p.i <= v.depth GROUP BY p.key)
+SELECT v.conv_id, v.depth::BIGINT AS depth, u.conv_id::DOUBLE AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+       leaves AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN s USING (key) LEFT JOIN k USING (key)
+LEFT JOIN v u ON v.depth > 0 AND u.depth = v.depth - 1 AND u.key = left(v.key, 64 * (v.depth - 1)::INT)
+"""
+
+ORACLES = {"op1_curriculum_mix": MIX, "op3_line_chunks": LINES, "op6_quality_rules": RULES, "op7_winnowing": WINNOWING,
+           "op11_prefix_trie": TRIE}

@@ -31,6 +31,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote, urlsplit
 
 import pandas as pd
@@ -49,7 +50,8 @@ FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 
 GZIP = 31  # window bits of zlib for gzip members
 STEP = 1 << 20  # bytes of one read from an index or a directory
-RANGE_BYTES = 4 << 20  # of neighbouring records that are read at once
+RANGE_BYTES = 1 << 20  # of neighbouring records that are read at once
+TASK_BYTES = 16 << 20  # of packages that are read by a task
 
 PACKAGES = "path string, bytes long, records long"
 RANGES = "path string, start long, size long, offsets array<long>, lengths array<long>"
@@ -203,13 +205,9 @@ def write_packages(
         rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
         serial = 0
         for first in rows:
-            def chained(first=first):
-                yield first
-                yield from rows
-
             name = f"{place.rstrip('/')}/part-{task.partitionId():05d}-{task.taskAttemptId()}-{serial}.wacz"
             with system.open_output_stream(name, buffer_size=STEP) as stream:
-                size, n = write_package(stream, chained(), date, max_bytes, max_records)
+                size, n = write_package(stream, chain([first], rows), date, max_bytes, max_records)
             yield pd.DataFrame({"path": [f"{folder.rstrip('/')}/{name.rsplit('/', 1)[1]}"], "bytes": [size], "records": [n]})
             serial += 1
 
@@ -351,8 +349,10 @@ def record_ranges(packages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     return packages.select("path").mapInPandas(run, RANGES)
 
 
-def read_packages(packages: DataFrame, payload: bool = True) -> DataFrame:
-    """All records of ``packages`` (path): RECORDS.
+def read_packages(packages: DataFrame, payload: bool = True, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """All records of ``packages`` (path, bytes): RECORDS.
+
+    A task reads about ``task_bytes`` of packages: rows that only name ranges tell nothing of it.
 
     A revisit has no payload, but the length and digest of the one it refers to.  Without
     ``payload`` that column is null; lengths and digests are compared with the content all the same.
@@ -375,4 +375,5 @@ def read_packages(packages: DataFrame, payload: bool = True) -> DataFrame:
                         rows[-1]["payload"] = None
                 yield pd.DataFrame(rows)
 
-    return record_ranges(packages).repartition("path", "start").mapInPandas(run, RECORDS)
+    total = packages.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return record_ranges(packages).repartition(total // task_bytes + 1, "path", "start").mapInPandas(run, RECORDS)

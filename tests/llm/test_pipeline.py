@@ -9,8 +9,8 @@ from tests.llm.test_python import plain_components, plain_fingerprint, plain_ove
 
 def test_every_operator_is_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
-    assert {"op1_curriculum_mix", "op3_line_chunks", "op7_winnowing"} <= set(oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
+    assert {"op1_curriculum_mix", "op3_line_chunks", "op7_winnowing", "op11_prefix_trie"} <= set(oracle_sql())
 
 
 def test_stages_against_plain_python(spark, tmp_path, documents, labels):
