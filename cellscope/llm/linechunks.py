@@ -59,33 +59,49 @@ def chunked(docs: DataFrame, window: int = 3, spread: int = 4) -> DataFrame:
 def remove_repeated_chunks(docs: DataFrame, window: int = 3, spread: int = 4) -> DataFrame:
     """Replace ``text`` by what stays; add ``n_lines``, ``n_removed`` lines and chunks.
 
-    Candidate chunks, found by a count of their hashes, are the only texts that are moved for
-    the comparison.  A chunk found in a third of the documents is reduced in every task before
-    it is shuffled, and the join that marks its repeats can be split by adaptive execution.
+    First every chunk is a 128-bit hash and its place.  The first place of each hash that repeats
+    is a minimum, formed in every task before it is shuffled.  Only chunks with such a hash are
+    moved with their bytes, to be compared with those of the first place, in a join above which
+    nothing needs the hash again: adaptive execution splits it where a third of the documents
+    have one chunk.  Texts are cut anew after each join instead of being moved with their chunks.
     """
-    keyed = chunked(
-        whole_rows(docs, "text", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th")), window, spread)
+    rows = whole_rows(docs, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
+    chunk, place = F.col("_c"), F.col("_c.place").alias("place")
+    hashed = [F.xxhash64("_c.body").alias("h"), F.xxhash64(F.lit(1), "_c.body").alias("g")]
     parts = stage_table(
-        keyed.select("_id", "_th", F.explode_outer("_chunks").alias("_c"))  # plain explode would add filters that repeat its input
-        .filter((F.col("_c.lines") > 1) & F.col("_c.body").rlike(HAS_WORD))
-        .select("_id", "_th", F.col("_c.place").alias("place"), F.xxhash64("_c.body").alias("h"),
-                F.col("_c.body").alias("body")),
+        chunked(texts, window, spread)
+        .select("_id", "_th", F.explode_outer("_chunks").alias("_c"))  # plain explode would add filters that repeat its input
+        .filter((chunk["lines"] > 1) & chunk["body"].rlike(HAS_WORD))
+        .select("_id", "_th", place, *hashed),
         "line-chunks")
-    often = stage_table(
-        parts.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "line-repeats")
-    same = parts.join(often, "h")
     order = F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"),
                      F.col("_th").alias("c"), F.col("place").alias("d"))
-    first = same.groupBy("h", "body").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+    often = stage_table(
+        parts.groupBy("h", "g").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+        .filter("first != last").select("h", "g", "first"),
+        "line-repeats")
+    # the chunks of a document that may be repeats: no more than it has
+    asked = parts.join(often, ["h", "g"]).groupBy("_id", "_th").agg(
+        F.collect_set(F.struct("place", "h", "g", (order == F.col("first")).alias("is_first"))).alias("_asked"))
+    wanted = [F.col(f"_t_{name}").eqNullSafe(F.col(name)) for name in ("_id", "_th")]
+    bodies = stage_table(
+        chunked(texts.select(F.col("_id").alias("_t__id"), F.col("_th").alias("_t__th"), "text")
+                .join(asked, wanted[0] & wanted[1]).drop("_t__id", "_t__th"), window, spread)
+        .select("_id", "_th", F.explode(F.transform("_asked", lambda a: F.struct(
+            a.alias("a"), F.get("_chunks", a["place"])["body"].alias("body")))).alias("_b"))
+        .select("_id", "_th", "_b.a.*", "_b.body"),
+        "line-bodies")
+    firsts = stage_table(
+        bodies.filter("is_first").select("h", "g", F.col("body").alias("first_body")).dropDuplicates(["h", "g"]), "line-firsts")
     gone = (
-        same.join(first.filter("first != last"), ["h", "body"])
-        .filter(order != F.col("first"))
+        bodies.filter("NOT is_first").join(firsts, ["h", "g"]).filter("body = first_body")
         .groupBy("_id", "_th").agg(F.collect_set("place").alias("_gone"))
     )
     stays = F.filter("_chunks", lambda c: ~F.array_contains("_none", c["place"]))
     total = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda s, c: s + c["lines"])
     cleaned = (
-        left_on(keyed, gone, ["_id", "_th"])
+        chunked(left_on(rows, gone, ["_id", "_th"]).withColumn("text", F.col("_row.text")), window, spread)
         .withColumn("_none", F.coalesce("_gone", F.array().cast("array<int>")))
         .withColumn("_stays", stays)
         .withColumn("n_lines", F.coalesce(total("_chunks"), F.lit(0)))
