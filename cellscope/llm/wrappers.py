@@ -19,6 +19,9 @@ different ones are aligned in bounded groups, again and again, until a host has
 Defined cases: a null or empty page has an empty text; a page without a host forms a host of
 its own with others like it; pages that cannot be parsed whole are read as far as they go;
 repeated rows are extracted one by one.
+
+Pages with elements that are never closed, or nested without end, are read whole: below DEEPEST
+open elements the text belongs to the deepest one.
 """
 
 from __future__ import annotations
@@ -63,6 +66,8 @@ CLOSED_BY = {
 CHANGING = re.compile(r"^(?:tag|category|cat|author|term|topic)-.*|[_-]*\d.*$", re.S)
 SLOT = "#"
 LONGEST = 32  # tokens of a group that folding looks for
+DEEPEST = 150  # open block elements; a page that is never closed goes no deeper
+ALIGN_CELLS = 1_000_000  # pairs of siblings from which they are matched in order
 
 
 def _marks(values: str) -> str:
@@ -96,8 +101,10 @@ def located(html: str | None) -> Iterator[tuple[str, tuple[str, ...], str]]:
     """(kind, path of open block elements, value): "text" with the raw text, "edge" where a block begins or ends.
 
     Elements that are never closed end where the next one of their kind, or their parent, does.
+    Below DEEPEST open elements no more are opened: what they hold belongs to the deepest one.
     """
     path: list[str] = []
+    beyond: dict[str, int] = {}  # elements that were not opened, by tag
     links = 0
     for kind, value in page_tokens(html):
         tag = value.split(" ", 1)[0]
@@ -112,14 +119,23 @@ def located(html: str | None) -> Iterator[tuple[str, tuple[str, ...], str]]:
             while path and tag in CLOSED_BY.get(path[-1].split(" ", 1)[0], ()):
                 path.pop()
             links = 0
+            if tag not in VOID and len(path) >= DEEPEST:
+                beyond[tag] = beyond.get(tag, 0) + 1
+                yield "text", tuple(path), " "
+                continue
             yield "edge", tuple(path), value
             if tag not in VOID:
                 path.append(value)
+        elif beyond.get(tag):
+            beyond[tag] -= 1
+            links = 0
+            yield "text", tuple(path), " "
         else:
             depth = next((i for i in range(len(path) - 1, -1, -1) if path[i].split(" ", 1)[0] == tag), None)
             links = 0
             if depth is not None:
                 del path[depth:]
+                beyond.clear()
             yield "edge", tuple(path), "/" + tag
 
 
@@ -188,9 +204,33 @@ def _merged(x, y):
     return ["?", [["+", body]]] if len(kinds) == 2 else [kinds.pop(), body]
 
 
+def _aligned_in_order(a: list, b: list, x: list, y: list) -> list:
+    """Very many siblings: each is matched with the next of its name on the other side, in linear time.
+
+    The common sequence need not be the longest; what is not in it is optional on either side.
+    """
+    where: dict[tuple, list[int]] = {}
+    for j in range(len(y) - 1, -1, -1):
+        where.setdefault(y[j], []).append(j)
+    optional = lambda item: item if item != SLOT and item[0] == "?" else ["?", [item]]
+    out, done = [], 0
+    for i, name in enumerate(x):
+        places = where.get(name, [])
+        while places and places[-1] < done:
+            places.pop()
+        if places and places[-1] - done <= len(x) - i + 64:  # a match far ahead would leave too much behind
+            out += [optional(item) for item in b[done : places[-1]]] + [_merged(a[i], b[places[-1]])]
+            done = places.pop() + 1
+        else:
+            out.append(optional(a[i]))
+    return out + [optional(item) for item in b[done:]]
+
+
 def align(a: list, b: list) -> list:
     """The expression that describes what either describes: the longest common sequence, the rest optional."""
     x, y = [_name(item) for item in a], [_name(item) for item in b]
+    if len(x) * len(y) > ALIGN_CELLS:
+        return fold(_aligned_in_order(a, b, x, y))
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):

@@ -370,3 +370,26 @@ def test_many_templates_of_one_host_are_merged_in_bounded_groups(spark):
     frame = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'one.org' AS host")
     content = wrappers.infer_wrappers(frame.select("host", "html"), group=8).collect()
     assert len(content) == 1 and content[0].content == ["body > article > p"]
+
+
+def test_pages_without_end(spark):
+    text = " ".join("word%d" % i for i in range(40))
+    deep = {
+        1: "<body>" + "<div>" * 1500 + f"<p>{text}</p>",
+        2: "<article>" + "<div>" * 100_000 + text,
+        3: "<body>" + "".join(f"<div>x{i}" for i in range(3000)),
+        4: "<body><article>" + "".join(f"<section id='s'><p>{i}</p></section>" for i in range(300)) + "</article>",
+        5: "<body><article>" + "<div>" * 400 + f"<p>{text}</p>" + "</div>" * 400 + "<p>after</p></article>"}
+    pages = spark.createDataFrame([(i, "http://deep.example/%d" % i, html) for i, html in deep.items()], "page_id long, url string, html string")
+    found = {row.page_id: row.text for row in wrappers.extract_text(pages).collect()}
+    assert all(text in found[i] for i in (1, 2, 5)) and "x2999" in found[3] and "299" in found[4]
+    assert "after" in found[5]
+
+
+def test_many_different_siblings_are_aligned():
+    one = [["e", f"p a{i}", []] for i in range(20_000)]
+    other = [["e", f"p a{i}", []] for i in range(1, 20_001)]
+    merged = wrappers.align(one, other)
+    kinds = [item[0] for item in merged]
+    assert kinds.count("e") >= 19_000 and len(merged) <= 21_100
+    assert wrappers.align(one[:50], other[:50])[0] == ["?", [one[0]]]
