@@ -219,6 +219,9 @@ def links(
     return edges.distinct()
 
 
+SALTS = 32
+
+
 def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """Per document: doc_id, _th, fp, fingerprint (16 hex digits), component_id, group ``_root``."""
     marked = stage_table(fingerprints(docs), "fingerprints")
@@ -226,10 +229,16 @@ def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     roots = stage_table(components(links(prints.select("fp"), **settings)), "components")
     grouped = (
         prints.join(roots, prints["fp"] == roots["node"], "left")
-        .select("fp", "least", F.coalesce("root", "fp").alias("_root"))
+        .select("fp", "least", F.coalesce("root", "fp").alias("_root"), F.col("root").isNotNull().alias("_linked"),
+                F.pmod(F.xxhash64("fp"), F.lit(SALTS)).alias("_salt"))
+    )
+    # one id for each component of several fingerprints, met by its members in SALTS places
+    smallest = (
+        grouped.filter("_linked").groupBy("_root").agg(F.min("least").alias("_smallest"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     )
-    smallest = grouped.groupBy("_root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(smallest, "_root").select("fp", "_root", "component_id")
+    named = grouped.join(smallest, ["_root", "_salt"], "left").select(
+        "fp", "_root", F.coalesce("_smallest", "least").alias("component_id"))
     return (
         marked.join(named, "fp")
         .withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
