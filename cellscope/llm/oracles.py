@@ -125,30 +125,51 @@ k AS (
            CASE WHEN whole > 0 THEN least(floor(part * 40 / whole::DOUBLE), 40)::INT ELSE 0 END AS bin
     FROM b),
 l AS (
-    SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
-    GROUP BY doc_id HAVING min(quality) = max(quality)),
+    SELECT doc_id, min(quality) AS good, min(quality) = 1 AND substr(md5(doc_id::VARCHAR), 1, 1) >= '4' AS tests
+    FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
 h AS (
-    SELECT g, rule, bin, sum((good = 1)::INT) AS good, sum((good <> 1)::INT) AS bad
-    FROM k JOIN l USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
-n AS (SELECT g, sum(good)::BIGINT AS n, count(*) OVER () AS strata FROM h WHERE rule = 0 GROUP BY g),
-i AS (SELECT *, unnest(range(0, floor(n * (0.05 / 6))::BIGINT + 1)) AS i FROM n),
-a AS (
-    SELECT g, strata, i, sum(exp(lgamma(n + 1) - lgamma(greatest(i, 1) + (i > 0)::INT) - lgamma(n - i + 1) + i * ln(0.05 / 6) + (n - i) * ln(1 - 0.05 / 6)))
-           OVER (PARTITION BY g ORDER BY i ROWS UNBOUNDED PRECEDING) AS tail
-    FROM i WHERE n > 0 UNION ALL SELECT g, strata, 0, 1 FROM n WHERE n = 0),
-z AS (SELECT g, max(CASE WHEN tail <= 0.05 / (6 * strata) THEN i ELSE -1 END) AS allowed FROM a GROUP BY g),
+    SELECT rule, bin, count(*) AS docs, count(*) FILTER (good <> 1) AS bad
+    FROM k LEFT JOIN l USING (doc_id) WHERE NOT base_failed AND NOT coalesce(tests, false) GROUP BY ALL),
 t AS (
-    SELECT g, rule, bin, sum(good) OVER tail AS lost, sum(bad) OVER tail AS caught,
-           sum(good) OVER (PARTITION BY g, rule) AS goods, sum(bad) OVER (PARTITION BY g, rule) AS bads
-    FROM h WINDOW tail AS (PARTITION BY g, rule ORDER BY bin DESC ROWS UNBOUNDED PRECEDING)),
-c AS (
-    SELECT g, rule, arg_max(bin, (caught * goods - lost * bads) * 100 + bin) AS cutoff
-    FROM t JOIN z USING (g)
-    WHERE lost <= allowed AND caught * goods > 0 AND caught * goods >= 10 * lost * bads GROUP BY g, rule),
-x AS (SELECT doc_id, bool_or(bin >= cutoff) AS worse FROM k JOIN c USING (g, rule) GROUP BY doc_id)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    SELECT rule, bin, sum(bad) OVER tail / (sum(docs) OVER tail)::DOUBLE AS share,
+           sum(bad) OVER (PARTITION BY rule) / (sum(docs) OVER (PARTITION BY rule))::DOUBLE AS all_bad
+    FROM h WINDOW tail AS (PARTITION BY rule ORDER BY bin DESC ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT rule, bin, dense_rank() OVER (ORDER BY share DESC) AS step FROM t WHERE share > all_bad),
+-- a document's step: the first that rejects one of its measures, null if none does
+e AS (
+    SELECT k.doc_id, k.g, min(f.step) AS step FROM k LEFT JOIN f ON f.rule = k.rule AND f.bin <= k.bin
+    WHERE NOT k.base_failed GROUP BY k.doc_id, k.g),
+p AS (
+    SELECT g, step, count(*) FILTER (good = 1) AS good, count(*) FILTER (good <> 1) AS bad
+    FROM e JOIN l USING (doc_id) WHERE tests OR good <> 1 GROUP BY g, step),
+n AS (SELECT g, sum(good)::BIGINT AS n FROM p GROUP BY g),
+u AS (SELECT n, sum(count(*)) OVER (ORDER BY n DESC) + 1 AS strata FROM n GROUP BY n),
+y AS (SELECT min(n) AS least, coalesce(max(strata), 1)::BIGINT AS strata FROM u WHERE n * ln(0.95) <= ln(0.05 / strata)),
+q AS (
+    SELECT CASE WHEN n.n >= y.least THEN g ELSE '*' END AS stratum, y.strata, step, sum(good)::BIGINT AS good, sum(bad)::BIGINT AS bad
+    FROM p JOIN n USING (g), y GROUP BY ALL),
+c AS (SELECT stratum, strata, sum(good)::BIGINT AS n FROM q GROUP BY ALL),
+i AS (SELECT *, unnest(range(0, floor(n * 0.05)::BIGINT + 1)) AS i FROM c),
+a AS (
+    SELECT stratum, strata, i, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.05) + (n - i) * ln(0.95)))
+           OVER (PARTITION BY stratum ORDER BY i ROWS UNBOUNDED PRECEDING) AS tail
+    FROM i),
+z AS (SELECT stratum, max(CASE WHEN tail <= 0.05 / strata THEN i ELSE -1 END) AS allowed FROM a GROUP BY stratum),
+j AS (
+    SELECT stratum, step, sum(good) OVER milder AS lost,
+           sum(bad) OVER milder * sum(good) OVER whole - sum(good) OVER milder * sum(bad) OVER whole AS gain
+    FROM q WINDOW milder AS (PARTITION BY stratum ORDER BY step NULLS LAST ROWS UNBOUNDED PRECEDING),
+                  whole AS (PARTITION BY stratum)),
+x AS (
+    SELECT stratum, step AS last FROM j JOIN z USING (stratum)
+    WHERE lost <= allowed AND gain > 0 AND step IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, step) = 1),
+v2 AS (
+    SELECT e.doc_id, e.step <= x.last AS worse
+    FROM e LEFT JOIN c own ON own.stratum = e.g LEFT JOIN x ON x.stratum = coalesce(own.stratum, '*'))
+SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(worse, false) AS kept
-FROM s LEFT JOIN x USING (doc_id)
+FROM s LEFT JOIN v2 USING (doc_id)
 """
 
 # The root's parent is null, and clients read whole numbers with nulls as doubles.

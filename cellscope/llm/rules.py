@@ -3,22 +3,19 @@
 Each rule rejects documents whose measure lies in a bin at or above a cutoff.  The cutoffs of all
 rules move together along one path from the mildest to the strictest (``joint_steps``): a step
 is a share of bad documents among those of a rule's tail, and has for every rule the lowest
-cutoff whose tail reaches it.  The path is made of the bad labels and of all documents, labelled
-or not, and never of the good labels that test it.  For every stratum (source) it is walked while the exact binomial
+cutoff whose tail reaches it.  The path is made of all documents, labelled or not, but for the good
+ones that test it: three quarters of the good labels test, by a hash of the id, and the others and
+all bad ones make the path.  For every stratum (source) it is walked while the exact binomial
 tail says that the union of all rules loses at most ``max_loss`` of the good documents, at the
 level ``risk / strata``.  Testing in a fixed order and stopping at the first failure needs no
 correction for the number of steps, so with probability ``1 - risk`` no stratum loses more than
-``max_loss`` of the good documents that pass the base rules.  Of the certified steps the one with
+``max_loss`` of the good documents that pass the base rules, as far as its labelled documents are
+drawn like the others.  Of the certified steps the one with
 the largest difference of the shares of bad and good documents rejected is used, the milder of
-equals.  A source with too few good labels to certify even a step without losses
+equals.  A source with too few testing labels to certify even a step without losses
 (``0.95^n > risk / strata``, 118 at 20 strata and one pooled) is judged in one pooled stratum with others like it,
 whose bound holds for them together; without labels there, it rejects nothing beyond the base.
 
-``separate`` is the older method, which the SQL of ``op6_quality_rules`` states: every rule alone
-against ``max_loss / rules`` at ``risk / (rules x strata)``, which needs about 930 good labels in
-each of 20 sources, and only cutoffs that catch at least ``min_ratio`` times as large a share of
-the bad documents as of the good ones.
-
 Defined cases: a null text has no words and fails the base; a null source is a stratum of its
 own; labels that are null or contradict each other for an id are not used; repeated rows are
 judged alike.  Everything is a map over the documents but for histograms of bounded size per
@@ -49,8 +46,6 @@ class RuleConfig:
     risk: float = 0.05
     min_words: int = 20
     max_repeat_percent: int = 30
-    min_ratio: int = 10  # of ``separate`` only
-    separate: bool = False
 
 
 def _repeats(df: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -140,11 +135,12 @@ def allowed_losses(n: Column, loss: float, level: Column) -> Column:
 
 
 def _known(labels: DataFrame) -> DataFrame:
-    """(doc_id, good): ids whose labels agree."""
+    """(doc_id, good, tests): ids whose labels agree, and whether they are kept from the path to test it."""
     return (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("_most"))
         .filter("good = _most").drop("_most")
+        .withColumn("tests", (F.col("good") == 1) & (F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1) >= "4"))
     )
 
 
@@ -155,6 +151,7 @@ def joint_steps(measured: DataFrame, labels: DataFrame) -> list[list[int]]:
     """
     rows = (
         measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id", "left")
+        .filter(~F.coalesce("tests", F.lit(False)))
         .select("good", F.posexplode("_bins").alias("rule", "bin"))
         .groupBy("rule", "bin").agg(F.count("*").alias("docs"), F.count(F.when(F.col("good") != 1, 1)).alias("bad"))
         .collect()
@@ -196,7 +193,7 @@ def certified_steps(
     config = config or RuleConfig()
     never = max(max(s) for s in steps)
     per_step = (
-        measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id")
+        measured.filter(~F.col("base_failed")).join(_known(labels).filter("tests or good != 1"), "doc_id")
         .groupBy("_g", step_of(steps).alias("step"))
         .agg(F.count(F.when(F.col("good") == 1, 1)).alias("good"), F.count(F.when(F.col("good") != 1, 1)).alias("bad"))
     )
@@ -231,75 +228,26 @@ def certified_steps(
     )
 
 
-def certified_cutoffs(measured: DataFrame, labels: DataFrame, config: RuleConfig | None = None) -> DataFrame:
-    """``separate``: one row per stratum ``_g`` with ``cutoffs``: for each measure the lowest rejected bin, or null."""
-    config = config or RuleConfig()
-    held = measured.filter(~F.col("base_failed")).join(_known(labels), "doc_id").select("_g", "good", "_bins")
-    per_bin = (
-        held.select("_g", "good", F.posexplode("_bins").alias("rule", "bin"))
-        .groupBy("_g", "rule", "bin")
-        .agg(F.sum(F.when(F.col("good") == 1, 1).otherwise(0)).alias("good"),
-             F.sum(F.when(F.col("good") == 1, 0).otherwise(1)).alias("bad"))
-    )
-    whole = Window.partitionBy("_g", "rule")
-    stricter = whole.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rules = len(MEASURES)
-    strata = per_bin.groupBy("_g").agg(F.sum("good").alias("_labels")).agg(F.count("*").alias("_strata"))
-    level = F.lit(config.risk) / (rules * F.col("_strata"))
-    limits = (
-        per_bin.filter("rule = 0").groupBy("_g").agg(F.sum("good").alias("n_good"))
-        .join(strata)  # one row
-        .withColumn("_allowed", allowed_losses(F.col("n_good"), config.max_loss / rules, level))
-        .select("_g", "_allowed")
-    )
-    # both shares over the product of the class sizes, in whole numbers
-    good_share = F.col("_lost") * F.sum("bad").over(whole)
-    bad_share = F.col("_caught") * F.sum("good").over(whole)
-    chosen = (
-        per_bin
-        .withColumn("_lost", F.sum("good").over(stricter))
-        .withColumn("_caught", F.sum("bad").over(stricter))
-        .withColumn("_gain", bad_share - good_share)
-        .withColumn("_apart", (bad_share > 0) & (bad_share >= config.min_ratio * good_share))
-        .join(limits, "_g")
-        .filter("_lost <= _allowed and _apart")
-        .groupBy("_g", "rule").agg(F.max_by("bin", F.struct("_gain", "bin")).alias("cutoff"))
-        .groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_found"))
-    )
-    return chosen.select("_g", F.array(*(
-        F.try_element_at("_found", F.lit(i)) for i in range(rules))).alias("cutoffs"))
-
-
 def judge(docs: DataFrame, labels: DataFrame, config: RuleConfig | None = None, keep_text: bool = False) -> DataFrame:
     """The base counts, ``base_failed`` and ``kept`` of every document.
 
-    The narrow measures are written once; the cutoffs are a small table whose size Spark knows
-    when it plans the join.  With ``keep_text`` the whole rows are passed on in ``_row``, and the
-    measures are taken again during the second scan, which costs less than moving the texts.
+    Every text is measured once: the measures are written, with ``keep_text`` beside the whole rows
+    in ``_row``, a column that the path and its tests do not read.  The certified steps are a small
+    table whose size Spark knows when it plans the join.
     """
     config = config or RuleConfig()
     rows = whole_rows(docs, "doc_id", "text", group_key("source").alias("_g"))
-    measured = base_measures(rows, config).withColumn("_bins", bins())
-    narrow = stage_table(measured.select(
-        "doc_id", "_g", "_bins", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed"), "rules-measures")
-    judged = measured if keep_text else narrow
-    if config.separate:
-        cutoffs = stage_table(certified_cutoffs(narrow, labels, config), "rules-cutoffs")
-        judged = judged.join(cutoffs, "_g", "left")
-        worse = F.exists(F.zip_with("_bins", "cutoffs", lambda b, c: b >= c), lambda x: F.coalesce(x, F.lit(False)))
-    else:
-        steps = joint_steps(narrow, labels)
-        strata = stage_table(certified_steps(narrow, labels, steps, config), "rules-steps")
-        others = strata.agg(F.max(F.when(F.col("_g") == POOLED, F.col("last"))).alias("_pooled"))  # one row
-        judged = judged.join(strata, "_g", "left").join(F.broadcast(others))
-        worse = step_of(steps) <= F.coalesce("last", "_pooled")
-    # a sum of values that are never null, so that no part of a filter on it, and no null check,
-    # is pushed below the measures and repeats them
-    against = F.coalesce("base_failed", F.lit(True)).cast("int") + F.coalesce(worse, F.lit(False)).cast("int")
+    measured = stage_table(base_measures(rows, config).select(
+        *(["_row"] if keep_text else []), "doc_id", "_g", bins().alias("_bins"), "n_words", "word_chars", "n_symbols",
+        "n_dup_lines", "n_repeat_words", "base_failed"), "rules-measures")
+    steps = joint_steps(measured, labels)
+    strata = stage_table(certified_steps(measured, labels, steps, config), "rules-steps")
+    pooled = strata.agg(F.max(F.when(F.col("_g") == POOLED, F.col("last"))).alias("_pooled"))  # one row
+    worse = F.coalesce(step_of(steps) <= F.coalesce("last", "_pooled"), F.lit(False))
     return (
-        judged.withColumn("kept", against == 0)
-        .drop("_g", "_bins", "cutoffs", "last", "_pooled", "_n_lines", "_n_upper")
+        measured.join(strata, "_g", "left").join(F.broadcast(pooled))
+        .withColumn("kept", ~F.col("base_failed") & ~worse)
+        .drop("_g", "_bins", "last", "_pooled")
     )
 
 
