@@ -1,12 +1,13 @@
 """Quality classifier on random-indexing word vectors.
 
 Every token has a sparse random index vector that follows from its hash; a token's context
-vector is the sum of the index vectors of its neighbours over the training texts.  A document
-is the mean of both over all its tokens, and a network of two layers, trained in numpy and
+vector is the sum of the index vectors of its neighbours over all whole texts, which need no labels
+for that.  A document is the mean of both over all its tokens, and a network of two layers, trained in numpy and
 calibrated by one temperature, makes a probability of that.
 
-Training uses at most ``sample`` labelled rows, the smallest by a hash of their id: the one
-bounded sample, and a documented parameter.  Everything that is learnt has a fixed size
+The network is trained on at most ``sample`` labelled rows, the smallest by a hash of their id:
+the one bounded sample, and a documented parameter.  The context sums are whole numbers, so that
+they do not depend on the order in which tasks end.  Everything that is learnt has a fixed size
 (``buckets`` x ``dims``), and every text is scored whole.  Labels, language, source and id
 are never inputs of a score.
 
@@ -32,6 +33,7 @@ from cellscope.sources import stage_table
 
 from .common import python_rows, typed_id
 
+BLOCK = 1 << 16  # tokens whose neighbours are summed at once
 PARTS = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+")
 
 
@@ -98,25 +100,42 @@ def _context_sums(ids: np.ndarray, vectors: np.ndarray, reach: int) -> np.ndarra
     return total
 
 
-def word_vectors(sample: DataFrame, config: ClassifierConfig) -> np.ndarray:
+def add_contexts(total: np.ndarray, texts: list[np.ndarray], vectors: np.ndarray, reach: int) -> None:
+    """Add the context sums of texts (as buckets) to ``total``; the last row of both tables is a gap."""
+    gap = np.full(reach, len(vectors) - 1)
+    ids = np.concatenate([part for text in texts for part in (text, gap)])
+    for start in range(0, len(ids), BLOCK):
+        first, end = max(0, start - reach), start + BLOCK
+        some = ids[start:end]
+        near = _context_sums(ids[first : end + reach], vectors, reach)[start - first :][: len(some)]
+        for d in range(total.shape[1]):
+            total[:, d] += np.bincount(some, near[:, d], len(total))
+
+
+def word_vectors(docs: DataFrame, config: ClassifierConfig) -> np.ndarray:
     """buckets x dims context vectors, length 1; summed in the tasks, then by bucket."""
     dims = config.dims
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, known = index_vectors(config), _Buckets(config.buckets)
-        total = np.zeros((config.buckets, dims))
+        vectors, known = np.vstack([index_vectors(config), np.zeros((1, dims), np.float32)]), _Buckets(config.buckets)
+        total, waiting, size = np.zeros((config.buckets + 1, dims)), [], 0
         for batch in batches:
             for text in batch["text"]:
                 ids = token_buckets(text, known)
                 if len(ids) > 1:
-                    near = _context_sums(ids, vectors, config.reach)
-                    for d in range(dims):
-                        total[:, d] += np.bincount(ids, near[:, d], config.buckets)
+                    waiting.append(ids)
+                    size += len(ids)
+                if size >= BLOCK:
+                    add_contexts(total, waiting, vectors, config.reach)
+                    waiting, size = [], 0
+        if waiting:
+            add_contexts(total, waiting, vectors, config.reach)
+        total = total[:-1]
         used = np.flatnonzero(total.any(axis=1))
         yield pd.DataFrame({"bucket": used, **{f"d{d}": total[used, d] for d in range(dims)}})
 
     schema = "bucket int, " + ", ".join(f"d{d} double" for d in range(dims))
-    sums = sample.mapInPandas(run, schema).groupBy("bucket").agg(*(F.sum(f"d{d}").alias(f"d{d}") for d in range(dims)))
+    sums = docs.select("text").mapInPandas(run, schema).groupBy("bucket").agg(*(F.sum(f"d{d}").alias(f"d{d}") for d in range(dims)))
     rows = sums.toPandas()  # at most one row per bucket
     result = np.zeros((config.buckets, dims))
     result[rows["bucket"].to_numpy(np.int64)] = rows[[f"d{d}" for d in range(dims)]].to_numpy(float)
@@ -197,7 +216,7 @@ def train_network(x: np.ndarray, y: np.ndarray, calibrates: np.ndarray, config:
 
 
 def fit(docs: DataFrame, labels: DataFrame, config: ClassifierConfig) -> tuple[np.ndarray, Network]:
-    """(token table, network) from the sample of labelled rows that are not held out."""
+    """(token table of all texts, network from the sample of labelled rows that are not held out)."""
     text_id = F.col("doc_id").cast("string")
     usable = (
         labels.filter("doc_id is not null and quality is not null")
@@ -211,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, config: ClassifierConfig) -> tuple[n
         docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")  # at most ``sample`` pairs of numbers
         .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality")),
         "quality-sample")
-    context = word_vectors(sample, config)
+    context = word_vectors(docs, config)
     table = np.concatenate([context, index_vectors(config)], axis=1)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

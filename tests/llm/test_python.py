@@ -257,6 +257,26 @@ def test_classifier_learns_and_ignores_held_out_labels(documents, labels, odd_do
     assert again == {i: r.score for i, r in got.items()}
 
 
+def test_word_vectors_against_plain_python(documents):
+    """All documents count, labelled or not; nothing is shared between texts; long texts are whole."""
+    config = classifier.ClassifierConfig(buckets=64, dims=8)
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice("abcdefghij") + draw.choice(["", "1", "!"]) for _ in range(n)) for n in (0, 1, 2, 3, 7, 40)]
+    texts += [None, " ".join("w%s" % "abcde"[i * i % 5] for i in range(classifier.BLOCK + 500))]
+    index, known = classifier.index_vectors(config), classifier._Buckets(config.buckets)
+    wanted = [[0.0] * 8 for _ in range(64)]
+    for text in texts:
+        ids = classifier.token_buckets(text, known).tolist()
+        for i, bucket in enumerate(ids):
+            for j in range(max(0, i - 2), min(len(ids), i + 3)):
+                if j != i:
+                    wanted[bucket] = [x + float(y) for x, y in zip(wanted[bucket], index[ids[j]], strict=True)]
+    got = classifier.word_vectors(documents(*((i, t, "s") for i, t in enumerate(texts))).repartition(3), config)
+    for row, plain in zip(got.tolist(), wanted, strict=True):
+        length = sum(x * x for x in plain) ** 0.5
+        assert all(abs(x - y / max(length, 1e-9)) < 1e-6 for x, y in zip(row, plain, strict=True))
+
+
 def test_classifier_without_labels(odd_documents, labels):
     rows = classifier.score_quality(odd_documents, labels()).collect()
     assert len(rows) == 10 and {r.score for r in rows} == {0.5}
