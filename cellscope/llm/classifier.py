@@ -68,48 +68,53 @@ def index_vectors(config: ClassifierConfig) -> np.ndarray:
 
 
 class _Buckets(dict):
+    """The bucket of a token; ``buckets`` more where a token in capitals comes before it."""
+
     def __init__(self, buckets: int):
         self.buckets = buckets
+        self.capitals = self.bucket("\x01")
+
+    def bucket(self, part: str) -> int:
+        return xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass")) % self.buckets
 
     def __missing__(self, part: str) -> int:
-        value = xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass")) % self.buckets
+        value = self.bucket(part.lower()) + (self.buckets if len(part) > 1 and part.isupper() else 0)
         if len(self) < 500_000:
             self[part] = value
         return value
 
 
-def token_buckets(text: str | None, known: dict) -> np.ndarray:
+def token_buckets(text: str | None, known: _Buckets) -> np.ndarray:
     """Buckets of the letter runs, digit runs and sign runs; capitals are a token of their own."""
     if not text:
         return np.empty(0, np.int64)
-    found = []
-    for part in PARTS.findall(text):
-        if len(part) > 1 and part.isupper():
-            found.append(known["\x01"])
-        found.append(known[part.lower()])
-    return np.array(found, np.int64)
-
-
-def _context_sums(ids: np.ndarray, vectors: np.ndarray, reach: int) -> np.ndarray:
-    """For each token the sum of the index vectors of its neighbours."""
-    own = vectors[ids]
-    total = np.zeros_like(own)
-    for step in range(1, reach + 1):
-        total[step:] += own[:-step]
-        total[:-step] += own[step:]
-    return total
+    parts = PARTS.findall(text)
+    found = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+    upper = np.flatnonzero(found >= known.buckets)
+    if len(upper):
+        found[upper] -= known.buckets
+        found = np.insert(found, upper, known.capitals)
+    return found
 
 
 def add_contexts(total: np.ndarray, texts: list[np.ndarray], vectors: np.ndarray, reach: int) -> None:
-    """Add the context sums of texts (as buckets) to ``total``; the last row of both tables is a gap."""
-    gap = np.full(reach, len(vectors) - 1)
+    """Add to each token's column of ``total`` the index vectors (columns) of its neighbours.
+
+    The last column of both tables is a gap between texts.  One dimension at a time, so that a
+    block of it stays in the processor's cache.
+    """
+    gap = np.full(reach, vectors.shape[1] - 1)
     ids = np.concatenate([part for text in texts for part in (text, gap)])
     for start in range(0, len(ids), BLOCK):
-        first, end = max(0, start - reach), start + BLOCK
-        some = ids[start:end]
-        near = _context_sums(ids[first : end + reach], vectors, reach)[start - first :][: len(some)]
-        for d in range(total.shape[1]):
-            total[:, d] += np.bincount(some, near[:, d], len(total))
+        first = max(0, start - reach)
+        some, around = ids[start : start + BLOCK], ids[first : start + BLOCK + reach]
+        for dim, of_dim in zip(total, vectors, strict=True):
+            own = of_dim[around]
+            near = np.zeros(len(own))
+            for step in range(1, reach + 1):
+                near[step:] += own[:-step]
+                near[:-step] += own[step:]
+            dim += np.bincount(some, near[start - first :][: len(some)], len(dim))
 
 
 def word_vectors(docs: DataFrame, config: ClassifierConfig) -> np.ndarray:
@@ -117,8 +122,9 @@ def word_vectors(docs: DataFrame, config: ClassifierConfig) -> np.ndarray:
     dims = config.dims
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, known = np.vstack([index_vectors(config), np.zeros((1, dims), np.float32)]), _Buckets(config.buckets)
-        total, waiting, size = np.zeros((config.buckets + 1, dims)), [], 0
+        vectors, known = np.zeros((dims, config.buckets + 1)), _Buckets(config.buckets)
+        vectors[:, :-1] = index_vectors(config).T
+        total, waiting, size = np.zeros((dims, config.buckets + 1)), [], 0
         for batch in batches:
             for text in batch["text"]:
                 ids = token_buckets(text, known)
@@ -130,9 +136,8 @@ def word_vectors(docs: DataFrame, config: ClassifierConfig) -> np.ndarray:
                     waiting, size = [], 0
         if waiting:
             add_contexts(total, waiting, vectors, config.reach)
-        total = total[:-1]
-        used = np.flatnonzero(total.any(axis=1))
-        yield pd.DataFrame({"bucket": used, **{f"d{d}": total[used, d] for d in range(dims)}})
+        used = np.flatnonzero(total[:, :-1].any(axis=0))
+        yield pd.DataFrame({"bucket": used, **{f"d{d}": total[d, used] for d in range(dims)}})
 
     schema = "bucket int, " + ", ".join(f"d{d} double" for d in range(dims))
     sums = docs.select("text").mapInPandas(run, schema).groupBy("bucket").agg(*(F.sum(f"d{d}").alias(f"d{d}") for d in range(dims)))
