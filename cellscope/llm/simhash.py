@@ -219,7 +219,7 @@ def links(
     return edges.distinct()
 
 
-SALTS = 32
+SALTS = 8
 
 
 def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
@@ -232,12 +232,13 @@ def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
         .select("fp", "least", F.coalesce("root", "fp").alias("_root"), F.col("root").isNotNull().alias("_linked"),
                 F.pmod(F.xxhash64("fp"), F.lit(SALTS)).alias("_salt"))
     )
-    # one id for each component of several fingerprints, met by its members in SALTS places
+    # one id for each component of several fingerprints, met by its members in SALTS places; a merge
+    # join, because there are the more components the more documents there are
     smallest = (
         grouped.filter("_linked").groupBy("_root").agg(F.min("least").alias("_smallest"))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     )
-    named = grouped.join(smallest, ["_root", "_salt"], "left").select(
+    named = grouped.join(smallest.hint("merge"), ["_root", "_salt"], "left").select(
         "fp", "_root", F.coalesce("_smallest", "least").alias("component_id"))
     return (
         marked.join(named, "fp")
