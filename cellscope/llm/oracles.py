@@ -45,28 +45,30 @@ WITH l AS (
     FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l),
 r AS (
-    SELECT *, ((lag(h, 2, 0) OVER w * 1000003 + lag(h, 1, 0) OVER w) % 2147483647 * 1000003 + h) % 2147483647 AS r
+    SELECT *, (lag(h, 1, 0) OVER w * 1000003 + h) % 2147483647 AS r, count(*) OVER (PARTITION BY doc_id) AS n
     FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+cuts AS (
+    SELECT doc_id, i AS place FROM r WHERE r % 4 <> 0 OR i = n
+    UNION ALL SELECT DISTINCT doc_id, 0 FROM r),
 c AS (
-    SELECT *, coalesce(sum((r % 4 = 0)::INT) OVER (
-        PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-    FROM r),
+    SELECT doc_id, place, CASE WHEN lead(place) OVER w - place >= 2 THEN lead(place) OVER w ELSE lead(place, 2) OVER w END AS stop
+    FROM cuts WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
 b AS (
-    SELECT doc_id, place, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body,
+    SELECT doc_id, place, stop, string_agg(line, chr(10) ORDER BY i) AS body,
            bool_or(regexp_matches(line, '[^\x20\x09-\x0D]')) AS worded
-    FROM c GROUP BY ALL),
+    FROM c JOIN l USING (doc_id) WHERE i > place AND i <= stop GROUP BY ALL),
 g AS (
-    SELECT *, lines > 1 AND worded AND row_number() OVER (
-        PARTITION BY body, lines > 1 AND worded ORDER BY doc_id, place) > 1 AS gone
+    SELECT *, worded AND row_number() OVER (PARTITION BY body ORDER BY doc_id, place) > 1 AS gone
     FROM b),
+x AS (SELECT DISTINCT doc_id, i, true AS gone FROM g JOIN l USING (doc_id) WHERE gone AND i > place AND i <= stop),
 s AS (
-    SELECT doc_id, coalesce(string_agg(CASE WHEN NOT gone THEN body END, chr(10) ORDER BY place), '') AS text,
-           sum(lines)::BIGINT AS n_lines, count(*) AS n_chunks,
-           coalesce(sum(lines) FILTER (gone), 0)::BIGINT AS n_removed_lines, count(*) FILTER (gone) AS n_removed_chunks
-    FROM g GROUP BY doc_id)
+    SELECT doc_id, coalesce(string_agg(CASE WHEN gone IS NULL THEN line END, chr(10) ORDER BY i), '') AS text,
+           count(*) AS n_lines, count(gone) AS n_removed_lines
+    FROM l LEFT JOIN x USING (doc_id, i) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks FROM g GROUP BY doc_id)
 SELECT doc_id, s.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks,
        coalesce(n_removed_lines, 0) AS n_removed_lines, coalesce(n_removed_chunks, 0) AS n_removed_chunks
-FROM documents LEFT JOIN s USING (doc_id)
+FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 WINNOWING = r"""

@@ -1,5 +1,6 @@
 """Mixing, sharding, rules and line chunks against plain Python."""
 
+import hashlib
 import math
 import random
 import re
@@ -245,21 +246,27 @@ def test_rules_edge_cases(odd_documents, labels):
     assert rules.keep_good(odd_documents.limit(0), labels((1, 1, 0))).count() == 0
 
 
-def plain_chunks(text, spread=4):
-    import hashlib
-
-    lines = text.split("\n")
+def plain_chunks(lines, spread=4):
+    """(first line, line behind the last) of each chunk."""
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    chunks, now = [], []
-    for i, line in enumerate(lines):
-        value = 0
-        for back in (2, 1, 0):
-            value = (value * linechunks.BASE + (h[i - back] if i >= back else 0)) % linechunks.MODULUS
-        now.append(line)
-        if value % spread == 0 or i == len(lines) - 1:
-            chunks.append(now)
-            now = []
-    return chunks
+    rolling = [((h[i - 1] if i else 0) * linechunks.BASE + x) % linechunks.MODULUS for i, x in enumerate(h)]
+    cuts = [0] + [i + 1 for i, r in enumerate(rolling) if r % spread or i == len(lines) - 1]
+    pairs = ((a, next((b for b in cuts if b - a >= 2), None)) for a in cuts)
+    return [(a, b) for a, b in pairs if b is not None]
+
+
+def plain_line_dedup(texts):
+    seen, kept = set(), {}
+    for i in sorted(texts):
+        lines, gone = texts[i].split("\n"), set()
+        for a, b in plain_chunks(lines):
+            body = "\n".join(lines[a:b])
+            if body in seen:
+                gone.update(range(a, b))
+            elif WORD.search(body):
+                seen.add(body)
+        kept[i] = [k for k in range(len(lines)) if k not in gone]
+    return kept
 
 
 def test_line_chunks_against_plain_python(documents):
@@ -268,24 +275,39 @@ def test_line_chunks_against_plain_python(documents):
     texts = {}
     for i in range(60):
         own = ["own %d %d" % (i, k) for k in range(draw.randrange(0, 12))]
-        at = draw.randrange(0, len(own) + 1)
-        texts[i] = "\n".join(own[:at] + (shared if i % 2 else []) + own[at:])
+        at, start = draw.randrange(0, len(own) + 1), draw.randrange(0, 40)
+        texts[i] = "\n".join(own[:at] + (shared[start : start + draw.randrange(0, 15)] if i % 3 else shared if i % 2 else []) + own[at:])
     texts[60] = texts[61] = "\n\n\n\n\n\n\n\n"
-    seen, wanted = set(), {}
-    for i in sorted(texts):
-        stays = []
-        for chunk in plain_chunks(texts[i]):
-            body = "\n".join(chunk)
-            if len(chunk) > 1 and WORD.search(body):
-                if body in seen:
-                    continue
-                seen.add(body)
-            stays.append(body)
-        wanted[i] = "\n".join(stays)
+    texts[62] = "\n".join(["again and again"] * 30)
+    kept = plain_line_dedup(texts)
     rows = linechunks.remove_repeated_chunks(documents(*((i, t, "s") for i, t in texts.items())).repartition(5)).collect()
-    assert {r.doc_id: r.text for r in rows} == wanted
+    assert {r.doc_id: r.text for r in rows} == {
+        i: "\n".join(texts[i].split("\n")[k] for k in ks) for i, ks in kept.items()}
+    assert {r.doc_id: r.n_removed_lines for r in rows} == {i: len(texts[i].split("\n")) - len(ks) for i, ks in kept.items()}
+    assert {r.doc_id: r.n_chunks for r in rows} == {i: len(plain_chunks(t.split("\n"))) for i, t in texts.items()}
     assert sum(r.n_removed_lines for r in rows) > 0
     assert all(r.n_lines == len(texts[r.doc_id].split("\n")) for r in rows)
+    left = {line for r in rows for line in r.text.split("\n")}
+    assert left == {line for t in texts.values() for line in t.split("\n")}  # a line never goes everywhere
+
+
+def test_line_chunks_leave_few_repeated_runs(documents):
+    """Runs of 4 to 12 lines among unique ones: few stay whole; a first line alone often does (the window)."""
+    draw = random.Random(4)
+    texts, planted = {}, {}
+    for i in range(200):
+        run = ["run %d %d" % (i, k) for k in range(draw.randrange(4, 13))]
+        for copy in (i, 1000 + i):
+            own = ["own %d %d" % (copy, k) for k in range(10)]
+            at = draw.randrange(0, 11)
+            texts[copy] = "\n".join(own[:at] + run + own[at:])
+        planted[1000 + i] = run
+    rows = linechunks.remove_repeated_chunks(documents(*((i, t, "s") for i, t in texts.items()))).collect()
+    texts_left = {r.doc_id: set(r.text.split("\n")) for r in rows}
+    assert sum(len(texts_left[i] & set(run)) for i, run in planted.items()) <= 0.16 * sum(map(len, planted.values()))
+    assert sum(set(run) <= texts_left[i] for i, run in planted.items()) <= 0.05 * len(planted)
+    assert all(r.n_removed_lines == 0 for r in rows if r.doc_id < 1000)
+    assert all(sum(x.startswith("own") for x in left) == 10 for left in texts_left.values())
 
 
 def test_line_chunks_edge_cases(documents, odd_documents):
