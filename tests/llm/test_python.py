@@ -241,6 +241,118 @@ def test_lm_is_a_probability(documents):
     assert sum(10 ** rows[i].score for i in (100, 101, 102, 200)) <= 1 + 1e-9
 
 
+def plain_lm(texts, config):
+    """log10 probability of each text; every training word gets its class here, however rare."""
+    split = {i: re.findall(r"[^\x20\x09-\x0D]+", fold(t)) + [""] for i, t in texts.items()}
+    learn = {i for i in texts if zlib.crc32(str(i).encode()) % 10}
+    pairs = Counter(p for i in learn for p in zip([""] + split[i], split[i], strict=False))
+    count = Counter(w for i in learn for w in split[i])
+    n, end = sum(count.values()), config.classes + brown.SHAPES
+    k = end + 1
+    seeds = sorted((w for w in count if w), key=lambda w: (-count[w], w))[: config.classed]
+    of = {w: config.classes + brown.shape(w) for w in count} | {w: i % config.classes for i, w in enumerate(seeds)}
+
+    def table(of):
+        cells = [[0] * k for _ in range(k)]
+        for (a, b), often in pairs.items():
+            cells[of[a]][of[b]] += often
+        return cells, [sum(r) for r in cells], [sum(c) for c in zip(*cells, strict=True)]
+
+    def likelihood(of):
+        cells, rows, cols = table(of)
+        h = lambda x: x * math.log(x) if x else 0.0
+        return sum(h(x) for r in cells for x in r) - sum(map(h, rows)) - sum(map(h, cols))
+
+    for turn in range(2 * config.rounds):
+        moves = {}
+        for w in seeds[turn % 2 :: 2]:
+            gain = [likelihood(of | {w: c}) for c in range(config.classes)]
+            best = max(range(config.classes), key=gain.__getitem__)
+            if gain[best] > gain[of[w]] + 1e-9:
+                moves[w] = best
+        of |= moves
+        if not moves and turn % 2:
+            break
+    cells, rows, cols = table(of)
+    prior = config.prior
+    after = lambda c, r: (cells[c][r] + prior * (cols[r] + 1) / (n + k)) / (rows[c] + prior)
+    before = lambda x, c: (cells[x][c] + prior * (rows[x] + 1) / (n + k)) / (cols[c] + prior)
+    moves = {}
+    for w in count.keys() - {"", *seeds}:
+        gain = []
+        for c in range(end):
+            fit = 0.0
+            for (a, b), often in pairs.items():
+                if a == b == w:
+                    fit += often * math.log(after(c, c) / (cols[c] + prior))
+                elif a == w:
+                    fit += often * math.log(after(c, of[b]))
+                elif b == w:
+                    fit += often * math.log(before(of[a], c))
+            gain.append(round(fit, 6))
+        moves[w] = gain.index(max(gain))
+    of |= moves
+    cells, rows, cols = table(of)
+    once = {w for w in count if w and count[w] == 1}
+    cut = len(once) / max(len(once) + 2 * sum(count[w] == 2 for w in count if w), 1)
+    kept = [cols[c] - cut * sum(of[w] == c for w in count if w) for c in range(k)]
+    seen = Counter()
+    for (a, b), often in pairs.items():
+        for x in (of[a], *([("?", brown.shape(a))] if a in once else [])):
+            for y in (of[b], *([("?", brown.shape(b))] if b in once else [])):
+                seen[x, y] += often
+    shapes = [("?", s) for s in range(brown.SHAPES)]
+    alone = {s: (sum(seen[c, s] for c in range(k)) + 0.5) / (n + brown.SHAPES) for s in shapes}
+
+    def chance(x, y):
+        total = sum(seen[x, c] for c in range(k)) + prior
+        new = {s: (seen[x, s] + prior * alone[s]) / total for s in shapes}
+        if y in new:
+            return new[y]
+        known = [(seen[x, c] + prior * (cols[c] + 1) / (n + k)) * (kept[c] / cols[c] if cols[c] else 1) for c in range(k)]
+        return known[y] / sum(known) * (1 - sum(new.values()))
+
+    scores = {}
+    for i, words in split.items():
+        scores[i], x = 0.0, end
+        for w in words:
+            y = of.get(w, ("?", brown.shape(w)))
+            word = (count[w] - (cut if w else 0)) / kept[y] if w in count else 1.0
+            base = (count[w] + 0.1) / (n + 0.1 * (len(count) + 1))
+            scores[i] += math.log10(config.mix * chance(x, y) * word + (1 - config.mix) * base)
+            x = y
+    return scores
+
+
+def test_lm_scores_are_those_of_a_plain_model_that_classes_every_word(spark, documents, monkeypatch):
+    draw = random.Random(8)
+    rare = lambda: draw.choice(["w%d", "%d", "long-word-%d", "é%d", "w%d."]) % int(40 ** draw.random() ** 0.5)
+    texts = {i: t + " " + " ".join(rare() for _ in range(draw.randrange(6))) for i, t in language(draw, 40)}
+    texts |= {50: "w1 w1 w1 x x", 51: "x x a1", 52: None, 53: "", 54: "new9 w1 NEW. new"}
+    config = brown.BrownConfig(classed=6, classes=3, rounds=2)
+    wanted = plain_lm(texts, config)
+    assert len({w for t in texts.values() for w in (t or "").split()}) > 10 * config.classed
+    monkeypatch.setattr(brown, "CHUNK_WORDS", 40)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # a word's rows are cut by batches
+    try:
+        rows = brown.score_documents(documents(*((i, t, "s") for i, t in texts.items())), config).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(rows) == len(texts)
+    assert not [(r.doc_id, r.score, wanted[r.doc_id]) for r in rows if not math.isclose(r.score, wanted[r.doc_id], rel_tol=1e-9)]
+
+
+def test_lm_words_seldom_seen_follow_their_contexts(documents):
+    """Words beyond the most frequent ones are told apart by what stands around them, not by their shape."""
+    draw = random.Random(9)
+    texts = [(i, " ".join(("k%03d" if p % 2 else "m%03d") % draw.randrange(400) for p in range(30))) for i in range(400)]
+    rows = brown.score_documents(documents(*((i, t, "s") for i, t in texts)), brown.BrownConfig(classed=40, classes=4)).collect()
+    held = [r for r in rows if r.held_out]
+    # half of the words can follow at each place; what words have in common by shape tells nothing of it
+    assert sum(r.score - r.base_score for r in held) > 0.15 * sum(r.n_tokens for r in held)
+
+
 def test_classifier_learns_and_ignores_held_out_labels(documents, labels, odd_documents):
     draw = random.Random(1)
     text = lambda bad: " ".join("w%d" % draw.randrange(200) + ("***" if bad and draw.random() < 0.6 else "") for _ in range(40))
